@@ -76,7 +76,7 @@ def count_when(cond: Column) -> Column:
 
 def fmt_money(c: Column | str) -> Column:
     """Fixed two-decimal text of an exact decimal (no binary rounding)."""
-    return F.format_string("%.2f", col_of(c).cast(MONEY))
+    return col_of(c).cast(MONEY).cast("string")
 
 
 def arrival_key(ingested_ms: Column | str = "ingested_ms",

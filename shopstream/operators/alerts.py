@@ -26,6 +26,8 @@ ROW_KEY_PREFIX = "alert"
 ROW_KEY_SEPARATOR = "|"
 # ---------------------------------------------------------------------------
 
+_MIN_MICROS = -(2 ** 63)
+
 WINDOW_COLUMNS = ("product_id", "window_start", "window_end", "click_count")
 ALERT_COLUMNS = ("row_key", "product_id", "alert_type", "click_count", "window_start",
                  "window_end", "first_event_time", "last_event_time")
@@ -34,7 +36,11 @@ ALERT_COLUMNS = ("row_key", "product_id", "alert_type", "click_count", "window_s
 def click_filter(events: DataFrame, time_col: str = "event_ts", guard: bool = False) -> DataFrame:
     et = F.col("event_type")
     if guard:
-        return events.filter(F.when(et == "click", F.col(time_col)).isNotNull())
+        # ``CASE … END IS NOT NULL`` is folded to ``event_type = 'click'`` when the
+        # time column is non-nullable (and then pushed below the watermark); a
+        # comparison on the time value is not, so the filter stays above it.
+        micros = F.when(et == "click", F.unix_micros(F.col(time_col)))
+        return events.filter(micros > F.lit(_MIN_MICROS))
     return events.filter(et == "click")
 
 

@@ -24,6 +24,16 @@ LINE_HEAD_CHARS = 200
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
+def once(df: DataFrame, *cols: Column) -> DataFrame:
+    """Project ``cols`` behind a one-row ``inline``.
+
+    Catalyst inlines a projected expression into every filter and expression
+    that references it; for a parser that means one parse per reference.
+    A generator is not collapsed or pushed through, so the parse runs once.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def _typed(name: str, dtype, parsed: Column) -> Column:
     text = parsed.getField(name)
     if dtype.simpleString() == "string":
@@ -42,7 +52,9 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     line = F.col(line_col)
     t = F.trim(line)
     parsed = F.from_json(t, EVENT_TEXT, _JSON_OPTS)
-    stage = lines.select(line.alias("line"), t.alias("_t"), parsed.alias("_p"))
+    # Without the barrier, filters on ``reason`` are pushed below the
+    # projection with ``from_json`` inlined: every line would be parsed twice.
+    stage = once(lines, line.alias("line"), t.alias("_t"), parsed.alias("_p"))
     t, p = F.col("_t"), F.col("_p")
     object_shaped = t.startswith("{") & t.endswith("}")
     reason = (
@@ -94,7 +106,7 @@ def decode_minimal(lines: DataFrame, line_col: str = "value",
     """
     t = F.trim(F.col(line_col))
     v = F.try_parse_json(t)
-    stage = lines.select(t.alias("_t"), v.alias("_v"))
+    stage = once(lines, t.alias("_t"), v.alias("_v"))
     v = F.col("_v")
     raw_pid = F.try_variant_get(v, "$.product_id", "variant")
     product = (F.when(raw_pid.isNull(), F.lit(on_missing_product))

@@ -42,7 +42,7 @@ def metric_aggregates(order: Column | None = None) -> list[Column]:
 
 def keyed_events(events: DataFrame) -> DataFrame:
     """Events with a usable key: the streaming path drops NULL and '' products."""
-    return events.filter(F.col("product_id").isNotNull() & (F.col("product_id") != ""))
+    return events.filter(F.length("product_id") > 0)
 
 
 def product_metrics(events: DataFrame) -> DataFrame:

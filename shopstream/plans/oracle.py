@@ -152,10 +152,10 @@ def _damaged(drop_product_key: bool) -> str:
     return f"""
     , lines AS (
         SELECT event_seq,
-               json_object('event_id', event_id, 'event_type', event_type,
-                           'product_id', product_id, 'event_time', event_time) AS full_line,
-               json_object('event_id', event_id, 'event_type', event_type,
-                           {null_pid} 'event_time', event_time) AS no_product_line
+               CAST(json_object('event_id', event_id, 'event_type', event_type,
+                    'product_id', product_id, 'event_time', event_time) AS VARCHAR) AS full_line,
+               CAST(json_object('event_id', event_id, 'event_type', event_type,
+                    {null_pid} 'event_time', event_time) AS VARCHAR) AS no_product_line
         FROM ev
     ), damaged AS (
         SELECT CASE event_seq % 50
@@ -174,21 +174,21 @@ _REJECTS = EV + _damaged(False) + """
         SELECT CASE
                  WHEN trim(line) = '' THEN 'blank'
                  WHEN NOT json_valid(line) THEN 'malformed'
-                 WHEN json_type(line) <> 'OBJECT' THEN 'not_object'
-                 WHEN coalesce(json_extract_string(line, '$.product_id'), '') = '' THEN 'no_product'
+                 WHEN json_type(ok_line) <> 'OBJECT' THEN 'not_object'
+                 WHEN coalesce(json_extract_string(ok_line, '$.product_id'), '') = '' THEN 'no_product'
                END AS reason
-        FROM damaged)
+        FROM (SELECT line, CASE WHEN json_valid(line) THEN line END AS ok_line FROM damaged))
     WHERE reason IS NOT NULL
     GROUP BY reason
 """
 
 _UNKNOWN_PRODUCT = EV + _damaged(True) + """
-    SELECT CASE WHEN json_exists(line, '$.product_id')
-                THEN coalesce(json_extract_string(line, '$.product_id'), 'null')
+    SELECT CASE WHEN json_exists(ok_line, '$.product_id')
+                THEN coalesce(json_extract_string(ok_line, '$.product_id'), 'null')
                 ELSE 'unknown' END AS product_id,
            count(*) AS n
-    FROM damaged
-    WHERE trim(line) <> '' AND json_valid(line) AND json_type(line) = 'OBJECT'
+    FROM (SELECT CASE WHEN json_valid(line) THEN line END AS ok_line FROM damaged)
+    WHERE json_type(ok_line) = 'OBJECT'
     GROUP BY 1
 """
 
