@@ -21,6 +21,8 @@ from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS, EVENT_TEXT
 REASONS = ("blank", "not_object", "malformed", "no_product")
 LINE_HEAD_CHARS = 200
 
+_SCALAR = r"^(-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null)$"
+
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
@@ -57,10 +59,15 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     stage = once(lines, line.alias("line"), t.alias("_t"), parsed.alias("_p"))
     t, p = F.col("_t"), F.col("_p")
     object_shaped = t.startswith("{") & t.endswith("}")
+    # ``try_parse_json`` ignores trailing text, so the whole line must also
+    # have the shape of one array / string / scalar to count as valid JSON.
+    other_shaped = ((t.startswith("[") & t.endswith("]"))
+                    | (t.startswith('"') & t.endswith('"') & (F.length(t) > 1))
+                    | t.rlike(_SCALAR))
     reason = (
         F.when(t.isNull() | (t == ""), F.lit("blank"))
          .when(~object_shaped,
-               F.when(F.try_parse_json(t).isNotNull(), F.lit("not_object"))
+               F.when(other_shaped & F.try_parse_json(t).isNotNull(), F.lit("not_object"))
                 .otherwise(F.lit("malformed")))
          .when(p.isNull() | p.getField(CORRUPT).isNotNull(), F.lit("malformed"))
          .when(p.getField("product_id").isNull() | (p.getField("product_id") == ""),

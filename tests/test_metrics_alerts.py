@@ -1,0 +1,160 @@
+"""Running product metrics and click windows / alerts (golden fixtures)."""
+
+from __future__ import annotations
+
+from conftest import ev, lines_df
+from shopstream.operators import alerts, batch, decode, metrics, quality
+
+
+def _events(spark, events):
+    return decode.decode_events(lines_df(spark, events))
+
+
+def _t(sec, minute=0):
+    return f"2024-01-01T00:{minute:02d}:{sec:02d}.000Z"
+
+
+def test_funnel_counters(spark):
+    es = [
+        ev("e1", "click", event_time=_t(1)),
+        ev("e2", "click", event_time=_t(2)),
+        ev("e3", "cart", cart_action="add", total_value=10.0, event_time=_t(3)),
+        ev("e4", "cart", cart_action="remove", total_value=10.0, event_time=_t(4)),
+        ev("e5", "cart", cart_action="checkout", total_value=20.0, event_time=_t(5)),
+        ev("e6", "delivery_status", delivery_status="created", event_time=_t(6)),
+        ev("e7", "delivery_status", delivery_status="delivered", event_time=_t(7)),
+        ev("e8", "delivery_status", delivery_status="delivered", event_time=_t(8)),
+    ]
+    r = metrics.product_metrics(_events(spark, es)).first()
+    assert (r.clicks, r.cart_adds, r.checkouts, r.delivered) == (2, 1, 1, 2)
+    assert r.orders_value == 20.0 and r.last_event_id == "e8" and r.category == "casa"
+
+
+def test_last_values_follow_arrival_not_event_time(spark):
+    es = [
+        ev("e1", "click", event_time=_t(50), ingested_at=_t(1)),
+        ev("e2", "click", event_time=_t(10), ingested_at=_t(2)),  # older event time, arrives later
+    ]
+    r = metrics.product_metrics(_events(spark, es)).first()
+    assert r.last_event_time == _t(10) and r.last_event_id == "e2"
+
+
+def test_empty_meta_keeps_previous_or_unknown(spark):
+    es = [
+        ev("e1", "click", category="moda", ingested_at=_t(1), event_time=_t(1)),
+        ev("e2", "click", category="", event_time=None, ingested_at=_t(2)),
+        ev("e3", "click", product_id="prod-009", category="", ingested_at=_t(3)),
+    ]
+    got = {r.product_id: r for r in metrics.product_metrics(_events(spark, es)).collect()}
+    assert got["prod-001"].category == "moda"
+    assert got["prod-001"].last_event_time == _t(1)
+    assert got["prod-009"].category == "unknown"
+
+
+def test_bad_money_counts_but_adds_zero(spark):
+    es = [
+        ev("e1", "cart", cart_action="checkout", total_value="12.5"),
+        ev("e2", "cart", cart_action="checkout", total_value="abc"),
+        ev("e3", "cart", cart_action="checkout", total_value=None),
+    ]
+    r = metrics.product_metrics(_events(spark, es)).first()
+    assert r.checkouts == 3 and r.orders_value == 12.5
+
+
+def test_unknown_type_creates_row_with_zero_counters(spark):
+    r = metrics.product_metrics(_events(spark, [ev("e1", "error", category="livros")])).first()
+    assert (r.clicks, r.cart_adds, r.checkouts, r.delivered, r.orders_value) == (0, 0, 0, 0, 0.0)
+    assert r.category == "livros" and r.last_event_id == "e1"
+
+
+def test_product_null_vs_empty_policies(spark):
+    rows = spark.createDataFrame(
+        [("e1", "click", None, "c"), ("e2", "click", "", "c"), ("e3", "click", "p", "c")],
+        "event_id string, event_type string, product_id string, category string")
+    # ETL keeps both as groups
+    etl = {r.product_id for r in batch.clicks_by_product(batch.clean(rows)).collect()}
+    assert etl == {None, "", "p"}
+    # SQL path drops NULL only
+    full = rows.selectExpr("*", "CAST(NULL AS string) cart_action", "0.0D total_value",
+                           "CAST(NULL AS string) delivery_status")
+    sql = {r.product_id for r in batch.product_metrics_batch(full).collect()}
+    assert sql == {"", "p"}
+    # the streaming decode drops both
+    d = _events(spark, [ev("a", "click", product_id=None), ev("b", "click", product_id=""),
+                        ev("c", "click", product_id="p")])
+    assert {r.product_id for r in d.collect()} == {"p"}
+
+
+def _clicks_at(n, start_sec=0, minute=3):
+    return [ev(f"c{i}", "click", event_time=_t(start_sec + i, minute)) for i in range(n)]
+
+
+def test_threshold_nine_vs_ten(spark):
+    nine = alerts.click_alerts(_events(spark, _clicks_at(9)))
+    assert nine.count() == 0
+    ten = alerts.click_alerts(_events(spark, _clicks_at(10)))
+    rows = ten.collect()
+    assert len(rows) == 5 and all(r.click_count == 10 for r in rows)
+    assert all(r.row_key == f"alert|prod-001|{r.window_start}|{r.window_end}" for r in rows)
+    assert {r.alert_type for r in rows} == {"HIGH_CLICK_VOLUME"}
+    assert {r.first_event_time for r in rows} == {_t(0, 3)}
+    assert {r.last_event_time for r in rows} == {_t(9, 3)}
+
+
+def test_window_edges(spark):
+    e = [ev("c1", "click", event_time="2024-01-01T00:03:00.000Z")]
+    w = alerts.click_windows(_events(spark, e)).orderBy("window_start").collect()
+    t = 1704067380000
+    assert len(w) == 5
+    assert w[-1].window_start == t                     # start inclusive
+    assert w[0].window_end == t + 60_000               # end exclusive: [t-4m, t+1m)
+    assert all(r.window_start <= t < r.window_end for r in w)
+
+
+def test_each_click_in_size_over_slide_windows(spark):
+    es = _clicks_at(7, minute=5) + _clicks_at(3, minute=17)
+    w = alerts.click_windows(_events(spark, es))
+    assert w.groupBy().sum("click_count").first()[0] == 10 * 5
+
+
+def test_window_lines(spark):
+    w = alerts.click_windows(_events(spark, _clicks_at(1)))
+    lines = [r.line for r in alerts.window_lines(w).collect()]
+    assert len(lines) == 5
+    assert all(x.startswith("ALERTA | produto=prod-001 | clicks=1 | janela=") for x in lines)
+
+
+def test_category_change_reconciles(spark):
+    es = [ev("e1", "click", category="casa", ingested_at=_t(1)),
+          ev("e2", "cart", cart_action="checkout", total_value=5.5, category="moda",
+             ingested_at=_t(2))]
+    d = _events(spark, es)
+    b = batch.product_metrics_batch(d)
+    assert b.count() == 2
+    r = quality.reconcile(metrics.product_metrics(d), b).first()
+    assert (r.clicks_diff, r.checkouts_diff, r.orders_value_diff) == (0, 0, 0.0)
+    assert r.in_running and r.in_batch
+
+
+def test_order_progress_left_join(spark):
+    es = [ev("e1", "cart", cart_action="checkout", order_id="o1", ingested_at=_t(1)),
+          ev("e2", "delivery_status", delivery_status="shipped", order_id="o1", ingested_at=_t(2)),
+          ev("e3", "delivery_status", delivery_status="delivered", order_id="o1",
+             ingested_at=_t(3)),
+          ev("e4", "cart", cart_action="checkout", order_id="o2", ingested_at=_t(4)),
+          ev("e5", "delivery_status", delivery_status="created", order_id="o3", ingested_at=_t(5))]
+    got = {r.order_id: r for r in quality.order_progress(_events(spark, es)).collect()}
+    assert set(got) == {"o1", "o2"}
+    assert got["o1"].latest_status == "delivered" and got["o1"].delivered
+    assert got["o2"].latest_status is None and not got["o2"].delivered
+    assert got["o2"].delivery_events == 0
+
+
+def test_contract_violations(spark):
+    es = [ev("e1", "weird"), ev("e2", "cart", cart_action="bogus", total_value=10.0),
+          ev("e3", "click", cart_action="add"), ev("e4", "click", total_value=3.0),
+          ev("e5", "cart", cart_action="add", total_value=99.0, unit_price=10.0, quantity=2)]
+    got = {r.rule: r.n for r in quality.contract_violations(_events(spark, es)).collect()}
+    assert got == {"unknown_event_type": 1, "cart_without_valid_action": 1,
+                   "delivery_without_valid_status": 0, "action_on_non_cart": 1,
+                   "total_mismatch": 1, "click_with_value": 1}
