@@ -53,6 +53,11 @@ def top_clicked(by_product: DataFrame, n: int = 20) -> DataFrame:
                               F.col("product_id").asc_nulls_last()).limit(n)
 
 
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """First ``n`` rows for display (``show(n)`` / ``head -n``)."""
+    return df.limit(n)
+
+
 def exact_avg(c) -> F.Column:
     """Average over an exact decimal sum (independent of row order)."""
     c = F.col(c) if isinstance(c, str) else c

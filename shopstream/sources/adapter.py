@@ -48,6 +48,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+_SPLITS: dict[tuple[str, str], bool] = {}
+
+
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """:func:`read_table` + :func:`spread`, the split check done once per table."""
+    df = read_table(spark, sf_dir, name)
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}")
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    return df.repartition(spark.sparkContext.defaultParallelism) if _SPLITS[key] else df
+
+
 def _lit_array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -108,7 +120,7 @@ def canonical_events(raw: DataFrame) -> DataFrame:
 
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events of the driver table at ``sf_dir``."""
-    return canonical_events(spread(read_table(spark, sf_dir, "events")))
+    return canonical_events(read_spread(spark, sf_dir, "events"))
 
 
 def contract_only(ev: DataFrame) -> DataFrame:

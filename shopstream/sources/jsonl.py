@@ -77,8 +77,8 @@ def write_events_json(events: DataFrame, path: str, mode: str = "errorifexists")
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
     """The driver events, landed once per session as JSON lines in the work folder.
 
-    Files are ordered by arrival (range-partitioned on ingested time, event
-    id) so that a file-at-a-time stream sees them roughly in arrival order.
+    Each file is sorted by arrival (ingested time, event id) inside its task;
+    no global sort: streams order by the arrival key, not by file layout.
     """
     from shopstream.sources.adapter import driver_events
 
@@ -87,9 +87,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
         return _LANDED[key]
     path = new_run_dir(spark, "landing")
     ev = driver_events(spark, sf_dir)
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    write_events_json(ev.repartitionByRange(parts, "ingested_ms", "event_id")
-                      .sortWithinPartitions("ingested_ms", "event_id"), path)
+    write_events_json(ev.sortWithinPartitions("ingested_ms", "event_id"), path)
     _LANDED[key] = path
     return path
 

@@ -139,3 +139,15 @@ def start_landing(spark: SparkSession, log_dir: str, raw_path: str, staging_path
     src = text_source(spark, log_dir, **source_opts)
     return (src.writeStream.foreachBatch(landing_writer(raw_path, staging_path))
             .option("checkpointLocation", checkpoint).trigger(**trigger.kwargs()).start())
+
+
+def start_console(result: DataFrame, output_mode: str = "append",
+                  trigger: Trigger = Trigger(), checkpoint: str | None = None,
+                  rows: int = 20) -> StreamingQuery:
+    """Print each micro-batch (debugging; the print sink of the original flows)."""
+    w = (result.writeStream.format("console").outputMode(output_mode)
+         .option("truncate", "false").option("numRows", str(rows))
+         .trigger(**trigger.kwargs()))
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()
