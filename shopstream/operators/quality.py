@@ -2,12 +2,12 @@
 
 * contract violations per rule
 * lateness profile per event type (arrival lag vs the watermark)
-* order progress: checkout -> latest delivery status (left join)
+* order progress: checkout -> latest delivery status (one grouped pass)
 * stream/batch reconciliation per product (full outer join)
 
-Joins happen only after both sides are aggregated to one row per key, so a
-hot key never reaches the join: the shuffle carries one row per key per map
-task.
+The one join (reconciliation) happens only after both sides are aggregated
+to one row per key, so a hot key never reaches it: the shuffle carries one
+row per key per map task.
 """
 
 from __future__ import annotations
@@ -62,27 +62,29 @@ def lateness_profile(events: DataFrame, watermark_ms: int = WATERMARK_MS) -> Dat
 def order_progress(events: DataFrame) -> DataFrame:
     """Per checked-out order: first checkout, latest delivery status, delivered flag.
 
-    Undelivered orders stay (left join); deliveries of orders never checked
-    out are not reported.
+    Undelivered orders stay; deliveries of orders never checked out are not
+    reported.  Equivalent to checkouts LEFT JOIN deliveries on order_id, but
+    computed as one grouped aggregation with conditional aggregates: one scan,
+    one shuffle (after map-side partial aggregation, so a hot order is
+    reduced per task first) and no join.
     """
     order = arrival_key()
-    oid = F.col("order_id").isNotNull()
-    checkouts = (events.filter(oid & (F.col("event_type") == "cart")
-                               & (F.col("cart_action") == "checkout"))
-                 .groupBy("order_id")
-                 .agg(first_by_arrival("event_time", order, "").alias("first_checkout_time"),
-                      F.count(F.lit(1)).alias("checkouts")))
-    deliveries = (events.filter(oid & (F.col("event_type") == "delivery_status"))
-                  .groupBy("order_id")
-                  .agg(last_by_arrival("delivery_status", order).alias("latest_status"),
-                       F.count(F.lit(1)).alias("delivery_events"),
-                       F.max((F.col("delivery_status") == "delivered").cast("int"))
-                       .alias("_delivered")))
-    joined = checkouts.join(deliveries, "order_id", "left")
-    return joined.select(
-        "order_id", "first_checkout_time", "checkouts", "latest_status",
-        F.coalesce(F.col("delivery_events"), F.lit(0).cast("long")).alias("delivery_events"),
-        F.coalesce(F.col("_delivered") == 1, F.lit(False)).alias("delivered"))
+    et = F.col("event_type")
+    is_checkout = (et == "cart") & (F.col("cart_action") == "checkout")
+    is_delivery = et == "delivery_status"
+    rel = events.filter(F.col("order_id").isNotNull() & (is_checkout | is_delivery))
+    ck_time = F.when(is_checkout, F.col("event_time"))
+    status = F.when(is_delivery, F.col("delivery_status"))
+    agg = rel.groupBy("order_id").agg(
+        first_by_arrival(ck_time, order, "").alias("first_checkout_time"),
+        count_when(is_checkout).alias("checkouts"),
+        last_by_arrival(status, order).alias("latest_status"),
+        count_when(is_delivery).alias("delivery_events"),
+        F.max(is_delivery & (F.col("delivery_status") == "delivered")).alias("_delivered"),
+    )
+    return agg.filter(F.col("checkouts") > 0).select(
+        "order_id", "first_checkout_time", "checkouts", "latest_status", "delivery_events",
+        F.coalesce(F.col("_delivered"), F.lit(False)).alias("delivered"))
 
 
 RECONCILED = (("clicks", "total_clicks"), ("cart_adds", "total_cart_adds"),

@@ -8,6 +8,7 @@ tables stay the source of truth; this view is a ``stack`` over them.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopstream.functions.columns import fmt_money
@@ -15,42 +16,47 @@ from shopstream.functions.columns import fmt_money
 CELL_COLUMNS = ("row_key", "family", "qualifier", "value")
 
 
-def _cells(key: Column, cells: list[tuple[str, str, Column]]) -> Column:
+# (family, qualifier, source column); orders_value is rendered as money.
+METRIC_SPEC = (
+    ("metrics", "clicks", "clicks"),
+    ("metrics", "cart_adds", "cart_adds"),
+    ("metrics", "checkouts", "checkouts"),
+    ("metrics", "orders_value", "orders_value"),
+    ("metrics", "delivered", "delivered"),
+    ("meta", "category", "category"),
+    ("meta", "last_event_time", "last_event_time"),
+    ("meta", "last_event_id", "last_event_id"),
+)
+ALERT_SPEC = (
+    ("alert", "product_id", "product_id"),
+    ("alert", "type", "alert_type"),
+    ("alert", "click_count", "click_count"),
+    ("alert", "window_start", "window_start"),
+    ("alert", "window_end", "window_end"),
+    ("alert", "first_event_time", "first_event_time"),
+    ("alert", "last_event_time", "last_event_time"),
+)
+MAX_CELLS_PER_ROW = max(len(METRIC_SPEC), len(ALERT_SPEC))
+_MONEY_CELLS = {"orders_value"}
+
+
+def _cells(spec) -> Column:
+    def value(src: str) -> Column:
+        return fmt_money(F.col(src)) if src in _MONEY_CELLS else F.col(src).cast("string")
     return F.explode(F.array(*[
         F.struct(F.lit(fam).alias("family"), F.lit(q).alias("qualifier"),
-                 v.cast("string").alias("value"))
-        for fam, q, v in cells]))
+                 value(src).alias("value"))
+        for fam, q, src in spec]))
 
 
 def metric_cells(product_metrics: DataFrame) -> DataFrame:
-    c = F.col
-    cells = [
-        ("metrics", "clicks", c("clicks")),
-        ("metrics", "cart_adds", c("cart_adds")),
-        ("metrics", "checkouts", c("checkouts")),
-        ("metrics", "orders_value", fmt_money(c("orders_value"))),
-        ("metrics", "delivered", c("delivered")),
-        ("meta", "category", c("category")),
-        ("meta", "last_event_time", c("last_event_time")),
-        ("meta", "last_event_id", c("last_event_id")),
-    ]
-    return (product_metrics.select(c("product_id").alias("row_key"),
-                                   _cells(c("product_id"), cells).alias("cell"))
+    return (product_metrics.select(F.col("product_id").alias("row_key"),
+                                   _cells(METRIC_SPEC).alias("cell"))
             .select("row_key", "cell.*"))
 
 
 def alert_cells(alerts: DataFrame) -> DataFrame:
-    c = F.col
-    cells = [
-        ("alert", "product_id", c("product_id")),
-        ("alert", "type", c("alert_type")),
-        ("alert", "click_count", c("click_count")),
-        ("alert", "window_start", c("window_start")),
-        ("alert", "window_end", c("window_end")),
-        ("alert", "first_event_time", c("first_event_time")),
-        ("alert", "last_event_time", c("last_event_time")),
-    ]
-    return (alerts.select(c("row_key"), _cells(c("row_key"), cells).alias("cell"))
+    return (alerts.select("row_key", _cells(ALERT_SPEC).alias("cell"))
             .select("row_key", "cell.*"))
 
 
@@ -59,14 +65,20 @@ def serving_rows(product_metrics: DataFrame, alerts: DataFrame) -> DataFrame:
 
 
 def scan(rows: DataFrame, limit: int | None = 10, start_key: str | None = None) -> DataFrame:
-    """Key-ordered scan; ``limit`` counts row keys (not cells)."""
+    """Key-ordered scan; ``limit`` counts row keys (not cells).
+
+    A row has at most :data:`MAX_CELLS_PER_ROW` cells, so the first ``limit``
+    keys lie within the first ``limit * MAX_CELLS_PER_ROW`` cells in key
+    order: one bounded top-k (per-task top-k, then merge), then a rank over
+    at most that many cells.
+    """
     if start_key is not None:
         rows = rows.filter(F.col("row_key") >= start_key)
     if limit is None:
         return rows
-    # The key list is bounded by ``limit`` (the feature), so broadcasting it is safe.
-    keys = rows.select("row_key").distinct().orderBy("row_key").limit(limit)
-    return rows.join(F.broadcast(keys), "row_key", "left_semi")
+    top = rows.orderBy("row_key", "family", "qualifier").limit(limit * MAX_CELLS_PER_ROW)
+    rank = F.dense_rank().over(Window.orderBy("row_key"))
+    return top.withColumn("_k", rank).filter(F.col("_k") <= limit).drop("_k")
 
 
 def get(rows: DataFrame, row_key: str) -> DataFrame:
