@@ -89,3 +89,19 @@ def table_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+SERVING_DDL = "row_key STRING, family STRING, qualifier STRING, value STRING"
+
+
+def create_serving_table(spark: SparkSession, db: str, name: str = "ecommerce_metrics") -> str:
+    """Create-if-absent serving table (an existing table is success, not an error)."""
+    full = f"{safe_identifier(db)}.{safe_identifier(name)}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({SERVING_DDL}) USING parquet")
+    return full
+
+
+def write_serving(rows: DataFrame, table: str) -> None:
+    """Replace the serving cells (one job; readers see the old or the new version)."""
+    rows.select("row_key", "family", "qualifier", "value").write.mode("overwrite") \
+        .format("parquet").saveAsTable(table)

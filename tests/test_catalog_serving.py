@@ -74,3 +74,14 @@ def test_serving_rows_scan_get(spark):
         r.row_key for r in rows.select("row_key").distinct().orderBy("row_key").limit(2).collect())
     alert_keys = {r.row_key for r in rows.filter("family = 'alert'").select("row_key").collect()}
     assert len(alert_keys) == 5 and all(k.startswith("alert|prod-001|") for k in alert_keys)
+
+
+def test_serving_table_create_if_absent(spark):
+    db = catalog.ensure_database(spark, jsonl.unique_name("t_srv"), new_run_dir(spark, "db"))
+    t = catalog.create_serving_table(spark, db)
+    assert catalog.create_serving_table(spark, db) == t        # exists -> success
+    d = decode.decode_events(lines_df(spark, [ev("e1", "click")]))
+    rows = serving.serving_rows(metrics.product_metrics(d), alerts.click_alerts(d))
+    catalog.write_serving(rows, t)
+    assert spark.table(t).count() == 8
+    assert serving.scan(spark.table(t), 5).select("row_key").distinct().count() == 1

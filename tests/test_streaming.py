@@ -192,3 +192,23 @@ def test_landing_fan_out_replay_safe(spark, tmp_dir):
     w = sq.landing_writer(f"{run}/raw", f"{run}/staging")
     w(spark.read.text(f"{log}/part-0000.json"), 0)
     assert spark.read.text(f"{run}/staging").count() == 8
+
+
+def test_publish_stable_files_moves_once(spark, tmp_dir):
+    from shopstream.sources.publish import publish_stable_files
+
+    staging, ready = f"{tmp_dir}/staging", f"{tmp_dir}/ready"
+    os.makedirs(staging)
+    old = time.time() - 60
+    write_lines(f"{staging}/ecommerce-1.json", [ev("a", "click")], mtime=old)
+    write_lines(f"{staging}/ecommerce-2.json", [ev("b", "click")])          # fresh
+    write_lines(f"{staging}/ecommerce-3.json.tmp", [ev("c", "click")], mtime=old)
+    write_lines(f"{staging}/.hidden.json", [ev("d", "click")], mtime=old)
+    assert publish_stable_files(spark, staging, ready) == ["ecommerce-1.json"]
+    assert sorted(os.listdir(ready)) == ["ecommerce-1.json"]
+    # a same-named file later: never overwritten, stays in staging
+    write_lines(f"{staging}/ecommerce-1.json", [ev("z", "click")], mtime=old)
+    assert publish_stable_files(spark, staging, ready) == []
+    assert os.path.exists(f"{staging}/ecommerce-1.json")
+    later = (time.time() + 60) * 1000
+    assert publish_stable_files(spark, staging, ready, now_ms=int(later)) == ["ecommerce-2.json"]
