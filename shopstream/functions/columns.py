@@ -18,9 +18,8 @@ def col_of(c: Column | str) -> Column:
 
 def zero_pad(c: Column | str, width: int) -> Column:
     """``%0{width}d``: pads to at least ``width`` digits, never truncates."""
-    c = col_of(c)
-    text = c.cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+    text = col_of(c).cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")
 
 
 def truthy(c: Column | str) -> Column:
