@@ -16,7 +16,9 @@ from shopstream.functions.columns import fmt_money
 CELL_COLUMNS = ("row_key", "family", "qualifier", "value")
 
 
-# (family, qualifier, source column); orders_value is rendered as money.
+# ---------------------------------------------------------------------------
+# Serving cell layout (family, qualifier, source column).
+# orders_value is rendered as money.
 METRIC_SPEC = (
     ("metrics", "clicks", "clicks"),
     ("metrics", "cart_adds", "cart_adds"),
@@ -36,6 +38,7 @@ ALERT_SPEC = (
     ("alert", "first_event_time", "first_event_time"),
     ("alert", "last_event_time", "last_event_time"),
 )
+# ---------------------------------------------------------------------------
 MAX_CELLS_PER_ROW = max(len(METRIC_SPEC), len(ALERT_SPEC))
 _MONEY_CELLS = {"orders_value"}
 

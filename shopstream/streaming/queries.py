@@ -117,7 +117,11 @@ def current(spark: SparkSession, sink_path: str, result_schema, keys) -> DataFra
 
 # ----------------------------------------------------------------- landing fan-out
 def landing_writer(raw_path: str, staging_path: str):
-    """One micro-batch -> raw archive (by event date) and staging; both replay-safe."""
+    """One micro-batch -> raw archive (by event date) and staging; both replay-safe.
+
+    Lines are kept byte for byte (text sink, ``part-*.txt`` files); read them
+    back with ``spark.read.text`` or a stream source with ``glob="*.txt"``.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long")).persist()
         try:
@@ -151,3 +155,12 @@ def start_console(result: DataFrame, output_mode: str = "append",
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     return w.start()
+
+
+def rows_dropped_by_watermark(q: StreamingQuery) -> int:
+    """Late rows the stateful operators dropped, over the query's recent progress."""
+    total = 0
+    for p in q.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total

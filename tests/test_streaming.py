@@ -113,8 +113,9 @@ def test_late_row_dropped_by_windows_counted_by_totals(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     _stage(src, [on_time, advance, spacer, late, advance2])
     run_w, run_m = f"{tmp_dir}/w", f"{tmp_dir}/m"
-    _run(sq.start_click_windows, spark, src, run_w, max_files_per_trigger=1)
+    qw = _run(sq.start_click_windows, spark, src, run_w, max_files_per_trigger=1)
     _run(sq.start_product_metrics, spark, src, run_m, max_files_per_trigger=1)
+    assert sq.rows_dropped_by_watermark(qw) == 5      # the late click's 5 windows
     wschema = sq.click_windows_stream(sq.decoded_stream(spark, src)).schema
     wins = sq.current(spark, f"{run_w}/sink", wschema, ["product_id", "window_start", "window_end"])
     # the on-time click's 5 windows closed with 1 click each; the late one added nothing
