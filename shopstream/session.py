@@ -38,7 +38,10 @@ def build_session(master: str | None = None, app_name: str = "shopstream",
     for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     ensure_utc(spark)
     return spark
 
@@ -49,6 +52,22 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def app_id(spark: SparkSession) -> str:
+    """Application id (cache key for per-application state)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        return spark.conf.get("spark.app.id", "remote")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (``defaultParallelism``)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
@@ -57,14 +76,25 @@ def work_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+            configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shopstream-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
-        spark.conf.set("spark.checkpoint.dir", configured)
+        key = app_id(spark)
+        if key not in _PRIVATE_DIRS:
+            _PRIVATE_DIRS[key] = tempfile.mkdtemp(prefix="shopstream-ckpt-")
+            try:
+                spark.sparkContext.setCheckpointDir(_PRIVATE_DIRS[key])
+            except Exception:  # noqa: BLE001
+                pass
+        configured = _PRIVATE_DIRS[key]
     return configured.rstrip("/")
 
 
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the work dir (never reused, never wiped)."""
     return f"{work_dir(spark)}/shopstream/{label}-{uuid.uuid4().hex[:12]}"

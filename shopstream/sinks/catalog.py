@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopstream.operators.batch import PRODUCT_METRICS_BATCH_SQL
 from shopstream.schema import INSIGHTS_CLIQUES_DDL, INSIGHTS_VENDAS_DDL
-from shopstream.session import new_run_dir
+from shopstream.session import app_id, new_run_dir
 from shopstream.sources.jsonl import safe_identifier, unique_name
 
 _SCRATCH: dict[str, str] = {}
@@ -31,7 +31,7 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 def scratch_database(spark: SparkSession) -> str:
     """One private database per application, located in the work folder."""
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     if app not in _SCRATCH:
         name = unique_name("shopstream")
         _SCRATCH[app] = ensure_database(spark, name, new_run_dir(spark, "db-" + name))

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopstream.session import app_id, default_parallelism
+
 from shopstream.schema import (CATEGORIES, DELIVERY_STATUSES, EVENT_COLUMNS, ISO_MS_FORMAT,
                                SCHEMA_VERSION, SOURCE)
 
@@ -41,6 +43,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _num_splits(df: DataFrame) -> int | None:
+    """Scan partitions (plans the scan, runs no job); None where unavailable."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. remote sessions without RDDs
+        return None
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Guarantee scan parallelism.
 
@@ -48,13 +58,11 @@ def spread(df: DataFrame) -> DataFrame:
     row group scans as a single task, leaving the per-row mapping and JSON
     work on one core.  When the scan has fewer partitions than the cluster's
     default parallelism, spread it round-robin; at scale (thousands of
-    splits) this is a no-op and adds no shuffle.  Counting partitions plans
-    the scan but runs no job.
+    splits) this is a no-op and adds no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    target = default_parallelism(df.sparkSession)
+    n = _num_splits(df)
+    return df.repartition(target) if n is not None and n < target else df
 
 
 _SPLITS: dict[tuple[str, str], bool] = {}
@@ -63,10 +71,12 @@ _SPLITS: dict[tuple[str, str], bool] = {}
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """:func:`read_table` + :func:`spread`, the split check done once per table."""
     df = read_table(spark, sf_dir, name)
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}")
+    target = default_parallelism(spark)
+    key = (app_id(spark), f"{sf_dir}/{name}")
     if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    return df.repartition(spark.sparkContext.defaultParallelism) if _SPLITS[key] else df
+        n = _num_splits(df)
+        _SPLITS[key] = n is not None and n < target
+    return df.repartition(target) if _SPLITS[key] else df
 
 
 def _sql_list(values) -> str:

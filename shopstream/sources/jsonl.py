@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.schema import EVENT, EVENT_COLUMNS, RAW_LOGS_COLUMNS, RAW_LOGS_DDL
-from shopstream.session import new_run_dir
+from shopstream.session import app_id, new_run_dir
 
 # ---------------------------------------------------------------------------
 # File names that are still being written and must not be read.
@@ -82,7 +82,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
     """
     from shopstream.sources.adapter import driver_events
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if key in _LANDED:
         return _LANDED[key]
     path = new_run_dir(spark, "landing")
