@@ -31,7 +31,8 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {label} failed: {q.exception()}")
-    return sq.current(spark, f"{run}/sink", result.schema, keys)
+    return sq.current(spark, f"{run}/sink", result.schema, keys,
+                      append_only=output_mode == "append")
 
 
 @register("stream_product_metrics")

@@ -116,3 +116,18 @@ def is_local(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def make_dirs(spark: SparkSession, path: str) -> bool:
+    """Create a folder on the cluster file system (metadata only, no job).
+
+    Returns False where the file system is not reachable from the driver
+    (remote sessions); callers then fall back to a DataFrame write.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.mkdirs(p))
+    except Exception:  # noqa: BLE001
+        return False

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopstream.session import make_dirs
+
 BATCH_COL = "batch_id"
 
 
@@ -29,8 +31,9 @@ def log_schema(value_schema: T.StructType) -> T.StructType:
 
 def init_log(spark: SparkSession, path: str, value_schema: T.StructType) -> None:
     """Create the (empty) log folder so readers work before the first batch."""
-    (spark.createDataFrame([], log_schema(value_schema))
-     .write.mode("append").partitionBy(BATCH_COL).parquet(path))
+    if not make_dirs(spark, path):
+        (spark.createDataFrame([], log_schema(value_schema))
+         .write.mode("append").partitionBy(BATCH_COL).parquet(path))
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -46,8 +49,18 @@ def read_log(spark: SparkSession, path: str, value_schema: T.StructType) -> Data
     return spark.read.schema(log_schema(value_schema)).parquet(path)
 
 
+def appended_rows(log: DataFrame) -> DataFrame:
+    """Current rows of an append-mode sink: the log itself.
+
+    Append mode emits each key once (a window is final when the watermark
+    passes it) and a replayed batch overwrites its own partition, so no key
+    has two versions and no per-key reduction (shuffle) is needed.
+    """
+    return log.drop(BATCH_COL)
+
+
 def current_view(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Newest version of every key (by batch id)."""
+    """Newest version of every key (by batch id), for update-mode sinks."""
     values = [c for c in log.columns if c not in keys and c != BATCH_COL]
     latest = log.groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_v"))

@@ -111,8 +111,11 @@ def start_click_alerts(spark: SparkSession, source_dir: str, sink_path: str, che
     return start_upsert(res, sink_path, checkpoint, "append", trigger)
 
 
-def current(spark: SparkSession, sink_path: str, result_schema, keys) -> DataFrame:
-    return changelog.current_view(changelog.read_log(spark, sink_path, result_schema), keys)
+def current(spark: SparkSession, sink_path: str, result_schema, keys,
+            append_only: bool = False) -> DataFrame:
+    """Current rows of a change-log sink (``append_only``: no per-key reduction)."""
+    log = changelog.read_log(spark, sink_path, result_schema)
+    return changelog.appended_rows(log) if append_only else changelog.current_view(log, keys)
 
 
 # ----------------------------------------------------------------- landing fan-out
