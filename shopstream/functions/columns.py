@@ -37,6 +37,17 @@ def parse_iso_ts(c: Column | str) -> Column:
     return F.when(c.rlike(_DATE_SHAPE), F.trim(c).try_cast("timestamp"))
 
 
+def parse_iso_ts_sql(expr: str) -> str:
+    """SQL-text form of :func:`parse_iso_ts` for ``selectExpr``."""
+    return f"CASE WHEN {expr} RLIKE r'{_DATE_SHAPE}' THEN try_cast(trim({expr}) AS TIMESTAMP) END"
+
+
+def event_timestamp_sql(event_time: str, ingested_at: str) -> str:
+    """SQL-text form of :func:`event_timestamp`."""
+    return (f"coalesce({parse_iso_ts_sql(event_time)}, {parse_iso_ts_sql(ingested_at)}, "
+            f"current_timestamp())")
+
+
 def event_timestamp(event_time: Column | str, ingested_at: Column | str) -> Column:
     """Event-time assigner: event_time, else the arrival clock, else now.
 
