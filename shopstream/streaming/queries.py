@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shopstream.functions.columns import parse_iso_ts
 from shopstream.operators import alerts, decode, metrics
 from shopstream.schema import (ALERT_THRESHOLD, WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE)
 from shopstream.sinks import changelog
@@ -128,8 +129,9 @@ def landing_writer(raw_path: str, staging_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long")).persist()
         try:
-            date = F.substring(F.get_json_object("value", "$.event_time"), 1, 10)
-            (b.withColumn("event_date", F.coalesce(date, F.lit("unknown")))
+            ts = parse_iso_ts(F.get_json_object("value", "$.event_time"))
+            date = F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown"))
+            (b.withColumn("event_date", date)
              .select("value", "event_date", changelog.BATCH_COL)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_date", changelog.BATCH_COL).text(raw_path))
