@@ -322,6 +322,7 @@ ORACLE: dict[str, str] = {
     "stream_click_windows": EV + _window_counts(5 * MIN, MIN, f"HAVING true {CLOSED}"),
     "stream_click_alerts": EV + _alerts(5 * MIN, MIN, 10, CLOSED),
     "stream_click_alerts_1d": EV + _alerts(DAY, 6 * HOUR, 10, CLOSED),
+    "reconcile_stream": _RECONCILE,
     "stream_landing": EV + "SELECT 'raw' AS sink, count(*) AS n FROM ev "
                            "UNION ALL SELECT 'staging', count(*) FROM ev",
     "insights_tables": EV + f"""

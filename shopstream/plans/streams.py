@@ -116,3 +116,12 @@ def q_validation_summary(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("reconcile_stream")
+def q_reconcile_stream(spark, sf_dir):
+    """Stream/batch reconciliation over the real streaming sink vs the batch totals."""
+    from shopstream.operators import quality
+
+    running = q_stream_product_metrics(spark, sf_dir)
+    return quality.reconcile(running, batch.product_metrics_batch(events(spark, sf_dir)))

@@ -213,3 +213,24 @@ def test_publish_stable_files_moves_once(spark, tmp_dir):
     assert os.path.exists(f"{staging}/ecommerce-1.json")
     later = (time.time() + 60) * 1000
     assert publish_stable_files(spark, staging, ready, now_ms=int(later)) == ["ecommerce-2.json"]
+
+
+def test_continuous_trigger_picks_up_published_files(spark, tmp_dir):
+    src, run = f"{tmp_dir}/ready", f"{tmp_dir}/run"
+    os.makedirs(src)
+    q = sq.start_product_metrics(spark, src, f"{run}/sink", f"{run}/ck",
+                                 sq.Trigger(processing_time="200 milliseconds"))
+    try:
+        for i in range(2):
+            write_lines(f"{src}/.f{i}.json", [ev(f"e{i}", "click")])
+            os.rename(f"{src}/.f{i}.json", f"{src}/f{i}.json")     # atomic publish
+            deadline = time.time() + 60
+            while time.time() < deadline:
+                if sum(p["numInputRows"] for p in q.recentProgress) >= i + 1:
+                    break
+                time.sleep(0.1)
+        assert sum(p["numInputRows"] for p in q.recentProgress) == 2
+    finally:
+        q.stop()
+    schema = sq.product_metrics_stream(sq.decoded_stream(spark, src)).schema
+    assert sq.current(spark, f"{run}/sink", schema, ["product_id"]).first().clicks == 2
