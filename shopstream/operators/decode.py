@@ -24,7 +24,6 @@ LINE_HEAD_CHARS = 200
 _SCALAR = r"^(-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null)$"
 
 
-
 def once(df: DataFrame, *cols: Column) -> DataFrame:
     """Project ``cols`` behind a one-row ``inline``.
 
