@@ -72,8 +72,8 @@ def _windows(size_ms: int, slide_ms: int, extra_where: str = "") -> str:
     SELECT product_id, ws AS window_start, ws + {size_ms} AS window_end, event_time, arrival
     FROM (SELECT product_id, event_time, arrival,
                  (event_ms // {slide_ms}) * {slide_ms} - i * {slide_ms} AS ws
-          FROM ev CROSS JOIN range(0, {n}) AS t(i)
-          WHERE event_type = 'click' {extra_where})
+          FROM (SELECT *, unnest(range(0, {n})) AS i FROM ev
+                WHERE event_type = 'click' {extra_where}))
     """
 
 
