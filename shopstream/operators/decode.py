@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.columns import event_timestamp_sql, parse_iso_ts, parse_iso_ts_sql
-from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS
+from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS, EVENT_TEXT
 
 REASONS = ("blank", "not_object", "malformed", "no_product")
 LINE_HEAD_CHARS = 200
@@ -34,7 +34,8 @@ def once(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*cols))))
 
 
-_TEXT_DDL = ", ".join(f"{n} STRING" for n in EVENT_COLUMNS) + f", {CORRUPT} STRING"
+# Wire schema (every field as text + the corrupt-record marker) as DDL.
+_TEXT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in EVENT_TEXT.fields)
 _OPTS_SQL = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}')"
 
 # Outcome of a line, checked in order (``_t`` trimmed line, ``_p`` parsed struct).

@@ -234,3 +234,17 @@ def test_continuous_trigger_picks_up_published_files(spark, tmp_dir):
         q.stop()
     schema = sq.product_metrics_stream(sq.decoded_stream(spark, src)).schema
     assert sq.current(spark, f"{run}/sink", schema, ["product_id"]).first().clicks == 2
+
+
+def test_compaction_keeps_current_rows(spark, tmp_dir):
+    path, out = f"{tmp_dir}/log", f"{tmp_dir}/compacted"
+    df = spark.createDataFrame([("p1", 1), ("p2", 2)], "product_id string, n long")
+    changelog.init_log(spark, path, df.schema)
+    w = changelog.batch_writer(path)
+    w(df, 0)
+    w(spark.createDataFrame([("p1", 5)], df.schema), 1)
+    changelog.compact(spark, path, out, df.schema, ["product_id"])
+    log = changelog.read_log(spark, out, df.schema)
+    assert log.count() == 2
+    assert {r.product_id: r.n for r in changelog.current_view(log, ["product_id"]).collect()} == \
+        {"p1": 5, "p2": 2}
