@@ -29,8 +29,10 @@ def build_session(master: str | None = None, app_name: str = "shopstream",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # parquet splits sized so one task's working set fits executor memory
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        # state kept off-heap in RocksDB; checkpoints upload only the change log
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
