@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
-from shopstream.session import new_run_dir
+from shopstream.session import default_parallelism, new_run_dir
 from shopstream.sinks import catalog
 from shopstream.sources import jsonl
 from shopstream.streaming import queries as sq
@@ -27,7 +27,9 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
     source = jsonl.landed_events(spark, sf_dir)
     run = new_run_dir(spark, label)
     result = build(sq.decoded_stream(spark, source))
-    q = sq.start_upsert(result, f"{run}/sink", f"{run}/checkpoint", output_mode, AVAILABLE_NOW)
+    # state partitions sized to the cluster's task slots, not the session default
+    q = sq.start_upsert(result, f"{run}/sink", f"{run}/checkpoint", output_mode, AVAILABLE_NOW,
+                        state_partitions=default_parallelism(spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {label} failed: {q.exception()}")

@@ -15,6 +15,7 @@ partitioned by event date, and a staging copy).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,9 +74,33 @@ def click_alerts_stream(events: DataFrame, size: str = WINDOW_SIZE, slide: str =
     return alerts.click_alerts(wm, size, slide, threshold, guard=True)
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str | None):
+    """Set a SQL conf for the duration of a ``start()`` (the stream snapshots it)."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def start_upsert(result: DataFrame, sink_path: str, checkpoint: str, output_mode: str,
-                 trigger: Trigger = Trigger(), name: str | None = None) -> StreamingQuery:
-    """Run ``result`` into a replay-safe change log at ``sink_path``."""
+                 trigger: Trigger = Trigger(), name: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Run ``result`` into a replay-safe change log at ``sink_path``.
+
+    ``state_partitions`` fixes the number of state-store partitions for a new
+    checkpoint (Spark takes it from ``spark.sql.shuffle.partitions`` when the
+    query starts and keeps it for the checkpoint's life); ``None`` keeps the
+    session's setting.
+    """
     spark = result.sparkSession
     changelog.init_log(spark, sink_path, result.schema)
     w = (result.writeStream.outputMode(output_mode)
@@ -84,7 +109,9 @@ def start_upsert(result: DataFrame, sink_path: str, checkpoint: str, output_mode
          .trigger(**trigger.kwargs()))
     if name:
         w = w.queryName(name)
-    return w.start()
+    parts = str(state_partitions) if state_partitions else None
+    with _session_conf(spark, "spark.sql.shuffle.partitions", parts):
+        return w.start()
 
 
 def start_product_metrics(spark: SparkSession, source_dir: str, sink_path: str,

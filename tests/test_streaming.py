@@ -248,3 +248,16 @@ def test_compaction_keeps_current_rows(spark, tmp_dir):
     assert log.count() == 2
     assert {r.product_id: r.n for r in changelog.current_view(log, ["product_id"]).collect()} == \
         {"p1": 5, "p2": 2}
+
+
+def test_state_partitions_fixed_at_start_and_session_restored(spark, tmp_dir):
+    es, files = _funnel()
+    src, run = f"{tmp_dir}/src", f"{tmp_dir}/run"
+    _stage(src, files)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    res = sq.product_metrics_stream(sq.decoded_stream(spark, src))
+    q = sq.start_upsert(res, f"{run}/sink", f"{run}/ck", "update", NOW, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    parts = [d for d in os.listdir(f"{run}/ck/state/0") if d.isdigit()]
+    assert len(parts) == 3
