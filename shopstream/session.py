@@ -45,9 +45,25 @@ def build_session(master: str | None = None, app_name: str = "shopstream",
     except Exception:  # noqa: BLE001
         pass
     ensure_utc(spark)
+    if shuffle_partitions is None and "spark.sql.shuffle.partitions" not in conf:
+        size_shuffles(spark)
     return spark
 
 
+def size_shuffles(spark: SparkSession, per_slot: int = 4,
+                  advisory_bytes: int = 128 * 1024 * 1024) -> None:
+    """Shuffle sizing for large inputs: start wide, let AQE coalesce.
+
+    AQE merges small shuffle partitions but does not split big ones (outside
+    skewed joins), so a fixed 200 would leave multi-GB reducer partitions at
+    scale.  Starting from ``per_slot`` partitions per task slot and
+    coalescing towards ``advisory_bytes`` keeps reducers spill-free.
+    """
+    n = max(200, per_slot * default_parallelism(spark))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(advisory_bytes))
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Event times without an offset are UTC (the event contract)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
