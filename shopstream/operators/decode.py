@@ -8,6 +8,11 @@ Reject reasons, checked in this order:
 * ``not_object``  — valid JSON whose root is not an object (array, string, …)
 * ``malformed``   — not parseable JSON (truncated, trailing text, …)
 * ``no_product``  — object without a non-empty ``product_id``
+
+Accepted deviations from a per-line Python ``json.loads``: a numeric or
+boolean ``product_id`` is kept as its text; a line holding two objects
+(``{…} {…}``) decodes as its first object; bare ``NaN`` / ``true`` as a money
+value counts as 0.
 """
 
 from __future__ import annotations
