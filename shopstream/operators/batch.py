@@ -78,6 +78,40 @@ def sales(clean_events: DataFrame) -> DataFrame:
                  exact_avg("unit_price").alias("average_price")))
 
 
+def insight_partials(raw: DataFrame) -> DataFrame:
+    """One pass over raw events -> per (product, category) partials of both insights.
+
+    Carries the raw row count, clean clicks, and the sales sums, so the ETL
+    reads the raw data once for the count and both insight tables instead of
+    once per output.  Exact: the partial sums are decimals.
+    """
+    et, tv = F.col("event_type"), F.col("total_value")
+    is_clean = F.col("event_id").isNotNull() & et.isNotNull()
+    valued = is_clean & tv.isNotNull()
+    return (raw.groupBy("product_id", "category")
+            .agg(F.count(F.lit(1)).alias("raw_rows"),
+                 count_when(is_clean & (et == "click")).alias("clicks"),
+                 count_when(valued).alias("events"),
+                 F.sum(F.when(valued, tv.try_cast(MONEY))).alias("revenue_dec"),
+                 F.sum(F.when(valued, F.col("unit_price").try_cast(_AVG_DEC))).alias("price_sum"),
+                 F.count(F.when(valued, F.col("unit_price"))).alias("price_n")))
+
+
+def clicks_by_product_from(partials: DataFrame) -> DataFrame:
+    """:func:`clicks_by_product` re-summed from :func:`insight_partials`."""
+    return (partials.groupBy("product_id").agg(F.sum("clicks").alias("total_clicks"))
+            .filter(F.col("total_clicks") > 0))
+
+
+def sales_from(partials: DataFrame) -> DataFrame:
+    """:func:`sales` from :func:`insight_partials` (groups with a valued event)."""
+    return partials.filter(F.col("events") > 0).select(
+        "product_id", "category", "events",
+        F.col("revenue_dec").cast("double").alias("revenue"),
+        F.try_divide(F.col("price_sum").cast("double"), F.col("price_n").cast("double"))
+        .alias("average_price"))
+
+
 def product_metrics_batch(raw_logs: DataFrame) -> DataFrame:
     """Product totals of the SQL path: (product, category) -> 4 counts + checkout revenue.
 

@@ -1,8 +1,9 @@
 """The batch ETL job: raw JSON files -> clean -> insights -> catalog tables.
 
-One explicit-schema scan (no inference pass); the cleaned frame is persisted
-because several outputs are written from it; both insight tables are
-overwritten; the CTAS product totals are created if absent (or refreshed).
+One explicit-schema scan (no inference pass) computes the row count and both
+insight tables from per-(product, category) partials; both insight tables
+are overwritten; the CTAS product totals (the SQL path over the external
+table) are created if absent (or refreshed).
 
     python -m shopstream.plans.batch_job <raw_dir> <database> [--refresh]
 """
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstream.operators import batch
 from shopstream.sinks import catalog
@@ -31,16 +33,19 @@ class EtlResult:
 def run_etl(spark: SparkSession, raw_dir: str, db: str, refresh: bool = False,
             db_location: str | None = None) -> EtlResult:
     raw = jsonl.read_events_json(spark, raw_dir)
-    clean = batch.clean(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    # One scan feeds the row count and both insight tables: the per
+    # (product, category) partials are tiny, so only they are persisted.
+    partials = batch.insight_partials(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = raw.count()
+        n = partials.agg(F.sum("raw_rows")).first()[0] or 0
         catalog.ensure_database(spark, db, db_location)
         catalog.create_insight_tables(spark, db)
-        catalog.write_insights(batch.clicks_by_product(clean), batch.sales(clean), db)
+        catalog.write_insights(batch.clicks_by_product_from(partials),
+                               batch.sales_from(partials), db)
         jsonl.raw_logs_table(spark, raw_dir, f"{db}.raw_logs")
         totals = catalog.ctas_product_metrics(spark, db, f"{db}.raw_logs", refresh=refresh)
     finally:
-        clean.unpersist()
+        partials.unpersist()
     top = batch.top_clicked(spark.table(f"{db}.insights_cliques"), 20)
     return EtlResult(n, catalog.list_tables(spark, db), top, totals)
 

@@ -81,11 +81,11 @@ def q_stream_landing(spark, sf_dir):
 
 # ----------------------------------------------------------------- catalog
 def _insights(spark, sf_dir) -> tuple[str, dict[str, str]]:
-    ev = events(spark, sf_dir)
-    cleaned = batch.clean(ev)
+    partials = batch.insight_partials(events(spark, sf_dir)).persist()
     db = catalog.scratch_database(spark)
     catalog.create_insight_tables(spark, db)
-    catalog.write_insights(batch.clicks_by_product(cleaned), batch.sales(cleaned), db)
+    catalog.write_insights(batch.clicks_by_product_from(partials), batch.sales_from(partials), db)
+    partials.unpersist()
     raw = jsonl.raw_logs_table(spark, jsonl.landed_events(spark, sf_dir), f"{db}.raw_logs")
     raw.createOrReplaceTempView("shopstream_raw_logs")
     catalog.ctas_product_metrics(spark, db, "shopstream_raw_logs", refresh=True)

@@ -158,3 +158,20 @@ def test_contract_violations(spark):
     assert got == {"unknown_event_type": 1, "cart_without_valid_action": 1,
                    "delivery_without_valid_status": 0, "action_on_non_cart": 1,
                    "total_mismatch": 1, "click_with_value": 1}
+
+
+def test_one_pass_insights_equal_direct(spark):
+    es = [ev("e1", "click", category="casa"), ev("e2", "click", product_id=None),
+          ev("e3", "click", product_id=""), ev("e4", "cart", cart_action="add", total_value=3.3),
+          ev("e5", "error", total_value=None), ev("e6", "click", category="moda"),
+          ev(None, "click"), ev("e8", None, total_value=9.0),
+          ev("e9", "delivery_status", delivery_status="delivered", total_value=12.0,
+             unit_price=6.0, quantity=2)]
+    d = decode.decode_lines(lines_df(spark, es)).select(*decode.EVENT_COLUMNS)
+    part = batch.insight_partials(d)
+    clean = batch.clean(d)
+    def rows(df):
+        return sorted(repr(tuple(r)) for r in df.collect())
+    assert rows(batch.clicks_by_product_from(part)) == rows(batch.clicks_by_product(clean))
+    assert rows(batch.sales_from(part)) == rows(batch.sales(clean))
+    assert part.agg({"raw_rows": "sum"}).first()[0] == len(es)
