@@ -323,6 +323,7 @@ ORACLE: dict[str, str] = {
     "stream_click_alerts": EV + _alerts(5 * MIN, MIN, 10, CLOSED),
     "stream_click_alerts_1d": EV + _alerts(DAY, 6 * HOUR, 10, CLOSED),
     "reconcile_stream": _RECONCILE,
+    "stream_decode_rejects": _REJECTS,
     "stream_landing": EV + "SELECT 'raw' AS sink, count(*) AS n FROM ev "
                            "UNION ALL SELECT 'staging', count(*) FROM ev",
     "insights_tables": EV + f"""

@@ -63,6 +63,20 @@ def q_stream_click_alerts_1d(spark, sf_dir):
                 ["row_key"]).select(*alerts.ALERT_COLUMNS)
 
 
+@register("stream_decode_rejects")
+def q_stream_decode_rejects(spark, sf_dir):
+    """Damaged lines through the streaming decode stage; quarantine rows per reason."""
+    lines_dir = jsonl.landed_damaged_lines(spark, sf_dir)
+    run = new_run_dir(spark, "stream-decode")
+    q = sq.start_decode(spark, lines_dir, f"{run}/decoded", f"{run}/checkpoint", AVAILABLE_NOW,
+                        glob="*.txt")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"decode stream failed: {q.exception()}")
+    return (sq.quarantine(spark, f"{run}/decoded").groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("stream_landing")
 def q_stream_landing(spark, sf_dir):
     """Fan-out of the landed log into raw archive + staging; rows per sink."""

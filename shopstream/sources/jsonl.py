@@ -92,6 +92,21 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+_LANDED_DAMAGED: dict[tuple[str, str], str] = {}
+
+
+def landed_damaged_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The quarantine fixture landed once per session as text files (``part-*.txt``)."""
+    from shopstream.sources.adapter import driver_events
+
+    key = (app_id(spark), sf_dir)
+    if key not in _LANDED_DAMAGED:
+        path = new_run_dir(spark, "landing-damaged")
+        damaged_lines(driver_events(spark, sf_dir)).write.mode("errorifexists").text(path)
+        _LANDED_DAMAGED[key] = path
+    return _LANDED_DAMAGED[key]
+
+
 def read_events_json(spark: SparkSession, path: str, glob: str | None = PUBLISHED_GLOB) -> DataFrame:
     """Batch scan of JSON-lines files with the fixed 16-field schema (no inference)."""
     r = spark.read.schema(EVENT)

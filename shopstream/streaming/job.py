@@ -25,29 +25,54 @@ class StreamJob:
     metrics: StreamingQuery
     alerts: StreamingQuery
     out_dir: str
+    decode: StreamingQuery | None = None
+
+    @property
+    def queries(self) -> list[StreamingQuery]:
+        return [q for q in (self.decode, self.metrics, self.alerts) if q is not None]
 
     def await_all(self) -> None:
-        for q in (self.metrics, self.alerts):
+        for q in self.queries:
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(f"{q.name or q.id} failed: {q.exception()}")
 
     def stop(self) -> None:
-        for q in (self.metrics, self.alerts):
+        for q in self.queries:
             q.stop()
 
 
 def start_job(spark: SparkSession, input_dir: str, out_dir: str,
               trigger: sq.Trigger = sq.Trigger(), size: str = WINDOW_SIZE,
               slide: str = WINDOW_SLIDE, threshold: int = ALERT_THRESHOLD,
-              watermark: str = WATERMARK_DELAY, **source_opts) -> StreamJob:
-    m = sq.start_product_metrics(spark, input_dir, f"{out_dir}/product_metrics",
-                                 f"{out_dir}/_checkpoints/product_metrics", trigger,
-                                 **source_opts)
-    a = sq.start_click_alerts(spark, input_dir, f"{out_dir}/click_alerts",
-                              f"{out_dir}/_checkpoints/click_alerts", trigger, size, slide,
-                              threshold, watermark, **source_opts)
-    return StreamJob(m, a, out_dir)
+              watermark: str = WATERMARK_DELAY, decode_once: bool = False,
+              **source_opts) -> StreamJob:
+    """Start the two flows (and, with ``decode_once``, the shared decode stage).
+
+    ``decode_once``: one query parses every line into ``<out>/decoded``
+    (typed events + quarantined rejects, exactly-once file sink) and both
+    flows read the typed events from there: each line is parsed once instead
+    of once per flow.  With a bounded trigger the decode stage is awaited
+    before the flows start.
+    """
+    ck = f"{out_dir}/_checkpoints"
+    if not decode_once:
+        m = sq.start_product_metrics(spark, input_dir, f"{out_dir}/product_metrics",
+                                     f"{ck}/product_metrics", trigger, **source_opts)
+        a = sq.start_click_alerts(spark, input_dir, f"{out_dir}/click_alerts",
+                                  f"{ck}/click_alerts", trigger, size, slide, threshold,
+                                  watermark, **source_opts)
+        return StreamJob(m, a, out_dir)
+    decoded = f"{out_dir}/decoded"
+    d = sq.start_decode(spark, input_dir, decoded, f"{ck}/decode", trigger, **source_opts)
+    if trigger.available_now:
+        d.awaitTermination()
+    ev = sq.typed_event_stream(spark, decoded)
+    m = sq.start_upsert(sq.product_metrics_stream(ev), f"{out_dir}/product_metrics",
+                        f"{ck}/product_metrics", "update", trigger)
+    a = sq.start_upsert(sq.click_alerts_stream(ev, size, slide, threshold, watermark),
+                        f"{out_dir}/click_alerts", f"{ck}/click_alerts", "append", trigger)
+    return StreamJob(m, a, out_dir, d)
 
 
 def current_metrics(spark: SparkSession, job_out: str, input_dir: str) -> DataFrame:
@@ -69,10 +94,12 @@ def main(argv=None) -> None:
     ap.add_argument("input_dir")
     ap.add_argument("out_dir")
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--decode-once", action="store_true",
+                    help="parse each line once into <out>/decoded, flows read typed events")
     args = ap.parse_args(argv)
     spark = build_session(app_name="shopstream-stream")
     job = start_job(spark, args.input_dir, args.out_dir,
-                    sq.Trigger(available_now=args.available_now))
+                    sq.Trigger(available_now=args.available_now), decode_once=args.decode_once)
     job.await_all()
 
 

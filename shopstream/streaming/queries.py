@@ -24,7 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.functions.columns import parse_iso_ts
 from shopstream.operators import alerts, decode, metrics
-from shopstream.schema import (ALERT_THRESHOLD, WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE)
+from shopstream.schema import (ALERT_THRESHOLD, EVENT_COLUMNS, WATERMARK_DELAY, WINDOW_SIZE,
+                               WINDOW_SLIDE)
 from shopstream.sinks import changelog
 from shopstream.sources.jsonl import PUBLISHED_GLOB
 
@@ -56,6 +57,57 @@ def decoded_stream(spark: SparkSession, directory: str, **source_opts) -> DataFr
     return decode.decode_events(text_source(spark, directory, **source_opts))
 
 
+# ----------------------------------------------------------------- decode once
+OUTCOME = "outcome"          # partition column of the decoded table: event / reject
+DECODED_COLUMNS = EVENT_COLUMNS + ("event_ts", "event_ms", "ingested_ms", "reason",
+                                   "line_head")
+
+
+def decoded_table(lines: DataFrame) -> DataFrame:
+    """Every line once: typed fields for events, reason + line head for rejects."""
+    d = decode.decode_lines(lines)
+    return d.select(
+        *EVENT_COLUMNS, "event_ts", "event_ms", "ingested_ms", "reason",
+        F.when(F.col("reason").isNotNull(), F.substring("line", 1, decode.LINE_HEAD_CHARS))
+         .alias("line_head"),
+        F.when(F.col("reason").isNull(), F.lit("event")).otherwise(F.lit("reject"))
+         .alias(OUTCOME))
+
+
+def start_decode(spark: SparkSession, source_dir: str, decoded_path: str, checkpoint: str,
+                 trigger: Trigger = Trigger(), **source_opts) -> StreamingQuery:
+    """Parse each line once into a typed Parquet table (exactly-once file sink).
+
+    Both flows then read typed, column-pruned events instead of re-parsing
+    the JSON, and the ``outcome=reject`` partition is the stream's quarantine.
+    """
+    return (decoded_table(text_source(spark, source_dir, **source_opts))
+            .writeStream.format("parquet").option("path", decoded_path)
+            .option("checkpointLocation", checkpoint).partitionBy(OUTCOME)
+            .trigger(**trigger.kwargs()).start())
+
+
+def _decoded_schema(spark: SparkSession):
+    empty = spark.createDataFrame([], "value string")
+    return decoded_table(empty).schema
+
+
+def typed_event_stream(spark: SparkSession, decoded_path: str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Good events from the decoded table, as a stream (partition-pruned)."""
+    r = spark.readStream.schema(_decoded_schema(spark))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return (r.parquet(decoded_path).filter(F.col(OUTCOME) == "event")
+            .select(*EVENT_COLUMNS, "event_ts", "event_ms", "ingested_ms"))
+
+
+def quarantine(spark: SparkSession, decoded_path: str) -> DataFrame:
+    """Rejected lines (reason, first 200 characters) of the decoded table."""
+    return (spark.read.schema(_decoded_schema(spark)).parquet(decoded_path)
+            .filter(F.col(OUTCOME) == "reject").select("reason", "line_head"))
+
+
 def product_metrics_stream(events: DataFrame) -> DataFrame:
     return metrics.product_metrics(events)
 

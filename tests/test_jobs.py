@@ -54,3 +54,24 @@ def test_batch_etl_job(spark, tmp_dir):
     expect = [tuple(r) for r in batch.top_clicked(batch.clicks_by_product(batch.clean(ev))).collect()]
     assert top == expect
     assert res.product_totals.count() == 8
+
+
+def test_stream_job_decode_once_matches_and_quarantines(spark, tmp_dir):
+    src = f"{tmp_dir}/raw"
+    ev_ = adapter.driver_events(spark, SF001)
+    jsonl.write_events_json(ev_, src)
+    with open(f"{src}/extra.json", "w") as fh:                   # bad lines in the feed
+        fh.write("   \n{not json\n[1, 2]\n" + '{"event_id":"x","event_type":"click"}\n')
+    out = f"{tmp_dir}/out"
+    j = sjob.start_job(spark, src, out, sq.Trigger(available_now=True),
+                       size="1 day", slide="6 hours", threshold=2, decode_once=True)
+    j.await_all()
+    cols = list(metrics.OUTPUT_COLUMNS)
+    m = sjob.current_metrics(spark, out, src)
+    assert sorted(map(tuple, m.select(*cols).collect())) == \
+        sorted(map(tuple, metrics.product_metrics(ev_).select(*cols).collect()))
+    rej = {r.reason: r["count"] for r in
+           sq.quarantine(spark, f"{out}/decoded").groupBy("reason").count().collect()}
+    assert rej == {"blank": 1, "malformed": 1, "not_object": 1, "no_product": 1}
+    a = sjob.current_alerts(spark, out, src, "1 day", "6 hours", 2)
+    assert a.count() > 0
