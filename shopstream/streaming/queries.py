@@ -199,26 +199,32 @@ def current(spark: SparkSession, sink_path: str, result_schema, keys,
 
 
 # ----------------------------------------------------------------- landing fan-out
-def landing_writer(raw_path: str, staging_path: str):
+def landing_writer(raw_path: str | None, staging_path: str | None):
     """One micro-batch -> raw archive (by event date) and staging; both replay-safe.
 
     Lines are kept byte for byte (text sink, ``part-*.txt`` files); read them
     back with ``spark.read.text`` or a stream source with ``glob="*.txt"``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long")).persist()
+        b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long"))
+        both = raw_path is not None and staging_path is not None
+        if both:
+            b = b.persist()
         try:
-            ts = parse_iso_ts(F.get_json_object("value", "$.event_time"))
-            date = F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown"))
-            (b.withColumn("event_date", date)
-             .select("value", "event_date", changelog.BATCH_COL)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_date", changelog.BATCH_COL).text(raw_path))
-            (b.select("value", changelog.BATCH_COL)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(changelog.BATCH_COL).text(staging_path))
+            if raw_path is not None:
+                ts = parse_iso_ts(F.get_json_object("value", "$.event_time"))
+                date = F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown"))
+                (b.withColumn("event_date", date)
+                 .select("value", "event_date", changelog.BATCH_COL)
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("event_date", changelog.BATCH_COL).text(raw_path))
+            if staging_path is not None:
+                (b.select("value", changelog.BATCH_COL)
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(changelog.BATCH_COL).text(staging_path))
         finally:
-            b.unpersist()
+            if both:
+                b.unpersist()
     return write
 
 
@@ -229,6 +235,32 @@ def start_landing(spark: SparkSession, log_dir: str, raw_path: str, staging_path
             .option("checkpointLocation", checkpoint).trigger(**trigger.kwargs()).start())
 
 
+RAW_ROLL = "30 seconds"
+STAGING_ROLL = "10 seconds"
+
+
+def start_landing_rolls(spark: SparkSession, log_dir: str, raw_path: str, staging_path: str,
+                        checkpoint_dir: str, raw_trigger: Trigger = Trigger(processing_time=RAW_ROLL),
+                        staging_trigger: Trigger = Trigger(processing_time=STAGING_ROLL),
+                        **source_opts) -> tuple[StreamingQuery, StreamingQuery]:
+    """The two landing sinks as independent queries with their own roll intervals.
+
+    Each trigger writes new files, so the archive rolls every 30 s and the
+    staging copy every 10 s; each query has its own checkpoint (the plain
+    text source is cheap to read twice).  Use :func:`start_landing` for one
+    read feeding both sinks.
+    """
+    raw_only = landing_writer(raw_path, None)
+    staging_only = landing_writer(None, staging_path)
+    qr = (text_source(spark, log_dir, **source_opts).writeStream.foreachBatch(raw_only)
+          .option("checkpointLocation", f"{checkpoint_dir}/raw")
+          .trigger(**raw_trigger.kwargs()).start())
+    qs = (text_source(spark, log_dir, **source_opts).writeStream.foreachBatch(staging_only)
+          .option("checkpointLocation", f"{checkpoint_dir}/staging")
+          .trigger(**staging_trigger.kwargs()).start())
+    return qr, qs
+
+
 def start_console(result: DataFrame, output_mode: str = "append",
                   trigger: Trigger = Trigger(), checkpoint: str | None = None,
                   rows: int = 20) -> StreamingQuery:

@@ -261,3 +261,16 @@ def test_state_partitions_fixed_at_start_and_session_restored(spark, tmp_dir):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     parts = [d for d in os.listdir(f"{run}/ck/state/0") if d.isdigit()]
     assert len(parts) == 3
+
+
+def test_landing_rolls_as_two_queries(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    _stage(log, [[ev(f"e{i}", "click") for i in range(4)], [ev("f", "click")]])
+    run = f"{tmp_dir}/run"
+    qr, qs = sq.start_landing_rolls(spark, log, f"{run}/raw", f"{run}/staging", f"{run}/ck",
+                                    NOW, NOW)
+    qr.awaitTermination()
+    qs.awaitTermination()
+    assert spark.read.text(f"{run}/raw").count() == 5
+    assert spark.read.text(f"{run}/staging").count() == 5
+    assert os.path.isdir(f"{run}/ck/raw") and os.path.isdir(f"{run}/ck/staging")
