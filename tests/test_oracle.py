@@ -65,3 +65,16 @@ def test_repo_has_no_python_udfs():
             if f.endswith(".py"):
                 text = open(os.path.join(dirpath, f)).read()
                 assert "@udf" not in text and "F.udf(" not in text and ".rdd.map" not in text, f
+
+
+PLAN_FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                  "ArrowEvalPython", "BroadcastExchange")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in E.queries()
+                                        if not n.startswith("stream_")
+                                        and n not in ("reconcile_stream", "insights_tables",
+                                                      "validation_summary")))
+def test_plans_have_no_cross_join_udf_or_broadcast(spark, name):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in PLAN_FORBIDDEN if k in plan], plan[:2000]
