@@ -274,3 +274,22 @@ def test_landing_rolls_as_two_queries(spark, tmp_dir):
     assert spark.read.text(f"{run}/raw").count() == 5
     assert spark.read.text(f"{run}/staging").count() == 5
     assert os.path.isdir(f"{run}/ck/raw") and os.path.isdir(f"{run}/ck/staging")
+
+
+def test_processed_files_are_archived(spark, tmp_dir):
+    src, arch, run = f"{tmp_dir}/ready", f"{tmp_dir}/archive", f"{tmp_dir}/run"
+    _stage(src, [[ev(f"e{i}", "click")] for i in range(3)])
+    q = sq.start_product_metrics(spark, src, f"{run}/sink", f"{run}/ck", NOW,
+                                 max_files_per_trigger=1, archive_dir=arch)
+    q.awaitTermination()
+    deadline = time.time() + 20
+    archived = []
+    while time.time() < deadline:
+        archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
+        if archived:
+            break
+        time.sleep(0.2)
+    assert archived                                      # moved out of the read folder
+    assert not set(archived) & set(os.listdir(src))
+    schema = sq.product_metrics_stream(sq.decoded_stream(spark, src)).schema
+    assert sq.current(spark, f"{run}/sink", schema, ["product_id"]).first().clicks == 3
