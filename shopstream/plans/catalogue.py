@@ -32,9 +32,9 @@ def register(name: str):
     return deco
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     ensure_utc(spark)
-    return adapter.driver_events(spark, sf_dir)
+    return adapter.driver_events(spark, sf_dir, spread_scan)
 
 
 # ----------------------------------------------------------------- sources
@@ -52,26 +52,26 @@ def q_raw_logs(spark, sf_dir):
 @register("decoded_events")
 def q_decoded_events(spark, sf_dir):
     """Events -> JSON lines -> decode: must give the events back."""
-    lines = jsonl.to_json_lines(events(spark, sf_dir))
+    lines = jsonl.to_json_lines(events(spark, sf_dir, spread_scan=True))
     ev = decode.decode_events(lines)
     return ev.select(*EVENT_COLUMNS, "event_ms")
 
 
 @register("decode_rejects")
 def q_decode_rejects(spark, sf_dir):
-    lines = jsonl.damaged_lines(events(spark, sf_dir))
+    lines = jsonl.damaged_lines(events(spark, sf_dir, spread_scan=True))
     return decode.reject_counts(decode.decode_lines(lines))
 
 
 @register("decoded_unknown_product")
 def q_decoded_unknown_product(spark, sf_dir):
-    lines = jsonl.damaged_lines(events(spark, sf_dir), drop_product_key=True)
+    lines = jsonl.damaged_lines(events(spark, sf_dir, spread_scan=True), drop_product_key=True)
     return decode.decode_minimal(lines).groupBy("product_id").count().withColumnRenamed("count", "n")
 
 
 @register("event_times")
 def q_event_times(spark, sf_dir):
-    lines = jsonl.to_json_lines(events(spark, sf_dir))
+    lines = jsonl.to_json_lines(events(spark, sf_dir, spread_scan=True))
     return decode.decode_events(lines).select("event_id", "event_ms")
 
 

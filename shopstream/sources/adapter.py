@@ -149,9 +149,16 @@ def canonical_events(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(*_BASE).selectExpr(*_OUT)
 
 
-def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical events of the driver table at ``sf_dir``."""
-    return canonical_events(read_spread(spark, sf_dir, "events"))
+def driver_events(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+    """Canonical events of the driver table at ``sf_dir``.
+
+    ``spread_scan``: use for heavy per-row work (JSON encode / decode).  A
+    light aggregation over a one-split table is cheaper in the scan task than
+    behind an extra shuffle; at scale the scan is already wide either way.
+    """
+    if spread_scan:
+        return canonical_events(read_spread(spark, sf_dir, "events"))
+    return canonical_events(read_table(spark, sf_dir, "events"))
 
 
 def contract_only(ev: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
     if key in _LANDED:
         return _LANDED[key]
     path = new_run_dir(spark, "landing")
-    ev = driver_events(spark, sf_dir)
+    ev = driver_events(spark, sf_dir, spread_scan=True)
     write_events_json(ev.sortWithinPartitions("ingested_ms", "event_id"), path)
     _LANDED[key] = path
     return path
@@ -102,7 +102,8 @@ def landed_damaged_lines(spark: SparkSession, sf_dir: str) -> str:
     key = (app_id(spark), sf_dir)
     if key not in _LANDED_DAMAGED:
         path = new_run_dir(spark, "landing-damaged")
-        damaged_lines(driver_events(spark, sf_dir)).write.mode("errorifexists").text(path)
+        damaged_lines(driver_events(spark, sf_dir, spread_scan=True)).write.mode(
+            "errorifexists").text(path)
         _LANDED_DAMAGED[key] = path
     return _LANDED_DAMAGED[key]
 
