@@ -85,3 +85,17 @@ def test_serving_table_create_if_absent(spark):
     catalog.write_serving(rows, t)
     assert spark.table(t).count() == 8
     assert serving.scan(spark.table(t), 5).select("row_key").distinct().count() == 1
+
+
+def test_branch_filters_push_down_on_typed_events(spark, tmp_dir):
+    raw_dir = f"{tmp_dir}/raw"
+    jsonl.write_events_json(adapter.driver_events(spark, SF001), raw_dir)
+    typed = f"{tmp_dir}/typed"
+    jsonl.read_events_json(spark, raw_dir).write.parquet(typed)
+    for df in (batch.clicks(jsonl.read_events_json(spark, raw_dir)),
+               batch.clicks(spark.read.parquet(typed))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(event_type,click)" in plan, plan
+    cols = batch.clicks_by_product(batch.clean(spark.read.parquet(typed)))
+    plan = cols._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:string,event_type:string,product_id:string>" in plan
