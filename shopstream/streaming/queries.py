@@ -9,8 +9,13 @@ checkpoint:
 2. sliding-window click alerts — 15 s watermark, append mode (closed windows
    only), same change-log sink keyed by the alert row key.
 
+Optionally a decode-once stage parses each line into a typed Parquet table
+(exactly-once file sink, ``outcome=event|reject``) that both flows read; its
+reject partition is the stream's quarantine.
+
 Plus the landing fan-out: one read, two replay-safe sinks (raw archive
-partitioned by event date, and a staging copy).
+partitioned by event date, and a staging copy), or two queries with their
+own roll intervals.
 """
 
 from __future__ import annotations
@@ -66,8 +71,6 @@ def decoded_stream(spark: SparkSession, directory: str, **source_opts) -> DataFr
 
 # ----------------------------------------------------------------- decode once
 OUTCOME = "outcome"          # partition column of the decoded table: event / reject
-DECODED_COLUMNS = EVENT_COLUMNS + ("event_ts", "event_ms", "ingested_ms", "reason",
-                                   "line_head")
 
 
 def decoded_table(lines: DataFrame) -> DataFrame:
