@@ -3,6 +3,7 @@
 * :func:`to_json_lines`   — events -> one compact JSON object per line, nulls kept
 * :func:`damaged_lines`   — the quarantine fixture (truncated, null product, blank, array)
 * :func:`landed_events`   — events written once as ``*.json`` files in the shared folder
+* :func:`landed_damaged_lines` — the quarantine fixture written once as text files
 * :func:`read_events_json`— batch scan of a JSON-lines glob with the fixed schema
 * :func:`raw_logs_table`  — external 8-column JSON table over a raw folder
 * :func:`stable_files`    — files old enough to be complete (batch; by modification time)
