@@ -75,3 +75,21 @@ def test_stream_job_decode_once_matches_and_quarantines(spark, tmp_dir):
     assert rej == {"blank": 1, "malformed": 1, "not_object": 1, "no_product": 1}
     a = sjob.current_alerts(spark, out, src, "1 day", "6 hours", 2)
     assert a.count() > 0
+
+
+def test_decode_once_job_restarts_exactly_once(spark, tmp_dir):
+    ev_ = adapter.driver_events(spark, SF001)
+    src, out = f"{tmp_dir}/ready", f"{tmp_dir}/out"
+    first, second = ev_.filter("event_seq % 2 = 0"), ev_.filter("event_seq % 2 = 1")
+    jsonl.write_events_json(first, f"{src}/a")
+    j = sjob.start_job(spark, f"{src}/*", out, sq.Trigger(available_now=True), decode_once=True)
+    j.await_all()
+    jsonl.write_events_json(second, f"{src}/b")                   # new files arrive
+    j = sjob.start_job(spark, f"{src}/*", out, sq.Trigger(available_now=True), decode_once=True)
+    j.await_all()
+    cols = list(metrics.OUTPUT_COLUMNS)
+    got = sjob.current_metrics(spark, out, f"{src}/*")
+    assert sorted(map(tuple, got.select(*cols).collect())) == \
+        sorted(map(tuple, metrics.product_metrics(ev_).select(*cols).collect()))
+    decoded = spark.read.parquet(f"{out}/decoded").filter("outcome = 'event'")
+    assert decoded.count() == 1000                                   # no line decoded twice
