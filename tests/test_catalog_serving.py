@@ -99,3 +99,30 @@ def test_branch_filters_push_down_on_typed_events(spark, tmp_dir):
     cols = batch.clicks_by_product(batch.clean(spark.read.parquet(typed)))
     plan = cols._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:string,event_type:string,product_id:string>" in plan
+
+
+def test_scan_start_key_and_unlimited(spark):
+    es = [ev(f"c{i}", "click", product_id=p, event_time=f"2024-01-01T00:03:{i:02d}.000Z")
+          for i, p in enumerate(["prod-001", "prod-002", "prod-003", "prod-004"])]
+    d = decode.decode_events(lines_df(spark, es))
+    rows = serving.serving_rows(metrics.product_metrics(d), alerts.click_alerts(d))
+    keys = lambda df: sorted({r.row_key for r in df.select("row_key").collect()})
+    assert keys(serving.scan(rows, 2, start_key="prod-002")) == ["prod-002", "prod-003"]
+    assert keys(serving.scan(rows, None)) == ["prod-001", "prod-002", "prod-003", "prod-004"]
+    assert serving.scan(rows, 1).count() == len(serving.METRIC_SPEC)
+    assert batch.preview(rows, 3).count() == 3
+
+
+def test_console_sink_starts_and_stops(spark, tmp_dir):
+    import os
+    from shopstream.streaming import queries as sq
+
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write('{"event_id":"e1","event_type":"click","product_id":"p"}\n')
+    q = sq.start_console(sq.product_metrics_stream(sq.decoded_stream(spark, src)), "update",
+                         sq.Trigger(available_now=True), f"{tmp_dir}/ck", rows=5)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
