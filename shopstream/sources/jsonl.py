@@ -134,13 +134,12 @@ def raw_logs_table(spark: SparkSession, location: str, table: str | None = None)
 
 
 def is_temp_name(name: str | Column) -> bool | Column:
-    """Unpublished file names: empty, hidden (leading '.'), or a temp suffix."""
+    """Unpublished file names: empty, hidden (leading '.'), or a temp suffix (case-sensitive)."""
     if isinstance(name, str):
-        return (not name) or name.startswith(".") or name.lower().endswith(TEMP_SUFFIXES)
-    lower = F.lower(name)
+        return (not name) or name.startswith(".") or name.endswith(TEMP_SUFFIXES)
     cond = (name == "") | name.startswith(".")
     for suf in TEMP_SUFFIXES:
-        cond = cond | lower.endswith(suf)
+        cond = cond | name.endswith(suf)
     return cond
 
 

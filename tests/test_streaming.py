@@ -174,6 +174,7 @@ def test_stable_file_gate(spark, tmp_dir):
     got = jsonl.stable_files(spark, src).select("file_name").distinct().collect()
     assert [r.file_name for r in got] == ["old.json"]
     assert jsonl.is_temp_name("x.inprogress") and jsonl.is_temp_name(".x.json")
+    assert jsonl.is_temp_name("") and not jsonl.is_temp_name("X.TMP")      # case-sensitive
     assert not jsonl.is_temp_name("ecommerce-1.json")
 
 
