@@ -134,12 +134,12 @@ PRODUCT_METRICS_BATCH_SQL = """
 SELECT
     product_id,
     category,
-    CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS total_clicks,
-    CAST(SUM(CASE WHEN event_type = 'cart' AND cart_action = 'add' THEN 1 ELSE 0 END) AS BIGINT) AS total_cart_adds,
-    CAST(SUM(CASE WHEN event_type = 'cart' AND cart_action = 'checkout' THEN 1 ELSE 0 END) AS BIGINT) AS total_checkouts,
-    CAST(SUM(CASE WHEN event_type = 'cart' AND cart_action = 'checkout'
+    count_if(event_type = 'click') AS total_clicks,
+    count_if(event_type = 'cart' AND cart_action = 'add') AS total_cart_adds,
+    count_if(event_type = 'cart' AND cart_action = 'checkout') AS total_checkouts,
+    CAST(sum(CASE WHEN event_type = 'cart' AND cart_action = 'checkout'
                   THEN TRY_CAST(total_value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS total_revenue,
-    CAST(SUM(CASE WHEN event_type = 'delivery_status' AND delivery_status = 'delivered' THEN 1 ELSE 0 END) AS BIGINT) AS total_delivered
+    count_if(event_type = 'delivery_status' AND delivery_status = 'delivered') AS total_delivered
 FROM {source}
 WHERE product_id IS NOT NULL
 GROUP BY product_id, category

@@ -126,3 +126,26 @@ def test_console_sink_starts_and_stops(spark, tmp_dir):
     q.awaitTermination()
     assert q.exception() is None
     assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_sql_script_matches_library(spark, tmp_dir):
+    import os
+    raw_dir = f"{tmp_dir}/raw"
+    ev_ = adapter.driver_events(spark, SF001)
+    jsonl.write_events_json(ev_, raw_dir)
+    db = jsonl.unique_name("t_sql")
+    catalog.ensure_database(spark, db, new_run_dir(spark, "db"))
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                        "sql", "tables.sql")
+    text = open(path).read().replace("${db}", db).replace("${raw_dir}", raw_dir)
+    body = "\n".join(l for l in text.splitlines() if not l.strip().startswith("--"))
+    for stmt in (s.strip() for s in body.split(";")):
+        if stmt:
+            spark.sql(stmt)
+    got = spark.table(f"{db}.product_metrics_batch")
+    expect = batch.product_metrics_batch(ev_)
+    cols = expect.columns
+    assert sorted(map(tuple, got.select(*cols).collect())) == \
+        sorted(map(tuple, expect.select(*cols).collect()))
+    assert [f.dataType.simpleString() for f in got.select(*cols).schema.fields] == \
+        [f.dataType.simpleString() for f in expect.schema.fields]
