@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shopstream.functions.columns import event_timestamp_sql, parse_iso_ts, parse_iso_ts_sql
 from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS, EVENT_TEXT
+from shopstream.session import ensure_utc
 
 REASONS = ("blank", "not_object", "malformed", "no_product")
 LINE_HEAD_CHARS = 200
@@ -75,6 +76,7 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     :func:`rejects_of` to split.  Built as SQL expression text (a handful of
     gateway calls instead of one per Column node); the plan is the same.
     """
+    ensure_utc(lines.sparkSession)   # event times without an offset are UTC
     src = f"`{line_col}`"
     # ``once``: without the barrier, filters on ``reason`` are pushed below the
     # projection with ``from_json`` inlined: every line would be parsed twice.

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopstream.session import app_id, default_parallelism
+from shopstream.session import app_id, default_parallelism, ensure_utc
 
 from shopstream.schema import (CATEGORIES, DELIVERY_STATUSES, EVENT_COLUMNS, ISO_MS_FORMAT,
                                SCHEMA_VERSION, SOURCE)
@@ -156,6 +156,7 @@ def driver_events(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -
     light aggregation over a one-split table is cheaper in the scan task than
     behind an extra shuffle; at scale the scan is already wide either way.
     """
+    ensure_utc(spark)   # the NTZ timestamps are UTC wall-clock times
     if spread_scan:
         return canonical_events(read_spread(spark, sf_dir, "events"))
     return canonical_events(read_table(spark, sf_dir, "events"))
