@@ -13,10 +13,12 @@ the event-time column, which keeps it above the watermark node.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.columns import arrival_key, first_by_arrival, last_by_arrival
+from shopstream.functions.columns import arrival_key, first_by_arrival, last_by_arrival, truthy
 from shopstream.schema import ALERT_THRESHOLD, ALERT_TYPE, WINDOW_SIZE, WINDOW_SLIDE
 
 # ---------------------------------------------------------------------------
@@ -44,9 +46,68 @@ def click_filter(events: DataFrame, time_col: str = "event_ts", guard: bool = Fa
     return events.filter(et == "click")
 
 
+_UNIT_MS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000,
+            "day": 86_400_000, "week": 604_800_000}
+
+
+def duration_ms(text: str) -> int | None:
+    """``'5 minutes'`` -> 300000; None for anything but ``<int> <unit>``."""
+    parts = text.strip().lower().split()
+    if len(parts) != 2 or not parts[0].isdigit():
+        return None
+    unit = parts[1][:-1] if parts[1].endswith("s") else parts[1]
+    return int(parts[0]) * _UNIT_MS[unit] if unit in _UNIT_MS and int(parts[0]) > 0 else None
+
+
+def pane_window_aggregate(clicks: DataFrame, size_ms: int, slide_ms: int,
+                          with_times: bool = True) -> DataFrame:
+    """Sliding windows from panes ("No pane, no gain", Li et al. 2005).
+
+    Clicks are aggregated once per (product, pane) with pane = gcd(size,
+    slide); each pane aggregate, not each click, is then expanded into the
+    size/slide windows that cover it and merged (count: sum; first / last
+    by arrival: min / max of an (arrival, value) struct).  The raw rows go
+    through one aggregation without the size/slide-fold expansion; for
+    count-only windows both stages stay hash aggregates.  Exact: windows are
+    epoch-aligned unions of panes, as ``window()`` makes them.
+    """
+    pane_ms = math.gcd(size_ms, slide_ms)
+    ms = F.col("event_ms")
+    pane = (ms - F.pmod(ms, F.lit(pane_ms))).alias("pane_ms")
+    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
+    if with_times:
+        v = truthy("event_time")
+        tagged = F.when(v.isNotNull(), F.struct(F.col("ingested_ms").alias("ingested_ms"),
+                                                F.col("event_id").alias("event_id"),
+                                                v.alias("value")))
+        aggs += [F.min(tagged).alias("first_s"), F.max(tagged).alias("last_s")]
+    panes = clicks.groupBy("product_id", pane).agg(*aggs)
+    # windows covering pane P: starts W = multiple of slide with P - size < W <= P
+    per_pane = -(-size_ms // slide_ms)
+    newest = F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(slide_ms))
+    starts = (panes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(per_pane - 1))))
+              .withColumn("window_start", newest - F.col("k") * F.lit(slide_ms))
+              .filter(F.col("window_start") > F.col("pane_ms") - F.lit(size_ms)))
+    merged: list[Column] = [F.sum("n").alias("click_count")]
+    if with_times:
+        merged += [F.coalesce(F.min("first_s").getField("value"), F.lit("")).alias("first_event_time"),
+                   F.coalesce(F.max("last_s").getField("value"), F.lit("")).alias("last_event_time")]
+    return (starts.groupBy("product_id", "window_start").agg(*merged)
+            .withColumn("window_end", F.col("window_start") + F.lit(size_ms)))
+
+
 def window_aggregate(clicks: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
-                     time_col: str = "event_ts", with_times: bool = True) -> DataFrame:
-    """(product, window) -> click_count [+ first/last event_time by arrival]."""
+                     time_col: str = "event_ts", with_times: bool = True,
+                     panes: bool = False) -> DataFrame:
+    """(product, window) -> click_count [+ first/last event_time by arrival].
+
+    ``panes``: use :func:`pane_window_aggregate` (batch) when the durations
+    are simple and ``event_ms`` is present; otherwise ``window()`` expands
+    every click (streams keep this form: it is the stateful window operator).
+    """
+    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
+    if panes and size_ms and slide_ms and "event_ms" in clicks.columns:
+        return pane_window_aggregate(clicks, size_ms, slide_ms, with_times)
     aggs: list[Column] = [F.count(F.lit(1)).alias("click_count")]
     if with_times:
         order = arrival_key()
@@ -63,7 +124,7 @@ def click_windows(events: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDO
                   time_col: str = "event_ts", guard: bool = False) -> DataFrame:
     """Unthresholded click counts per product and sliding window."""
     agg = window_aggregate(click_filter(events, time_col, guard), size, slide, time_col,
-                           with_times=False)
+                           with_times=False, panes=not guard)
     return agg.select(*WINDOW_COLUMNS)
 
 
@@ -88,7 +149,8 @@ def click_alerts(events: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW
                  threshold: int = ALERT_THRESHOLD, time_col: str = "event_ts",
                  guard: bool = False) -> DataFrame:
     """Windows with at least ``threshold`` clicks, keyed ``alert|product|start|end``."""
-    agg = window_aggregate(click_filter(events, time_col, guard), size, slide, time_col)
+    agg = window_aggregate(click_filter(events, time_col, guard), size, slide, time_col,
+                           panes=not guard)
     return alerts_from_windows(agg, threshold)
 
 

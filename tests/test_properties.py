@@ -132,3 +132,28 @@ def test_windows_stream_equals_batch_over_arrival_ordered_files(spark, tmp_dir):
     cols = list(alerts.WINDOW_COLUMNS)
     assert sorted(map(tuple, got.select(*cols).collect())) == \
         sorted(map(tuple, expect.select(*cols).collect()))
+
+
+@SETTINGS
+@given(events=event_lists(),
+       sizes=st.sampled_from([("5 minutes", "1 minute"), ("10 minutes", "4 minutes"),
+                              ("1 hour", "20 minutes"), ("90 seconds", "1 minute")]))
+def test_pane_windows_equal_direct_windows(spark, events, sizes):
+    size, slide = sizes
+    d = decode.decode_events(lines_df(spark, events))
+    clicks = alerts.click_filter(d)
+    cols = ["product_id", "window_start", "window_end", "click_count",
+            "first_event_time", "last_event_time"]
+    direct = alerts.window_aggregate(clicks, size, slide, panes=False).select(*cols)
+    panes = alerts.window_aggregate(clicks, size, slide, panes=True).select(*cols)
+    assert sorted(map(tuple, panes.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_count_windows_are_hash_aggregated_over_panes(spark):
+    d = adapter.driver_events(spark, SF001)
+    plan = alerts.click_windows(alerts.with_event_ts(d))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "SortAggregate" not in plan and "Expand" not in plan
+    assert plan.count("HashAggregate") >= 4          # partial + final, twice
+    assert alerts.duration_ms("5 minutes") == 300_000 and alerts.duration_ms("1 hour") == 3_600_000
+    assert alerts.duration_ms("1 hour 30 minutes") is None
