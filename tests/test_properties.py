@@ -157,3 +157,35 @@ def test_count_windows_are_hash_aggregated_over_panes(spark):
     assert plan.count("HashAggregate") >= 4          # partial + final, twice
     assert alerts.duration_ms("5 minutes") == 300_000 and alerts.duration_ms("1 hour") == 3_600_000
     assert alerts.duration_ms("1 hour 30 minutes") is None
+
+
+_TEXT = st.text(alphabet=st.sampled_from(list('ab"\\/ é€中\t\n{}[]:,')), min_size=0, max_size=12)
+_NONEMPTY = st.text(alphabet=st.sampled_from(list('ab"\\/ é€中{}[]:,')), min_size=1, max_size=12)
+
+
+@st.composite
+def typed_events(draw):
+    from shopstream.schema import EVENT_COLUMNS
+    n = draw(st.integers(min_value=1, max_value=15))
+    rows = []
+    for i in range(n):
+        rows.append((
+            f"id{i}-" + draw(_TEXT), "1.0", draw(st.sampled_from(["click", "cart", "x"])),
+            "2024-01-01T00:00:0" + str(i % 10) + ".000Z", "2024-01-01T00:00:10.000Z",
+            draw(_TEXT), draw(_TEXT), draw(_TEXT), draw(_NONEMPTY), draw(_TEXT),
+            draw(st.one_of(st.none(), st.integers(min_value=-2**31, max_value=2**31 - 1))),
+            draw(st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False))),
+            draw(st.one_of(st.none(), st.floats(min_value=-1e12, max_value=1e12))),
+            draw(st.one_of(st.none(), _TEXT)), draw(st.one_of(st.none(), _TEXT)),
+            draw(st.one_of(st.none(), _TEXT))))
+    return EVENT_COLUMNS, rows
+
+
+@SETTINGS
+@given(data=typed_events())
+def test_json_round_trip_keeps_every_field(spark, data):
+    from shopstream.schema import EVENT
+    cols, rows = data
+    df = spark.createDataFrame(rows, EVENT)
+    back = decode.decode_events(jsonl.to_json_lines(df)).select(*cols)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
