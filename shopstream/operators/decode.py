@@ -28,6 +28,8 @@ REASONS = ("blank", "not_object", "malformed", "no_product")
 LINE_HEAD_CHARS = 200
 
 _SCALAR = r"^(-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null)$"
+# non-standard literals a Python JSON reader accepts as (non-object) values
+_PY_LITERAL = r"^(NaN|-?Infinity)$"
 
 
 def once(df: DataFrame, *cols: Column) -> DataFrame:
@@ -51,7 +53,8 @@ _REASON_SQL = f"""
 CASE
   WHEN _t IS NULL OR _t = '' THEN 'blank'
   WHEN NOT (startswith(_t, '{{') AND endswith(_t, '}}')) THEN
-    CASE WHEN ((startswith(_t, '[') AND endswith(_t, ']'))
+    CASE WHEN _t RLIKE r'{_PY_LITERAL}' THEN 'not_object'
+         WHEN ((startswith(_t, '[') AND endswith(_t, ']'))
                OR (startswith(_t, '"') AND endswith(_t, '"') AND length(_t) > 1)
                OR _t RLIKE r'{_SCALAR}')
               AND try_parse_json(_t) IS NOT NULL
@@ -61,6 +64,11 @@ CASE
 END"""
 
 
+def _strip_sql(expr: str) -> str:
+    """Strip surrounding whitespace (space, tab, LF, CR, FF, VT), not only spaces."""
+    return f"trim(BOTH ' \\t\\n\\r\\f\\u000B' FROM {expr})"
+
+
 def _typed_sql(name: str, dtype) -> str:
     if dtype.simpleString() == "string":
         return f"_p.{name} AS {name}"
@@ -78,11 +86,12 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """
     ensure_utc(lines.sparkSession)   # event times without an offset are UTC
     src = f"`{line_col}`"
+    t = _strip_sql(src)
     # ``once``: without the barrier, filters on ``reason`` are pushed below the
     # projection with ``from_json`` inlined: every line would be parsed twice.
     stage = lines.selectExpr(
-        f"inline(array(struct({src} AS line, trim({src}) AS _t, "
-        f"from_json(trim({src}), '{_TEXT_DDL}', {_OPTS_SQL}) AS _p)))")
+        f"inline(array(struct({src} AS line, {t} AS _t, "
+        f"from_json({t}, '{_TEXT_DDL}', {_OPTS_SQL}) AS _p)))")
     out = stage.selectExpr("line", f"{_REASON_SQL} AS reason",
                            *[_typed_sql(n, dt) for n, dt in EVENT_FIELDS])
     return out.selectExpr(
@@ -121,7 +130,7 @@ def decode_minimal(lines: DataFrame, line_col: str = "value",
     older job would fail on (unparseable, no event_type, bad event_time) are
     dropped instead of failing the query.
     """
-    t = F.trim(F.col(line_col))
+    t = F.expr(_strip_sql(f"`{line_col}`"))
     v = F.try_parse_json(t)
     stage = once(lines, t.alias("_t"), v.alias("_v"))
     v = F.col("_v")

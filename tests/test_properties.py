@@ -189,3 +189,55 @@ def test_json_round_trip_keeps_every_field(spark, data):
     df = spark.createDataFrame(rows, EVENT)
     back = decode.decode_events(jsonl.to_json_lines(df)).select(*cols)
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+def _py_reason(line):
+    """The specification: Python's json reader plus truthiness of product_id."""
+    import json
+    if line is None or not line.strip():
+        return "blank"
+    try:
+        v = json.loads(line.strip())
+    except ValueError:
+        return "malformed"
+    if not isinstance(v, dict):
+        return "not_object"
+    return None if v.get("product_id") else "no_product"
+
+
+@st.composite
+def raw_lines(draw):
+    import json
+    pid = draw(st.sampled_from(["<missing>", None, "", "p1", "x y"]))
+    obj = {"event_id": draw(st.text(max_size=5)), "event_type": "click"}
+    if pid != "<missing>":
+        obj["product_id"] = pid
+    text = json.dumps(obj, ensure_ascii=draw(st.booleans()))
+    kind = draw(st.sampled_from(["object", "array", "scalar", "truncated", "trailing", "blank",
+                                 "garbage", "py_literal", "spaced"]))
+    if kind == "object":
+        return text
+    if kind == "spaced":
+        return "  " + text.replace(", ", " ,  ") + " \t"
+    if kind == "array":
+        return "[" + text + "]"
+    if kind == "scalar":
+        return draw(st.sampled_from(['"s"', "12", "-3.5e2", "true", "null", '""', "0"]))
+    if kind == "truncated":
+        return text[: draw(st.integers(min_value=1, max_value=max(1, len(text) - 1)))]
+    if kind == "trailing":
+        return text + draw(st.sampled_from([" x", "]", ",", " 1"]))
+    if kind == "py_literal":
+        return draw(st.sampled_from(["NaN", "Infinity", "-Infinity"]))
+    if kind == "blank":
+        return draw(st.sampled_from(["", "   ", "\t"]))
+    return draw(st.text(alphabet=st.sampled_from(list('{}[]":,ab1 ')), min_size=1, max_size=10))
+
+
+@settings(max_examples=25, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(lines=st.lists(raw_lines(), min_size=1, max_size=30))
+def test_reject_reasons_match_python_reader(spark, lines):
+    got = [r.reason for r in decode.decode_lines(
+        spark.createDataFrame([(x,) for x in lines], "value string")).select("reason").collect()]
+    assert got == [_py_reason(x) for x in lines]
