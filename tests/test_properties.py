@@ -241,3 +241,39 @@ def test_reject_reasons_match_python_reader(spark, lines):
     got = [r.reason for r in decode.decode_lines(
         spark.createDataFrame([(x,) for x in lines], "value string")).select("reason").collect()]
     assert got == [_py_reason(x) for x in lines]
+
+
+@st.composite
+def iso_times(draw):
+    import datetime as dt
+    t = dt.datetime(2020, 1, 1) + dt.timedelta(
+        seconds=draw(st.integers(min_value=0, max_value=6 * 365 * 86400)),
+        microseconds=draw(st.integers(min_value=0, max_value=999_999)))
+    sep = draw(st.sampled_from(["T", " "]))
+    frac = draw(st.sampled_from(["", "ms", "us"]))
+    text = t.strftime(f"%Y-%m-%d{sep}%H:%M:%S")
+    if frac == "ms":
+        text += f".{t.microsecond // 1000:03d}"
+    elif frac == "us":
+        text += f".{t.microsecond:06d}"
+    zone = draw(st.sampled_from(["", "Z", "+03:00", "-05:30", "+00:00"]))
+    return text + zone
+
+
+def _py_event_ms(text):
+    import datetime as dt
+    d = dt.datetime.fromisoformat(text.replace("Z", "+00:00"))
+    if d.tzinfo is None:
+        d = d.replace(tzinfo=dt.timezone.utc)
+    delta = d - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    return (delta.days * 86_400_000_000 + delta.seconds * 1_000_000 + delta.microseconds) // 1000
+
+
+@SETTINGS
+@given(times=st.lists(iso_times(), min_size=1, max_size=20))
+def test_event_time_matches_python_isoformat(spark, times):
+    from pyspark.sql import functions as F
+    from shopstream.functions.columns import parse_iso_ts
+    df = spark.createDataFrame([(t,) for t in times], "s string")
+    got = [r.ms for r in df.select(F.unix_millis(parse_iso_ts("s")).alias("ms")).collect()]
+    assert got == [_py_event_ms(t) for t in times]
