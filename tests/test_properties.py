@@ -277,3 +277,54 @@ def test_event_time_matches_python_isoformat(spark, times):
     df = spark.createDataFrame([(t,) for t in times], "s string")
     got = [r.ms for r in df.select(F.unix_millis(parse_iso_ts("s")).alias("ms")).collect()]
     assert got == [_py_event_ms(t) for t in times]
+
+
+def _py_running_metrics(events):
+    """Sequential per-product fold in arrival order, written from the spec."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    def money(v):
+        try:
+            f = float(v or 0.0)
+        except (TypeError, ValueError):
+            return Decimal("0")
+        if f != f or f in (float("inf"), float("-inf")):
+            return Decimal("0")
+        return Decimal(repr(f)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+    def arrival(e):
+        return (_py_event_ms(e["ingested_at"]), e["event_id"])
+
+    state = {}
+    for e in sorted(events, key=arrival):
+        pid = e.get("product_id")
+        if not pid:
+            continue
+        m = state.setdefault(pid, {"clicks": 0, "cart_adds": 0, "checkouts": 0,
+                                   "orders_value": Decimal("0"), "delivered": 0,
+                                   "category": e.get("category") or "unknown",
+                                   "last_event_time": "", "last_event_id": ""})
+        et = e.get("event_type")
+        if et == "click":
+            m["clicks"] += 1
+        elif et == "cart" and e.get("cart_action") == "add":
+            m["cart_adds"] += 1
+        elif et == "cart" and e.get("cart_action") == "checkout":
+            m["checkouts"] += 1
+            m["orders_value"] += money(e.get("total_value"))
+        elif et == "delivery_status" and e.get("delivery_status") == "delivered":
+            m["delivered"] += 1
+        m["category"] = e.get("category") or m["category"]
+        m["last_event_time"] = e.get("event_time") or m["last_event_time"]
+        m["last_event_id"] = e.get("event_id") or m["last_event_id"]
+    return {k: (v["clicks"], v["cart_adds"], v["checkouts"], float(v["orders_value"]),
+                v["delivered"], v["category"], v["last_event_time"], v["last_event_id"])
+            for k, v in state.items()}
+
+
+@SETTINGS
+@given(events=event_lists())
+def test_running_metrics_match_sequential_fold(spark, events):
+    got = {r.product_id: tuple(r)[1:] for r in
+           metrics.product_metrics(decode.decode_events(lines_df(spark, events))).collect()}
+    assert got == _py_running_metrics(events)
