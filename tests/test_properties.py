@@ -328,3 +328,33 @@ def test_running_metrics_match_sequential_fold(spark, events):
     got = {r.product_id: tuple(r)[1:] for r in
            metrics.product_metrics(decode.decode_events(lines_df(spark, events))).collect()}
     assert got == _py_running_metrics(events)
+
+
+def _py_alerts(events, size_ms, slide_ms, threshold):
+    wins = {}
+    for e in events:
+        if e["event_type"] != "click" or not e.get("product_id"):
+            continue
+        t = _py_event_ms(e["event_time"])
+        start = t - t % slide_ms
+        while start > t - size_ms:
+            wins.setdefault((e["product_id"], start), []).append(e)
+            start -= slide_ms
+    out = {}
+    for (pid, start), es in wins.items():
+        if len(es) < threshold:
+            continue
+        timed = sorted((e for e in es if e.get("event_time")),
+                       key=lambda e: (_py_event_ms(e["ingested_at"]), e["event_id"]))
+        out[f"alert|{pid}|{start}|{start + size_ms}"] = (
+            len(es), timed[0]["event_time"] if timed else "", timed[-1]["event_time"] if timed else "")
+    return out
+
+
+@SETTINGS
+@given(events=event_lists(), threshold=st.integers(min_value=1, max_value=3))
+def test_alerts_match_brute_force(spark, events, threshold):
+    d = decode.decode_events(lines_df(spark, events))
+    got = {r.row_key: (r.click_count, r.first_event_time, r.last_event_time)
+           for r in alerts.click_alerts(d, "1 hour", "20 minutes", threshold).collect()}
+    assert got == _py_alerts(events, 3_600_000, 1_200_000, threshold)
