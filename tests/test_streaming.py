@@ -294,3 +294,21 @@ def test_processed_files_are_archived(spark, tmp_dir):
     assert not set(archived) & set(os.listdir(src))
     schema = sq.product_metrics_stream(sq.decoded_stream(spark, src)).schema
     assert sq.current(spark, f"{run}/sink", schema, ["product_id"]).first().clicks == 3
+
+
+def test_late_row_still_counts_in_windows_that_are_open(spark, tmp_dir):
+    """Lateness is per window: closed windows drop the row, open ones count it."""
+    on_time = [ev("a", "click", event_time=_t(10, 10))]                         # 00:10:10
+    advance = [ev("x", "cart", cart_action="add", event_time=_t(15, 12))]      # wm -> 00:12:00
+    spacer = [ev("s", "cart", cart_action="add", event_time=_t(16, 12))]
+    late = [ev("b", "click", event_time=_t(30, 10))]                           # 00:10:30
+    close = [ev("c", "cart", cart_action="add", event_time=_t(0, 40))]
+    src, run = f"{tmp_dir}/src", f"{tmp_dir}/run"
+    _stage(src, [on_time, advance, spacer, late, close])
+    q = _run(sq.start_click_windows, spark, src, run, max_files_per_trigger=1)
+    assert sq.rows_dropped_by_watermark(q) == 2            # [06,11) and [07,12) had closed
+    schema = sq.click_windows_stream(sq.decoded_stream(spark, src)).schema
+    wins = {(r.window_start - 1704067200000) // 60000: r.click_count for r in
+            sq.current(spark, f"{run}/sink", schema, ["product_id", "window_start", "window_end"],
+                       append_only=True).collect()}
+    assert wins == {6: 1, 7: 1, 8: 2, 9: 2, 10: 2}
