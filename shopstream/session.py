@@ -8,7 +8,6 @@ cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -127,13 +126,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local(path):
-        os.makedirs(local_path(path), exist_ok=True)
 
 
 def make_dirs(spark: SparkSession, path: str) -> bool:

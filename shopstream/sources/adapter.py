@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopstream.session import app_id, default_parallelism, ensure_utc
 
-from shopstream.schema import (CATEGORIES, DELIVERY_STATUSES, EVENT_COLUMNS, ISO_MS_FORMAT,
+from shopstream.schema import (CATEGORIES, DELIVERY_STATUSES, ISO_MS_FORMAT,
                                SCHEMA_VERSION, SOURCE)
 
 # ---------------------------------------------------------------------------
@@ -161,6 +161,3 @@ def driver_events(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -
         return canonical_events(read_spread(spark, sf_dir, "events"))
     return canonical_events(read_table(spark, sf_dir, "events"))
 
-
-def contract_only(ev: DataFrame) -> DataFrame:
-    return ev.select(*EVENT_COLUMNS)

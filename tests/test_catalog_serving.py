@@ -20,6 +20,10 @@ def test_database_tables_and_listing(spark):
     db = jsonl.unique_name("t_shop")
     catalog.ensure_database(spark, db, new_run_dir(spark, "db"))
     catalog.ensure_database(spark, db)                      # idempotent
+    current = spark.catalog.currentDatabase()
+    catalog.use_database(spark, db)
+    assert spark.catalog.currentDatabase() == db
+    catalog.use_database(spark, current)
     catalog.create_insight_tables(spark, db)
     catalog.create_insight_tables(spark, db)                # IF NOT EXISTS
     names = {r.tableName for r in catalog.list_tables(spark, db).collect()}
