@@ -32,6 +32,10 @@ def build_session(master: str | None = None, app_name: str = "shopstream",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # one memory budget per executor for all its RocksDB instances (many
+        # state partitions per executor must not add up to an OOM)
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1024",
     }
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
