@@ -324,6 +324,7 @@ ORACLE: dict[str, str] = {
     "stream_click_alerts_1d": EV + _alerts(DAY, 6 * HOUR, 10, CLOSED),
     "reconcile_stream": _RECONCILE,
     "stream_decode_rejects": _REJECTS,
+    "stream_decode_once_metrics": EV + _PRODUCT_METRICS,
     "stream_landing": EV + "SELECT 'raw' AS sink, count(*) AS n FROM ev "
                            "UNION ALL SELECT 'staging', count(*) FROM ev",
     "insights_tables": EV + f"""

@@ -77,6 +77,19 @@ def q_stream_decode_rejects(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("stream_decode_once_metrics")
+def q_stream_decode_once_metrics(spark, sf_dir):
+    """The two-flow job with the decode-once stage; current product metrics."""
+    from shopstream.streaming import job as sjob
+
+    source = jsonl.landed_events(spark, sf_dir)
+    out = new_run_dir(spark, "stream-job")
+    j = sjob.start_job(spark, source, out, AVAILABLE_NOW, decode_once=True,
+                       state_partitions=default_parallelism(spark))
+    j.await_all()
+    return sjob.current_metrics(spark, out, source).select(*metrics.OUTPUT_COLUMNS)
+
+
 @register("stream_landing")
 def q_stream_landing(spark, sf_dir):
     """Fan-out of the landed log into raw archive + staging; rows per sink."""

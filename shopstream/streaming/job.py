@@ -46,7 +46,7 @@ def start_job(spark: SparkSession, input_dir: str, out_dir: str,
               trigger: sq.Trigger = sq.Trigger(), size: str = WINDOW_SIZE,
               slide: str = WINDOW_SLIDE, threshold: int = ALERT_THRESHOLD,
               watermark: str = WATERMARK_DELAY, decode_once: bool = False,
-              **source_opts) -> StreamJob:
+              state_partitions: int | None = None, **source_opts) -> StreamJob:
     """Start the two flows (and, with ``decode_once``, the shared decode stage).
 
     ``decode_once``: one query parses every line into ``<out>/decoded``
@@ -56,22 +56,22 @@ def start_job(spark: SparkSession, input_dir: str, out_dir: str,
     before the flows start.
     """
     ck = f"{out_dir}/_checkpoints"
-    if not decode_once:
-        m = sq.start_product_metrics(spark, input_dir, f"{out_dir}/product_metrics",
-                                     f"{ck}/product_metrics", trigger, **source_opts)
-        a = sq.start_click_alerts(spark, input_dir, f"{out_dir}/click_alerts",
-                                  f"{ck}/click_alerts", trigger, size, slide, threshold,
-                                  watermark, **source_opts)
-        return StreamJob(m, a, out_dir)
-    decoded = f"{out_dir}/decoded"
-    d = sq.start_decode(spark, input_dir, decoded, f"{ck}/decode", trigger, **source_opts)
-    if trigger.available_now:
-        d.awaitTermination()
-    ev = sq.typed_event_stream(spark, decoded)
-    m = sq.start_upsert(sq.product_metrics_stream(ev), f"{out_dir}/product_metrics",
-                        f"{ck}/product_metrics", "update", trigger)
-    a = sq.start_upsert(sq.click_alerts_stream(ev, size, slide, threshold, watermark),
-                        f"{out_dir}/click_alerts", f"{ck}/click_alerts", "append", trigger)
+    if decode_once:
+        decoded = f"{out_dir}/decoded"
+        d = sq.start_decode(spark, input_dir, decoded, f"{ck}/decode", trigger, **source_opts)
+        if trigger.available_now:
+            d.awaitTermination()
+        ev_m = ev_a = sq.typed_event_stream(spark, decoded)
+    else:
+        d = None
+        ev_m = sq.decoded_stream(spark, input_dir, **source_opts)
+        ev_a = sq.decoded_stream(spark, input_dir, **source_opts)
+    m = sq.start_upsert(sq.product_metrics_stream(ev_m), f"{out_dir}/product_metrics",
+                        f"{ck}/product_metrics", "update", trigger,
+                        state_partitions=state_partitions)
+    a = sq.start_upsert(sq.click_alerts_stream(ev_a, size, slide, threshold, watermark),
+                        f"{out_dir}/click_alerts", f"{ck}/click_alerts", "append", trigger,
+                        state_partitions=state_partitions)
     return StreamJob(m, a, out_dir, d)
 
 
