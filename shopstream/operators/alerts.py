@@ -1,10 +1,12 @@
 """Sliding event-time click windows and high-volume alerts.
 
 Windows are epoch-aligned, ``[start, end)``, size/slide windows per click.
-Spark expands each click into its ``size/slide`` windows and aggregates
-partially before the shuffle on ``(product, window)``, so no window buffers
-its elements (the full-window buffering of the original flow is replaced by
-incremental count / min_by / max_by).
+Nothing buffers a window's elements: the full-window buffering of the
+original flow is replaced by incremental aggregates.  Batch windows are
+built from panes (:func:`pane_window_aggregate`: one aggregation of the raw
+clicks per pane, then pane aggregates merged per window); streams use
+``window()``, which expands each click into its windows before the stateful
+aggregation and judges lateness per window.
 
 On a stream the click filter must not be pushed below the watermark (then
 only clicks would move it); :func:`click_filter` with ``guard=True`` refers to
