@@ -122,7 +122,7 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
 
 
 def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level access (tests only)."""
+    """Strip a ``file:`` scheme for os-level access (local tests and the bench probe)."""
     if path.startswith("file://"):
         return path[len("file://"):]
     if path.startswith("file:"):
@@ -130,8 +130,6 @@ def local_path(path: str) -> str:
     return path
 
 
-
-
 def make_dirs(spark: SparkSession, path: str) -> bool:
     """Create a folder on the cluster file system (metadata only, no job).
 
