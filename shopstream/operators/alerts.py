@@ -108,7 +108,9 @@ def window_aggregate(clicks: DataFrame, size: str = WINDOW_SIZE, slide: str = WI
     every click (streams keep this form: it is the stateful window operator).
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    if panes and size_ms and slide_ms and "event_ms" in clicks.columns:
+    # panes window on ``event_ms``, the millisecond form of ``event_ts``
+    if (panes and size_ms and slide_ms and time_col == "event_ts"
+            and "event_ms" in clicks.columns):
         return pane_window_aggregate(clicks, size_ms, slide_ms, with_times)
     aggs: list[Column] = [F.count(F.lit(1)).alias("click_count")]
     if with_times:
