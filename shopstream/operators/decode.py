@@ -128,7 +128,8 @@ def decode_minimal(lines: DataFrame, line_col: str = "value",
     An *absent* product_id becomes ``on_missing_product``; a JSON ``null``
     becomes the text ``'null'`` (as a JSON tree's text value would).  Lines the
     older job would fail on (unparseable, no event_type, bad event_time) are
-    dropped instead of failing the query.
+    dropped instead of failing the query.  Deviation: an object or array
+    product_id keeps its JSON text, where a JSON tree's text value is empty.
     """
     t = F.expr(_strip_sql(f"`{line_col}`"))
     v = F.try_parse_json(t)
