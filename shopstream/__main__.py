@@ -12,7 +12,7 @@ DEFAULT_DIR = "/root/testdata/sf0.01"
 
 
 def main(argv=None) -> None:
-    from shopstream.plans import catalogue, streams  # noqa: F401  (registers queries)
+    from shopstream.plans import catalogue, streams, tables  # noqa: F401  (registers queries)
 
     ap = argparse.ArgumentParser(prog="python -m shopstream", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)

@@ -1,4 +1,4 @@
-"""Registered streaming and catalog queries.
+"""Registered streaming queries.
 
 Streams run over the driver events landed as JSON-lines files in the shared
 work folder, with ``availableNow`` (bounded run, then stop), their own
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
 from shopstream.session import default_parallelism, new_run_dir
-from shopstream.sinks import catalog
 from shopstream.sources import jsonl
 from shopstream.streaming import queries as sq
 
@@ -106,47 +105,6 @@ def q_stream_landing(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-# ----------------------------------------------------------------- catalog
-def _insights(spark, sf_dir) -> tuple[str, dict[str, str]]:
-    partials = batch.insight_partials(events(spark, sf_dir)).persist()
-    db = catalog.scratch_database(spark)
-    catalog.create_insight_tables(spark, db)
-    catalog.write_insights(batch.clicks_by_product_from(partials), batch.sales_from(partials), db)
-    partials.unpersist()
-    raw = jsonl.raw_logs_table(spark, jsonl.landed_events(spark, sf_dir), f"{db}.raw_logs")
-    raw.createOrReplaceTempView("shopstream_raw_logs")
-    catalog.ctas_product_metrics(spark, db, "shopstream_raw_logs", refresh=True)
-    return db, {"insights_cliques": f"{db}.insights_cliques",
-                "insights_vendas": f"{db}.insights_vendas",
-                "product_metrics_batch": f"{db}.product_metrics_batch"}
-
-
-@register("insights_tables")
-def q_insights_tables(spark, sf_dir):
-    _, tables = _insights(spark, sf_dir)
-    return catalog.table_counts(spark, tables)
-
-
-@register("validation_summary")
-def q_validation_summary(spark, sf_dir):
-    """Rows per relation: raw log, product metrics, alerts, insight tables."""
-    ev = alerts.with_event_ts(events(spark, sf_dir))
-    _, tables = _insights(spark, sf_dir)
-    rel = {
-        "raw_events": jsonl.read_events_json(spark, jsonl.landed_events(spark, sf_dir)),
-        "product_metrics": metrics.product_metrics(ev),
-        "click_alerts": alerts.click_alerts(ev, DAY_SIZE, DAY_SLIDE, 10),
-        "insights_cliques": spark.table(tables["insights_cliques"]),
-        "insights_vendas": spark.table(tables["insights_vendas"]),
-    }
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("relation"), "n")
-             for k, df in rel.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 @register("reconcile_stream")
 def q_reconcile_stream(spark, sf_dir):
     """Stream/batch reconciliation over the real streaming sink vs the batch totals."""
