@@ -175,3 +175,13 @@ def test_one_pass_insights_equal_direct(spark):
     assert rows(batch.clicks_by_product_from(part)) == rows(batch.clicks_by_product(clean))
     assert rows(batch.sales_from(part)) == rows(batch.sales(clean))
     assert part.agg({"raw_rows": "sum"}).first()[0] == len(es)
+
+
+def test_lateness_profile_golden(spark):
+    es = [ev("e1", "click", event_time=_t(0, 1), ingested_at=_t(0, 1)),          # on time
+          ev("e2", "click", event_time=_t(0, 1), ingested_at=_t(5, 1)),          # 5 s late
+          ev("e3", "click", event_time=_t(0, 1), ingested_at=_t(20, 1)),         # beyond 15 s
+          ev("e4", "cart", cart_action="add", event_time=_t(9, 2), ingested_at=_t(9, 2))]
+    got = {r.event_type: tuple(r)[1:] for r in
+           quality.lateness_profile(_events(spark, es)).collect()}
+    assert got == {"click": (3, 2, 20_000, 1), "cart": (1, 0, 0, 0)}
