@@ -185,3 +185,16 @@ def test_lateness_profile_golden(spark):
     got = {r.event_type: tuple(r)[1:] for r in
            quality.lateness_profile(_events(spark, es)).collect()}
     assert got == {"click": (3, 2, 20_000, 1), "cart": (1, 0, 0, 0)}
+
+
+def test_reconcile_flags_one_sided_products(spark):
+    run_es = [ev("e1", "click", product_id="p1")]
+    batch_es = [ev("e1", "click", product_id="p1"),
+                ev("e2", "cart", product_id="p2", cart_action="checkout", total_value=4.25)]
+    running = metrics.product_metrics(_events(spark, run_es))
+    totals = batch.product_metrics_batch(_events(spark, batch_es))
+    got = {r.product_id: r for r in quality.reconcile(running, totals).collect()}
+    assert got["p1"].in_running and got["p1"].in_batch and got["p1"].clicks_diff == 0
+    p2 = got["p2"]
+    assert (p2.in_running, p2.in_batch) == (False, True)
+    assert (p2.checkouts_diff, p2.orders_value_diff) == (-1, -4.25)
