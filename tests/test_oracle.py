@@ -78,3 +78,21 @@ PLAN_FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPytho
 def test_plans_have_no_cross_join_udf_or_broadcast(spark, name):
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert not [k for k in PLAN_FORBIDDEN if k in plan], plan[:2000]
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import subprocess
+    import sys as _sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF001, BENCH_CPUS="2", BENCH_DRIVER_MEM="2g")
+    out = subprocess.run([_sys.executable, os.path.join(root, "bench.py")], env=env,
+                         cwd=tmp_path, capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [x for x in out.stdout.splitlines() if x.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and "failed" not in d
+    assert all(isinstance(v, float) for v in d["queries"].values())
