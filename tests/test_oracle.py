@@ -12,6 +12,8 @@ import __spark_entry__ as E
 from conftest import SF001
 
 TABLES = ("events",)
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -45,6 +47,10 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, res.fetchall())
+    duck = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    spark_types = {f.name: _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck
 
 
 def test_entry_smoke(spark):
