@@ -1,9 +1,10 @@
-"""Registered queries: ``name -> fn(spark, sf_dir) -> DataFrame``.
+"""Registered queries: ``name -> fn(spark, sf_dir) -> DataFrame`` (the registry).
 
 Every query reads the driver tables at ``sf_dir`` (through the event adapter)
-and runs over the whole table.  Streaming queries stage the events as JSON
-lines in the shared work folder, run to completion with ``availableNow`` and
-return a DataFrame over their sink.
+and runs over the whole table.  This module holds the batch queries and the
+registry; ``plans.streams`` adds the streaming queries (bounded
+``availableNow`` runs over landed JSON lines) and ``plans.tables`` the
+catalog queries.
 """
 
 from __future__ import annotations
