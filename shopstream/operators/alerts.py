@@ -32,6 +32,9 @@ ROW_KEY_SEPARATOR = "|"
 
 _MIN_MICROS = -(2 ** 63)
 
+# event fields the click windows / alerts read (the decoder parses only these)
+INPUT_FIELDS = ("event_id", "event_type", "event_time", "ingested_at", "product_id")
+
 WINDOW_COLUMNS = ("product_id", "window_start", "window_end", "click_count")
 ALERT_COLUMNS = ("row_key", "product_id", "alert_type", "click_count", "window_start",
                  "window_end", "first_event_time", "last_event_time")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.columns import event_timestamp_sql, parse_iso_ts, parse_iso_ts_sql
-from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS, EVENT_TEXT
+from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS
 from shopstream.session import ensure_utc
 
 REASONS = ("blank", "not_object", "malformed", "no_product")
@@ -42,8 +42,25 @@ def once(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*cols))))
 
 
-# Wire schema (every field as text + the corrupt-record marker) as DDL.
-_TEXT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in EVENT_TEXT.fields)
+# Fields every decode needs: the reject reason reads product_id, the
+# event-time assigner reads event_time and ingested_at.
+ALWAYS_PARSED = ("product_id", "event_time", "ingested_at")
+
+
+def _parsed_fields(fields) -> tuple:
+    """The (name, type) pairs to parse: all, or ``fields`` + :data:`ALWAYS_PARSED`."""
+    if fields is None:
+        return EVENT_FIELDS
+    want = set(fields) | set(ALWAYS_PARSED)
+    unknown = want - {n for n, _ in EVENT_FIELDS}
+    if unknown:
+        raise ValueError(f"not event fields: {sorted(unknown)}")
+    return tuple((n, t) for n, t in EVENT_FIELDS if n in want)
+
+
+def _text_ddl(parsed) -> str:
+    """Wire schema (the fields as text + the corrupt-record marker) as DDL."""
+    return ", ".join(f"{n} STRING" for n, _ in parsed) + f", {CORRUPT} STRING"
 _OPTS_SQL = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}')"
 
 # Outcome of a line, checked in order (``_t`` trimmed line, ``_p`` parsed struct).
@@ -75,15 +92,22 @@ def _typed_sql(name: str, dtype) -> str:
     return f"try_cast(_p.{name} AS {dtype.simpleString()}) AS {name}"
 
 
-def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def decode_lines(lines: DataFrame, line_col: str = "value",
+                 fields: tuple[str, ...] | None = None) -> DataFrame:
     """Every input line with its decode outcome.
 
-    Output: ``line``, ``reason`` (NULL for good events), the 16 typed event
+    Output: ``line``, ``reason`` (NULL for good events), the typed event
     fields, ``event_ts`` (event-time assigner), ``event_ms`` and
     ``ingested_ms`` (arrival clock).  Use :func:`events_of` /
     :func:`rejects_of` to split.  Built as SQL expression text (a handful of
     gateway calls instead of one per Column node); the plan is the same.
+
+    ``fields``: parse only these event fields (plus :data:`ALWAYS_PARSED`).
+    The parse-once barrier hides the consumers from Catalyst's JSON schema
+    pruning, so callers that know their columns prune here; reasons are the
+    same, since the whole line is still tokenized and validated.
     """
+    parsed = _parsed_fields(fields)
     ensure_utc(lines.sparkSession)   # event times without an offset are UTC
     src = f"`{line_col}`"
     t = _strip_sql(src)
@@ -91,9 +115,9 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     # projection with ``from_json`` inlined: every line would be parsed twice.
     stage = lines.selectExpr(
         f"inline(array(struct({src} AS line, {t} AS _t, "
-        f"from_json({t}, '{_TEXT_DDL}', {_OPTS_SQL}) AS _p)))")
+        f"from_json({t}, '{_text_ddl(parsed)}', {_OPTS_SQL}) AS _p)))")
     out = stage.selectExpr("line", f"{_REASON_SQL} AS reason",
-                           *[_typed_sql(n, dt) for n, dt in EVENT_FIELDS])
+                           *[_typed_sql(n, dt) for n, dt in parsed])
     return out.selectExpr(
         "*",
         f"{event_timestamp_sql('event_time', 'ingested_at')} AS event_ts",
@@ -102,9 +126,10 @@ def decode_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 
 def events_of(decoded: DataFrame) -> DataFrame:
-    """Good events: 16 contract fields + event_ts, event_ms, ingested_ms."""
+    """Good events: the parsed contract fields + event_ts, event_ms, ingested_ms."""
+    cols = [c for c in EVENT_COLUMNS if c in decoded.columns]
     return decoded.filter(F.col("reason").isNull()).select(
-        *EVENT_COLUMNS, "event_ts", "event_ms", "ingested_ms")
+        *cols, "event_ts", "event_ms", "ingested_ms")
 
 
 def rejects_of(decoded: DataFrame) -> DataFrame:
@@ -113,8 +138,9 @@ def rejects_of(decoded: DataFrame) -> DataFrame:
         "reason", F.substring("line", 1, LINE_HEAD_CHARS).alias("line_head"))
 
 
-def decode_events(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    return events_of(decode_lines(lines, line_col))
+def decode_events(lines: DataFrame, line_col: str = "value",
+                  fields: tuple[str, ...] | None = None) -> DataFrame:
+    return events_of(decode_lines(lines, line_col, fields))
 
 
 def reject_counts(decoded: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from shopstream.functions.columns import (
     MONEY, arrival_key, count_when, last_by_arrival, to_money)
 
+# event fields the running metrics read (the decoder parses only these)
+INPUT_FIELDS = ("event_id", "event_type", "event_time", "ingested_at", "product_id", "category",
+                "cart_action", "total_value", "delivery_status")
 METRIC_COLUMNS = ("clicks", "cart_adds", "checkouts", "orders_value", "delivered")
 META_COLUMNS = ("category", "last_event_time", "last_event_id")
 OUTPUT_COLUMNS = ("product_id",) + METRIC_COLUMNS + META_COLUMNS

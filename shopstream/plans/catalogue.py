@@ -73,7 +73,7 @@ def q_decoded_unknown_product(spark, sf_dir):
 @register("event_times")
 def q_event_times(spark, sf_dir):
     lines = jsonl.to_json_lines(events(spark, sf_dir, spread_scan=True))
-    return decode.decode_events(lines).select("event_id", "event_ms")
+    return decode.decode_events(lines, fields=("event_id",)).select("event_id", "event_ms")
 
 
 # ----------------------------------------------------------------- batch ETL

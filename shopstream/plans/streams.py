@@ -21,11 +21,11 @@ AVAILABLE_NOW = sq.Trigger(available_now=True)
 
 
 def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
-         keys: list[str]) -> DataFrame:
+         keys: list[str], fields: tuple[str, ...] | None = None) -> DataFrame:
     """Land the events, run ``build(decoded_stream)`` to completion, read the sink."""
     source = jsonl.landed_events(spark, sf_dir)
     run = new_run_dir(spark, label)
-    result = build(sq.decoded_stream(spark, source))
+    result = build(sq.decoded_stream(spark, source, fields))
     # state partitions sized to the cluster's task slots, not the session default
     q = sq.start_upsert(result, f"{run}/sink", f"{run}/checkpoint", output_mode, AVAILABLE_NOW,
                         state_partitions=default_parallelism(spark))
@@ -39,19 +39,20 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
 @register("stream_product_metrics")
 def q_stream_product_metrics(spark, sf_dir):
     return _run(spark, sf_dir, "stream-metrics", sq.product_metrics_stream, "update",
-                ["product_id"]).select(*metrics.OUTPUT_COLUMNS)
+                ["product_id"], metrics.INPUT_FIELDS).select(*metrics.OUTPUT_COLUMNS)
 
 
 @register("stream_click_windows")
 def q_stream_click_windows(spark, sf_dir):
     return _run(spark, sf_dir, "stream-windows", sq.click_windows_stream, "append",
-                ["product_id", "window_start", "window_end"]).select(*alerts.WINDOW_COLUMNS)
+                ["product_id", "window_start", "window_end"],
+                alerts.INPUT_FIELDS).select(*alerts.WINDOW_COLUMNS)
 
 
 @register("stream_click_alerts")
 def q_stream_click_alerts(spark, sf_dir):
     return _run(spark, sf_dir, "stream-alerts", sq.click_alerts_stream, "append",
-                ["row_key"]).select(*alerts.ALERT_COLUMNS)
+                ["row_key"], alerts.INPUT_FIELDS).select(*alerts.ALERT_COLUMNS)
 
 
 @register("stream_click_alerts_1d")
@@ -59,7 +60,7 @@ def q_stream_click_alerts_1d(spark, sf_dir):
     def build(ev):
         return sq.click_alerts_stream(ev, DAY_SIZE, DAY_SLIDE, 10)
     return _run(spark, sf_dir, "stream-alerts-1d", build, "append",
-                ["row_key"]).select(*alerts.ALERT_COLUMNS)
+                ["row_key"], alerts.INPUT_FIELDS).select(*alerts.ALERT_COLUMNS)
 
 
 @register("stream_decode_rejects")

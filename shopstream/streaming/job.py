@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.schema import ALERT_THRESHOLD, WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
+from shopstream.operators import alerts, metrics
 from shopstream.streaming import queries as sq
 
 
@@ -64,8 +65,8 @@ def start_job(spark: SparkSession, input_dir: str, out_dir: str,
         ev_m = ev_a = sq.typed_event_stream(spark, decoded)
     else:
         d = None
-        ev_m = sq.decoded_stream(spark, input_dir, **source_opts)
-        ev_a = sq.decoded_stream(spark, input_dir, **source_opts)
+        ev_m = sq.decoded_stream(spark, input_dir, metrics.INPUT_FIELDS, **source_opts)
+        ev_a = sq.decoded_stream(spark, input_dir, alerts.INPUT_FIELDS, **source_opts)
     m = sq.start_upsert(sq.product_metrics_stream(ev_m), f"{out_dir}/product_metrics",
                         f"{ck}/product_metrics", "update", trigger,
                         state_partitions=state_partitions)

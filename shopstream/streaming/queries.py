@@ -65,8 +65,10 @@ def text_source(spark: SparkSession, directory: str, max_files_per_trigger: int
     return r.load(directory)
 
 
-def decoded_stream(spark: SparkSession, directory: str, **source_opts) -> DataFrame:
-    return decode.decode_events(text_source(spark, directory, **source_opts))
+def decoded_stream(spark: SparkSession, directory: str, fields: tuple[str, ...] | None = None,
+                   **source_opts) -> DataFrame:
+    """Decoded events of a folder stream; ``fields`` prunes the JSON parse."""
+    return decode.decode_events(text_source(spark, directory, **source_opts), fields=fields)
 
 
 # ----------------------------------------------------------------- decode once
@@ -179,7 +181,8 @@ def start_upsert(result: DataFrame, sink_path: str, checkpoint: str, output_mode
 def start_product_metrics(spark: SparkSession, source_dir: str, sink_path: str,
                           checkpoint: str, trigger: Trigger = Trigger(),
                           **source_opts) -> StreamingQuery:
-    res = product_metrics_stream(decoded_stream(spark, source_dir, **source_opts))
+    res = product_metrics_stream(decoded_stream(spark, source_dir, metrics.INPUT_FIELDS,
+                                                **source_opts))
     return start_upsert(res, sink_path, checkpoint, "update", trigger)
 
 
@@ -187,8 +190,8 @@ def start_click_windows(spark: SparkSession, source_dir: str, sink_path: str, ch
                         trigger: Trigger = Trigger(), size: str = WINDOW_SIZE,
                         slide: str = WINDOW_SLIDE, watermark: str = WATERMARK_DELAY,
                         **source_opts) -> StreamingQuery:
-    res = click_windows_stream(decoded_stream(spark, source_dir, **source_opts), size, slide,
-                               watermark)
+    res = click_windows_stream(decoded_stream(spark, source_dir, alerts.INPUT_FIELDS,
+                                              **source_opts), size, slide, watermark)
     return start_upsert(res, sink_path, checkpoint, "append", trigger)
 
 
@@ -196,8 +199,8 @@ def start_click_alerts(spark: SparkSession, source_dir: str, sink_path: str, che
                        trigger: Trigger = Trigger(), size: str = WINDOW_SIZE,
                        slide: str = WINDOW_SLIDE, threshold: int = ALERT_THRESHOLD,
                        watermark: str = WATERMARK_DELAY, **source_opts) -> StreamingQuery:
-    res = click_alerts_stream(decoded_stream(spark, source_dir, **source_opts), size, slide,
-                              threshold, watermark)
+    res = click_alerts_stream(decoded_stream(spark, source_dir, alerts.INPUT_FIELDS,
+                                             **source_opts), size, slide, threshold, watermark)
     return start_upsert(res, sink_path, checkpoint, "append", trigger)
 
 

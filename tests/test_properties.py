@@ -387,3 +387,16 @@ def test_fixture_stream_ten_files_one_per_batch(spark, tmp_dir):
     schema = sq.click_windows_stream(sq.decoded_stream(spark, src)).schema
     got = sq.current(spark, f"{run}/sink", schema, [], append_only=True)
     assert got.count() == 9885
+
+
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(lines=st.lists(raw_lines(), min_size=1, max_size=30))
+def test_pruned_decode_equals_full_decode(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    keep = ("event_id", "event_type")
+    full = decode.decode_lines(df).select("reason", *keep, "event_ms").collect()
+    pruned = decode.decode_lines(df, fields=keep).select("reason", *keep, "event_ms").collect()
+    assert [tuple(r)[:3] for r in pruned] == [tuple(r)[:3] for r in full]
+    pruned_cols = decode.decode_events(df, fields=keep).columns
+    assert "category" not in pruned_cols and "product_id" in pruned_cols
