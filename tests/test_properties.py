@@ -400,3 +400,51 @@ def test_pruned_decode_equals_full_decode(spark, lines):
     assert [tuple(r)[:3] for r in pruned] == [tuple(r)[:3] for r in full]
     pruned_cols = decode.decode_events(df, fields=keep).columns
     assert "category" not in pruned_cols and "product_id" in pruned_cols
+
+
+@st.composite
+def order_events(draw):
+    n = draw(st.integers(min_value=1, max_value=25))
+    out = []
+    for i in range(n):
+        kind = draw(st.sampled_from(["checkout", "delivery", "click"]))
+        sec = draw(st.integers(min_value=0, max_value=59))
+        minute = draw(st.integers(min_value=0, max_value=59))
+        t = f"2024-01-01T00:{minute:02d}:{sec:02d}.000Z"
+        oid = draw(st.sampled_from(["o1", "o2", "o3", None]))
+        if kind == "checkout":
+            e = ev(f"e{i:03d}", "cart", cart_action="checkout", order_id=oid, event_time=t,
+                   ingested_at=t)
+        elif kind == "delivery":
+            e = ev(f"e{i:03d}", "delivery_status", order_id=oid, event_time=t, ingested_at=t,
+                   delivery_status=draw(st.sampled_from(["created", "shipped", "delivered"])))
+        else:
+            e = ev(f"e{i:03d}", "click", event_time=t, ingested_at=t)
+        out.append(e)
+    return out
+
+
+def _py_order_progress(events):
+    def arrival(e):
+        return (_py_event_ms(e["ingested_at"]), e["event_id"])
+    out = {}
+    for oid in {e["order_id"] for e in events if e.get("order_id")}:
+        ck = sorted((e for e in events if e.get("order_id") == oid and e["event_type"] == "cart"
+                     and e.get("cart_action") == "checkout"), key=arrival)
+        if not ck:
+            continue
+        de = sorted((e for e in events if e.get("order_id") == oid
+                     and e["event_type"] == "delivery_status"), key=arrival)
+        st_ = [e for e in de if e.get("delivery_status")]
+        out[oid] = (ck[0]["event_time"], len(ck), st_[-1]["delivery_status"] if st_ else None,
+                    len(de), any(e.get("delivery_status") == "delivered" for e in de))
+    return out
+
+
+@SETTINGS
+@given(events=order_events())
+def test_order_progress_matches_brute_force(spark, events):
+    from shopstream.operators import quality
+    got = {r.order_id: tuple(r)[1:] for r in
+           quality.order_progress(decode.decode_events(lines_df(spark, events))).collect()}
+    assert got == _py_order_progress(events)
