@@ -448,3 +448,51 @@ def test_order_progress_matches_brute_force(spark, events):
     got = {r.order_id: tuple(r)[1:] for r in
            quality.order_progress(decode.decode_events(lines_df(spark, events))).collect()}
     assert got == _py_order_progress(events)
+
+
+def _py_sales_and_totals(events):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    def dec(v, places="0.01"):
+        return Decimal(repr(float(v))).quantize(Decimal(places), rounding=ROUND_HALF_UP)
+
+    sales, totals = {}, {}
+    for e in events:
+        key = (e.get("product_id"), e.get("category"))
+        if e.get("event_id") is not None and e.get("event_type") is not None \
+                and e.get("total_value") is not None:
+            s = sales.setdefault(key, [0, Decimal(0), Decimal(0), 0])
+            s[0] += 1
+            s[1] += dec(e["total_value"])
+            s[2] += dec(e["unit_price"], "0.0000000001")
+            s[3] += 1
+        if e.get("product_id") is not None:
+            # SUM(CASE WHEN checkout THEN total_value ELSE 0 END): NULL terms are
+            # skipped, and a group of only NULL terms sums to NULL
+            t = totals.setdefault(key, [0, 0, 0, Decimal(0), 0, False])
+            et, ca = e.get("event_type"), e.get("cart_action")
+            checkout = et == "cart" and ca == "checkout"
+            t[0] += et == "click"
+            t[1] += et == "cart" and ca == "add"
+            t[2] += checkout
+            if not checkout:
+                t[5] = True
+            elif e.get("total_value") is not None:
+                t[3] += dec(e["total_value"])
+                t[5] = True
+            t[4] += et == "delivery_status" and e.get("delivery_status") == "delivered"
+    return ({k: (v[0], float(v[1]), float(v[2]) / float(v[3])) for k, v in sales.items()},
+            {k: (v[0], v[1], v[2], float(v[3]) if v[5] else None, v[4])
+             for k, v in totals.items()})
+
+
+@SETTINGS
+@given(events=event_lists())
+def test_sales_and_totals_match_brute_force(spark, events):
+    d = decode.decode_events(lines_df(spark, events))
+    exp_sales, exp_totals = _py_sales_and_totals(events)
+    got_sales = {(r.product_id, r.category): tuple(r)[2:] for r in batch.sales(batch.clean(d)).collect()}
+    got_totals = {(r.product_id, r.category): tuple(r)[2:]
+                  for r in batch.product_metrics_batch(d).collect()}
+    assert got_sales == exp_sales
+    assert got_totals == exp_totals
