@@ -73,49 +73,58 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, *, epochs: int = 6, batch: int = 128, rate: float = 0.1,
-        l1: float = 2e-4, l2: float = 1e-3, seed: int = 7) -> Machine:
-    """AdaGrad on the logistic loss; the weights' l1 term sets those of neutral words to zero."""
+def telling_buckets(sets: list[np.ndarray], labels: np.ndarray, least_z: float) -> np.ndarray:
+    """Buckets whose share among positive texts differs from that among the others by ``least_z`` deviations."""
+    none = np.zeros(0, "<i4")
+    with_it = [np.bincount(np.concatenate([none, *[s for s, y in zip(sets, labels) if (y > 0) == side]]),
+                           minlength=BUCKETS) for side in (True, False)]
+    n1, n0 = max(1, int((labels > 0).sum())), max(1, int((labels <= 0).sum()))
+    share = (with_it[0] + with_it[1]) / (n1 + n0)
+    deviation = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+    return np.abs(with_it[0] / n1 - with_it[1] / n0) >= least_z * deviation
+
+
+def fit(sets: list[np.ndarray], labels: np.ndarray, *, steps: int = 1500, batch: int = 256, rate: float = 0.2,
+        least_z: float = 4.0, l1: float = 1e-5, l2: float = 1e-4, seed: int = 7) -> Machine:
+    """AdaGrad on the logistic loss over the telling terms; the weights' l1 term sets those of idle words to zero."""
     rng = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.0
     prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    model = Machine(prior, np.zeros(BUCKETS, np.float32),
-                    rng.normal(0, 0.01, (BUCKETS, FACTORS)).astype(np.float32))
-    seen = np.bincount(np.concatenate([*sets, np.zeros(0, "<i4")]), minlength=BUCKETS)
-    common = seen >= 3  # a bucket of fewer texts says nothing about others
-    model.factors[~common] = 0
+    model = Machine(prior, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32))
     if not 0 < share < 1:
-        model.factors[:] = 0
         return model
-    sets = [s[common[s]] for s in sets]
-    used = [k for k, s in enumerate(sets) if len(s)]
-    grad_w, grad_v, grad_b = np.full(BUCKETS, 1e-6, np.float32), np.full((BUCKETS, FACTORS), 1e-6, np.float32), 1e-6
-    for _ in range(epochs):
-        rng.shuffle(used)
-        for at in range(0, len(used), batch):
-            part = used[at:at + batch]
-            ids = np.concatenate([sets[k] for k in part])
-            sizes = np.array([len(sets[k]) for k in part])
-            starts = np.cumsum(sizes) - sizes
-            margin, sums = model.margins(ids, starts)
-            slope = ((_sigmoid(margin) - labels[part]) / len(part)).astype(np.float32)
-            per_id = np.repeat(slope, sizes)
-            v = model.factors[ids]
-            step_v = per_id[:, None] * (np.repeat(sums, sizes, axis=0) - v)
-            order = np.argsort(ids, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
-            which = ids[order][first]
-            g = np.add.reduceat(per_id[order], first)
-            gv = np.add.reduceat(step_v[order], first, axis=0) + l2 * model.factors[which]
-            grad_w[which] += g * g
-            grad_v[which] += gv * gv
-            grad_b += float(slope.sum()) ** 2
-            pace = rate / np.sqrt(grad_w[which])
-            moved = model.weights[which] - pace * g
-            model.weights[which] = np.sign(moved) * np.maximum(np.abs(moved) - pace * l1, 0)
-            model.factors[which] -= 0.3 * rate / np.sqrt(grad_v[which]) * gv
-            model.bias -= rate * float(slope.sum()) / grad_b ** 0.5
-    return model
+    telling = telling_buckets(sets, labels, least_z)
+    model.factors[telling] = rng.normal(0, 0.01, (int(telling.sum()), FACTORS))
+    # a last id that no text has keeps texts without telling terms in the fit
+    idle = BUCKETS
+    model.weights, model.factors = np.r_[model.weights, np.float32(0)], np.r_[model.factors, np.zeros((1, FACTORS), np.float32)]
+    sets = [np.r_[s[telling[s]], idle] for s in sets]
+    grad_w, grad_v = np.full(BUCKETS + 1, 1e-6, np.float32), np.full((BUCKETS + 1, FACTORS), 1e-6, np.float32)
+    grad_b = 1e-6
+    for _ in range(steps):
+        part = rng.integers(0, len(sets), batch)
+        ids = np.concatenate([sets[k] for k in part])
+        sizes = np.array([len(sets[k]) for k in part])
+        starts = np.cumsum(sizes) - sizes
+        margin, sums = model.margins(ids, starts)
+        slope = ((_sigmoid(margin) - labels[part]) / batch).astype(np.float32)
+        per_id = np.repeat(slope, sizes)
+        step_v = per_id[:, None] * (np.repeat(sums, sizes, axis=0) - model.factors[ids])
+        order = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
+        which = ids[order][first]
+        g = np.add.reduceat(per_id[order], first)
+        gv = np.add.reduceat(step_v[order], first, axis=0) + l2 * model.factors[which]
+        g[which == idle], gv[which == idle] = 0, 0
+        grad_w[which] += g * g
+        grad_v[which] += gv * gv
+        grad_b += float(slope.sum()) ** 2
+        pace = rate / np.sqrt(grad_w[which])
+        moved = model.weights[which] - pace * g
+        model.weights[which] = np.sign(moved) * np.maximum(np.abs(moved) - pace * l1, 0)
+        model.factors[which] -= 0.3 * rate / np.sqrt(grad_v[which]) * gv
+        model.bias -= rate * float(slope.sum()) / grad_b ** 0.5
+    return Machine(model.bias, model.weights[:-1], model.factors[:-1])
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fold: Column | None, id_col: str,
