@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-CACHE = 300_000  # chunks in each of the two generations of a worker's cache
+CACHE = 700_000  # chunks in each of the two generations of a worker's cache
 _CLOSING = b".,;:!?"
 
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
