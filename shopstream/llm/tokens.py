@@ -12,12 +12,18 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+from array import array
+from collections.abc import Iterator
 
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
 _CLOSING = b".,;:!?"
 
+# U+00DF-U+00FF without the division sign, as UTF-8
+_ACCENTED = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
+_LATIN = {False: re.compile(_ACCENTED), True: re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")}
+# byte-level vocabularies write a byte as a visible character: itself, or the next one from U+0100 on
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_VISIBLE = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # the other characters that some engine counts as white space
 _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -41,9 +47,24 @@ class Encoder:
         self.old: dict[bytes, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
+        """Ids of chunks. A plain Latin word is one piece to the library, so its model takes it directly."""
+        tokenize = self.tokenizer.model.tokenize
+        others = [c for c in chunks if not self._word(c)]
+        encoded = iter(self._library([c.decode() for c in others]))
+        for c in chunks:
+            if self._word(c):
+                yield array("I", [t.id for t in tokenize(c.decode("latin-1").translate(_VISIBLE))]).tobytes()
+            else:
+                yield next(encoded)
+
+    def _word(self, chunk: bytes) -> bool:
+        """Lower-case ASCII letters and accented Latin ones (with one space before them, if blanks count)."""
+        return _LATIN[not self.drops_blanks].fullmatch(chunk) is not None
+
     def encode(self, text: bytes) -> bytes:
         """Ids of one text."""
         return self.encode_batch([text])[0]
@@ -70,7 +91,7 @@ class Encoder:
                             new[part] = self.old[part]
                         else:
                             missing[part] = None
-        new.update(zip(missing, self._library([part.decode() for part in missing])))
+        new.update(zip(missing, self._chunks(list(missing))))
         for chunk, (body, tail) in parts.items():
             new[chunk] = new[body] + new[tail] if tail else new[body]
         return [b"".join([new[c] for c in chunks]) if chunks is not None else self._library([text.decode()])[0]
