@@ -196,6 +196,8 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     if len(block) < length or data[start + length:start + length + 4] != b"\r\n\r\n":
         raise Damaged("the block's length is wrong")
     end = start + length + 4
+    if not all(head.get(k) for k in ("warc-type", "warc-record-id", "warc-date")):
+        raise Damaged("a mandatory header is missing", end)
     digest = head.get("warc-block-digest", "").removeprefix("sha1:")
     if digest and digest != base32_sha1(block):
         raise Damaged("the block's digest is wrong", end)
