@@ -41,14 +41,15 @@ ALERT_COLUMNS = ("row_key", "product_id", "alert_type", "click_count", "window_s
 
 
 def click_filter(events: DataFrame, time_col: str = "event_ts", guard: bool = False) -> DataFrame:
+    """Clicks on a usable product: NULL and '' products are dropped, as in the keyed stream."""
     et = F.col("event_type")
     if guard:
         # ``CASE … END IS NOT NULL`` is folded to ``event_type = 'click'`` when the
         # time column is non-nullable (and then pushed below the watermark); a
         # comparison on the time value is not, so the filter stays above it.
-        micros = F.when(et == "click", F.unix_micros(F.col(time_col)))
+        micros = F.when((et == "click") & (F.length("product_id") > 0), F.unix_micros(F.col(time_col)))
         return events.filter(micros > F.lit(_MIN_MICROS))
-    return events.filter(et == "click")
+    return events.filter((et == "click") & (F.length("product_id") > 0))
 
 
 _UNIT_MS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000,

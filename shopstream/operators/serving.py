@@ -8,7 +8,6 @@ tables stay the source of truth; this view is a ``stack`` over them.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopstream.functions.columns import fmt_money
@@ -39,7 +38,6 @@ ALERT_SPEC = (
     ("alert", "last_event_time", "last_event_time"),
 )
 # ---------------------------------------------------------------------------
-MAX_CELLS_PER_ROW = max(len(METRIC_SPEC), len(ALERT_SPEC))
 _MONEY_CELLS = {"orders_value"}
 
 
@@ -70,18 +68,17 @@ def serving_rows(product_metrics: DataFrame, alerts: DataFrame) -> DataFrame:
 def scan(rows: DataFrame, limit: int | None = 10, start_key: str | None = None) -> DataFrame:
     """Key-ordered scan; ``limit`` counts row keys (not cells).
 
-    A row has at most :data:`MAX_CELLS_PER_ROW` cells, so the first ``limit``
-    keys lie within the first ``limit * MAX_CELLS_PER_ROW`` cells in key
-    order: one bounded top-k (per-task top-k, then merge), then a rank over
-    at most that many cells.
+    The cells of a key are gathered into one row (its width is that of the
+    wide row), the rows are ordered by key, cut by a top-k and spread again,
+    so a key always comes with all its cells, however many it has.
     """
     if start_key is not None:
         rows = rows.filter(F.col("row_key") >= start_key)
-    if limit is None:
-        return rows
-    top = rows.orderBy("row_key", "family", "qualifier").limit(limit * MAX_CELLS_PER_ROW)
-    rank = F.dense_rank().over(Window.orderBy("row_key"))
-    return top.withColumn("_k", rank).filter(F.col("_k") <= limit).drop("_k")
+    cells = F.sort_array(F.collect_list(F.struct("family", "qualifier", "value")))
+    wide = rows.groupBy("row_key").agg(cells.alias("cells")).orderBy("row_key")
+    if limit is not None:
+        wide = wide.limit(limit)
+    return wide.select("row_key", F.explode("cells").alias("cell")).select("row_key", "cell.*")
 
 
 def get(rows: DataFrame, row_key: str) -> DataFrame:

@@ -16,13 +16,12 @@ from shopstream.sources import jsonl
 
 def _insights(spark, sf_dir) -> tuple[str, dict[str, str]]:
     partials = batch.insight_partials(events(spark, sf_dir)).persist()
-    db = catalog.scratch_database(spark)
+    db = catalog.new_database(spark)  # of this call: an earlier result keeps its tables
     catalog.create_insight_tables(spark, db)
     catalog.write_insights(batch.clicks_by_product_from(partials), batch.sales_from(partials), db)
     partials.unpersist()
-    raw = jsonl.raw_logs_table(spark, jsonl.landed_events(spark, sf_dir), f"{db}.raw_logs")
-    raw.createOrReplaceTempView("shopstream_raw_logs")
-    catalog.ctas_product_metrics(spark, db, "shopstream_raw_logs", refresh=True)
+    jsonl.create_raw_logs_table(spark, f"{db}.raw_logs", jsonl.landed_events(spark, sf_dir))
+    catalog.ctas_product_metrics(spark, db, f"{db}.raw_logs", refresh=True)
     return db, {"insights_cliques": f"{db}.insights_cliques",
                 "insights_vendas": f"{db}.insights_vendas",
                 "product_metrics_batch": f"{db}.product_metrics_batch"}

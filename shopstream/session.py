@@ -93,7 +93,8 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session; sets a private one only
-    when the cluster names none (local tests).
+    in local mode. A cluster that names none is an error: its executors would
+    each write to their own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -102,6 +103,9 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
             configured = None
     if not configured:
+        master = spark.conf.get("spark.master", None) or "local"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         key = app_id(spark)
         if key not in _PRIVATE_DIRS:
             _PRIVATE_DIRS[key] = tempfile.mkdtemp(prefix="shopstream-ckpt-")

@@ -33,11 +33,16 @@ def scratch_database(spark: SparkSession) -> str:
     """One private database per application, located in the work folder."""
     app = app_id(spark)
     if app not in _SCRATCH:
-        name = unique_name("shopstream")
-        _SCRATCH[app] = ensure_database(spark, name, new_run_dir(spark, "db-" + name))
+        _SCRATCH[app] = new_database(spark)
     return _SCRATCH[app]
 
 
+def new_database(spark: SparkSession) -> str:
+    """A private database of its own name and folder in the work folder."""
+    name = unique_name("shopstream")
+    return ensure_database(spark, name, new_run_dir(spark, "db-" + name))
+
+
 def create_insight_tables(spark: SparkSession, db: str) -> None:
     """Parquet tables with the fixed insight schemas, if absent."""
     db = safe_identifier(db)

@@ -118,18 +118,30 @@ def read_events_json(spark: SparkSession, path: str, glob: str | None = PUBLISHE
 
 
 def create_raw_logs_table(spark: SparkSession, table: str, location: str) -> DataFrame:
-    """``CREATE TABLE IF NOT EXISTS <table> (8 columns) USING json LOCATION``."""
+    """``CREATE TABLE IF NOT EXISTS <table> (8 columns) USING json LOCATION``.
+
+    A table of that name over another folder is an error: its rows would be
+    returned for this folder's.
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({RAW_LOGS_DDL}) USING json "
               f"LOCATION '{location}'")
+    held = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()["data_type"]
+    if _plain_path(held) != _plain_path(location):
+        raise ValueError(f"table {table} is over {held}, not {location}")
     return spark.table(table)
 
 
+def _plain_path(path: str) -> str:
+    """A location without the local scheme, doubled or trailing slashes."""
+    return re.sub(r"/+", "/", re.sub(r"^file:", "", path)).rstrip("/")
+
+
 def raw_logs_table(spark: SparkSession, location: str, table: str | None = None) -> DataFrame:
     """The raw external table; a scratch database is used when no name is given."""
     from shopstream.sinks.catalog import scratch_database
 
     if table is None:
-        table = f"{scratch_database(spark)}.raw_logs"
+        table = f"{scratch_database(spark)}.{unique_name('raw_logs')}"
     return create_raw_logs_table(spark, table, location).select(*RAW_LOGS_COLUMNS)
 
 
@@ -153,7 +165,8 @@ def stable_files(spark: SparkSession, path: str, stable_seconds: int = STABLE_SE
     now = now or dt.datetime.now(dt.timezone.utc)
     cutoff = (now - dt.timedelta(seconds=stable_seconds)).strftime("%Y-%m-%dT%H:%M:%S")
     df = (spark.read.option("pathGlobFilter", PUBLISHED_GLOB)
-          .option("modifiedBefore", cutoff).text(path))
+          # the cutoff is UTC text; without the zone it would be read in the session's
+          .option("modifiedBefore", cutoff).option("timeZone", "UTC").text(path))
     return df.select("value", F.col("_metadata.file_name").alias("file_name"),
                      F.col("_metadata.file_modification_time").alias("file_mtime")
                      ).filter(~is_temp_name(F.col("file_name")))

@@ -85,7 +85,7 @@ def current_alerts(spark: SparkSession, job_out: str, input_dir: str, size: str
                    slide: str = WINDOW_SLIDE, threshold: int = ALERT_THRESHOLD) -> DataFrame:
     schema = sq.click_alerts_stream(sq.decoded_stream(spark, input_dir), size, slide,
                                     threshold).schema
-    return sq.current(spark, f"{job_out}/click_alerts", schema, ["row_key"])
+    return sq.current(spark, f"{job_out}/click_alerts", schema, ["row_key"], append_only=True)
 
 
 def main(argv=None) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import os
 
 from shopstream import session
@@ -53,3 +55,21 @@ def test_live_session_uses_configured_dir(spark):
     if configured:
         assert session.work_dir(spark) == configured.rstrip("/")
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_work_dir_needs_a_shared_folder_on_a_cluster():
+    from shopstream import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(Cluster())
