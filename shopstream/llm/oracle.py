@@ -1,5 +1,47 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express.
+
+The others (added secret spans, learned scores, fingerprints, token ids, seeds)
+are tested against brute force in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+digested AS (
+  SELECT page_id, payload_bytes,
+         list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(hex, CAST(10 * (i // 8) + 1 AS INT), 10) AS BIGINT)
+                  >> CAST(35 - 5 * (i % 8) AS INT)) & 31) + 1 AS INT), 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest
+  FROM hashed),
+led AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS lead_id FROM digested)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = lead_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> lead_id THEN lead_id END AS refers_to
+FROM led""",
+    "op4_content_sort_dedup": r"""
+WITH plain AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+grouped AS (
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id FROM plain)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM grouped""",
+    "op10_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.first_doc AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}

@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from shopstream.llm import exact_dedup, simhash, toxicity  # noqa: E402
+from shopstream.llm.oracle import ORACLE  # noqa: E402
 from shopstream.llm.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -163,6 +164,18 @@ def test_quality_keeps_clean_documents(spark):
     assert sum(k for g, k in rows if not g) <= 0.1 * sum(1 - g for g, _ in rows)
 
 
+@pytest.mark.parametrize("query", sorted(ORACLE))
+def test_oracle(spark, query):
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    found = con.execute(ORACLE[query])
+    columns = [d[0] for d in found.description]
+    assert result(spark, query, SF, *columns) == sorted(found.fetchall(), key=repr)
+
+
 @pytest.mark.parametrize("query", list(QUERIES))
 def test_empty_tables(spark, edge_dir, query):
     assert QUERIES[query](spark, f"{edge_dir}/none").collect() == []
