@@ -6,12 +6,12 @@ Reject reasons, checked in this order:
 
 * ``blank``       — NULL or whitespace-only line
 * ``not_object``  — valid JSON whose root is not an object (array, string, …)
-* ``malformed``   — not parseable JSON (truncated, trailing text, …)
+* ``malformed``   — not parseable as one JSON value (truncated, trailing text,
+  two objects on a line, …)
 * ``no_product``  — object without a non-empty ``product_id``
 
 Accepted deviations from a per-line Python ``json.loads``: a numeric or
-boolean ``product_id`` is kept as its text; a line holding two objects
-(``{…} {…}``) decodes as its first object; bare ``NaN`` / ``true`` as a money
+boolean ``product_id`` is kept as its text; bare ``NaN`` / ``true`` as a money
 value counts as 0.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.columns import event_timestamp_sql, parse_iso_ts, parse_iso_ts_sql
-from shopstream.schema import CORRUPT, EVENT_COLUMNS, EVENT_FIELDS
+from shopstream.schema import EVENT_COLUMNS, EVENT_FIELDS
 from shopstream.session import ensure_utc
 
 REASONS = ("blank", "not_object", "malformed", "no_product")
@@ -58,12 +58,18 @@ def _parsed_fields(fields) -> tuple:
     return tuple((n, t) for n, t in EVENT_FIELDS if n in want)
 
 
-def _text_ddl(parsed) -> str:
-    """Wire schema (the fields as text + the corrupt-record marker) as DDL."""
-    return ", ".join(f"{n} STRING" for n, _ in parsed) + f", {CORRUPT} STRING"
-_OPTS_SQL = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}')"
+def _parse_sql(t: str, parsed) -> str:
+    """The line as an element of a JSON array, before an empty end element; fields as text.
 
-# Outcome of a line, checked in order (``_t`` trimmed line, ``_p`` parsed struct).
+    A reader stops after the first value of a text. Inside an array a second
+    object or trailing text fails the parse or changes the number of elements,
+    so only a line that is one object gives two.
+    """
+    fields = ", ".join(f"{n}: STRING" for n, _ in parsed)
+    return f"from_json(concat('[', {t}, ',{{}}]'), 'ARRAY<STRUCT<{fields}>>')"
+
+
+# Outcome of a line, checked in order (``_t`` trimmed line, ``_p`` parsed array).
 # ``try_parse_json`` ignores trailing text, so a non-object line must also have
 # the shape of one array / string / scalar to count as valid JSON.
 _REASON_SQL = f"""
@@ -76,8 +82,8 @@ CASE
                OR _t RLIKE r'{_SCALAR}')
               AND try_parse_json(_t) IS NOT NULL
          THEN 'not_object' ELSE 'malformed' END
-  WHEN _p IS NULL OR _p.{CORRUPT} IS NOT NULL THEN 'malformed'
-  WHEN _p.product_id IS NULL OR _p.product_id = '' THEN 'no_product'
+  WHEN _p IS NULL OR size(_p) <> 2 OR get(_p, 0) IS NULL THEN 'malformed'
+  WHEN get(_p, 0).product_id IS NULL OR get(_p, 0).product_id = '' THEN 'no_product'
 END"""
 
 
@@ -88,8 +94,8 @@ def _strip_sql(expr: str) -> str:
 
 def _typed_sql(name: str, dtype) -> str:
     if dtype.simpleString() == "string":
-        return f"_p.{name} AS {name}"
-    return f"try_cast(_p.{name} AS {dtype.simpleString()}) AS {name}"
+        return f"get(_p, 0).{name} AS {name}"
+    return f"try_cast(get(_p, 0).{name} AS {dtype.simpleString()}) AS {name}"
 
 
 def decode_lines(lines: DataFrame, line_col: str = "value",
@@ -115,7 +121,7 @@ def decode_lines(lines: DataFrame, line_col: str = "value",
     # projection with ``from_json`` inlined: every line would be parsed twice.
     stage = lines.selectExpr(
         f"inline(array(struct({src} AS line, {t} AS _t, "
-        f"from_json({t}, '{_text_ddl(parsed)}', {_OPTS_SQL}) AS _p)))")
+        f"{_parse_sql(t, parsed)} AS _p)))")
     out = stage.selectExpr("line", f"{_REASON_SQL} AS reason",
                            *[_typed_sql(n, dt) for n, dt in parsed])
     return out.selectExpr(

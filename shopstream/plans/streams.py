@@ -1,9 +1,9 @@
 """Registered streaming queries.
 
 Streams run over the driver events landed as JSON-lines files in the shared
-work folder, with ``availableNow`` (bounded run, then stop), their own
-checkpoint, and a change-log sink; the returned DataFrame reads the sink's
-current view.
+work folder, with ``availableNow`` (bounded run in several micro-batches, then
+stop), their own checkpoint, and a change-log sink; the returned DataFrame
+reads the sink's current view.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
     """Land the events, run ``build(decoded_stream)`` to completion, read the sink."""
     source = jsonl.landed_events(spark, sf_dir)
     run = new_run_dir(spark, label)
-    result = build(sq.decoded_stream(spark, source, fields))
+    result = build(sq.decoded_stream(spark, source, fields,
+                                     max_files_per_trigger=jsonl.files_per_trigger(spark)))
     # state partitions sized to the cluster's task slots, not the session default
     q = sq.start_upsert(result, f"{run}/sink", f"{run}/checkpoint", output_mode, AVAILABLE_NOW,
                         state_partitions=default_parallelism(spark))
@@ -69,7 +70,7 @@ def q_stream_decode_rejects(spark, sf_dir):
     lines_dir = jsonl.landed_damaged_lines(spark, sf_dir)
     run = new_run_dir(spark, "stream-decode")
     q = sq.start_decode(spark, lines_dir, f"{run}/decoded", f"{run}/checkpoint", AVAILABLE_NOW,
-                        glob="*.txt")
+                        glob="*.txt", max_files_per_trigger=jsonl.files_per_trigger(spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"decode stream failed: {q.exception()}")
@@ -85,7 +86,8 @@ def q_stream_decode_once_metrics(spark, sf_dir):
     source = jsonl.landed_events(spark, sf_dir)
     out = new_run_dir(spark, "stream-job")
     j = sjob.start_job(spark, source, out, AVAILABLE_NOW, decode_once=True,
-                       state_partitions=default_parallelism(spark))
+                       state_partitions=default_parallelism(spark),
+                       max_files_per_trigger=jsonl.files_per_trigger(spark))
     j.await_all()
     return sjob.current_metrics(spark, out, source).select(*metrics.OUTPUT_COLUMNS)
 
@@ -96,7 +98,8 @@ def q_stream_landing(spark, sf_dir):
     log_dir = jsonl.landed_events(spark, sf_dir)
     run = new_run_dir(spark, "stream-landing")
     raw, staging = f"{run}/raw", f"{run}/staging"
-    q = sq.start_landing(spark, log_dir, raw, staging, f"{run}/checkpoint", AVAILABLE_NOW)
+    q = sq.start_landing(spark, log_dir, raw, staging, f"{run}/checkpoint", AVAILABLE_NOW,
+                         max_files_per_trigger=jsonl.files_per_trigger(spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"landing failed: {q.exception()}")

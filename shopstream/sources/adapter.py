@@ -43,7 +43,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _num_splits(df: DataFrame) -> int | None:
+def num_splits(df: DataFrame) -> int | None:
     """Scan partitions (plans the scan, runs no job); None where unavailable."""
     try:
         return df.rdd.getNumPartitions()
@@ -61,7 +61,7 @@ def spread(df: DataFrame) -> DataFrame:
     splits) this is a no-op and adds no shuffle.
     """
     target = default_parallelism(df.sparkSession)
-    n = _num_splits(df)
+    n = num_splits(df)
     return df.repartition(target) if n is not None and n < target else df
 
 
@@ -74,7 +74,7 @@ def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     target = default_parallelism(spark)
     key = (app_id(spark), f"{sf_dir}/{name}")
     if key not in _SPLITS:
-        n = _num_splits(df)
+        n = num_splits(df)
         _SPLITS[key] = n is not None and n < target
     return df.repartition(target) if _SPLITS[key] else df
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.schema import EVENT, EVENT_COLUMNS, RAW_LOGS_COLUMNS, RAW_LOGS_DDL
-from shopstream.session import app_id, new_run_dir
+from shopstream.session import app_id, default_parallelism, new_run_dir
 
 # ---------------------------------------------------------------------------
 # File names that are still being written and must not be read.
@@ -66,6 +66,7 @@ def damaged_lines(events: DataFrame, drop_product_key: bool = False) -> DataFram
 
 
 _LANDED: dict[tuple[str, str], str] = {}
+LANDED_BATCHES = 5  # micro-batches that even a small table is landed for
 
 
 def write_events_json(events: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -78,21 +79,31 @@ def write_events_json(events: DataFrame, path: str, mode: str = "errorifexists")
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
     """The driver events, landed once per session as JSON lines in the work folder.
 
-    Each file is sorted by arrival (ingested time, event id) inside its task;
-    no global sort: streams order by the arrival key, not by file layout.
+    Files hold consecutive arrival ranges (ingested time, event id) and rising
+    modification times, so a stream that takes a few files per trigger sees
+    the events as they arrived and its watermark drops none of them.
     """
-    from shopstream.sources.adapter import driver_events
+    from shopstream.sources.adapter import driver_events, num_splits
+    from shopstream.sources.publish import order_files
 
     key = (app_id(spark), sf_dir)
     if key in _LANDED:
         return _LANDED[key]
     path = new_run_dir(spark, "landing")
-    ev = driver_events(spark, sf_dir, spread_scan=True)
-    write_events_json(ev.sortWithinPartitions("ingested_ms", "event_id"), path)
+    ev = driver_events(spark, sf_dir)
+    files = max(num_splits(ev) or 0, LANDED_BATCHES * files_per_trigger(spark))
+    arrival = ("ingested_ms", "event_id")
+    write_events_json(ev.repartitionByRange(files, *arrival).sortWithinPartitions(*arrival), path)
+    order_files(spark, path)
     _LANDED[key] = path
     return path
 
 
+def files_per_trigger(spark: SparkSession) -> int:
+    """Files in a micro-batch of the registered streams: bounded by the cluster, not by the input."""
+    return max(2, default_parallelism(spark) // 4)
+
+
 _LANDED_DAMAGED: dict[tuple[str, str], str] = {}
 
 

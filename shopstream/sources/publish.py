@@ -26,6 +26,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def order_files(spark: SparkSession, folder: str) -> None:
+    """Give the published files of ``folder`` rising modification times in name order.
+
+    A file stream takes the oldest files first, so files that hold consecutive
+    ranges are then read range by range, however their tasks finished.
+    """
+    fs, path, _ = _fs(spark, folder)
+    found, listing = {}, fs.listStatusIterator(path)
+    while listing.hasNext():
+        st = listing.next()
+        name = st.getPath().getName()
+        if st.isFile() and name.endswith(PUBLISHED_SUFFIX) and not is_temp_name(name):
+            found[name] = st
+    first = max((st.getModificationTime() for st in found.values()), default=0) - len(found)
+    for k, name in enumerate(sorted(found)):
+        fs.setTimes(found[name].getPath(), first + k, -1)
+
+
 def publish_stable_files(spark: SparkSession, staging: str, ready: str,
                          stable_seconds: int = STABLE_SECONDS,
                          now_ms: int | None = None) -> list[str]:

@@ -33,6 +33,13 @@ def test_bad_lines_reasons(spark):
                                       None]
 
 
+def test_two_objects_on_a_line_are_malformed(spark):
+    good = '{"event_id":"e1","event_type":"click","product_id":"p1"}'
+    lines = [good + good, good + " " + good, good + "," + good, good + "],[" + good, good + "," + good + "," + good,
+             good]
+    assert _reasons(spark, lines) == ["malformed"] * 5 + [None]
+
+
 def test_null_line_is_blank(spark):
     df = spark.createDataFrame([(None,)], "value string")
     assert decode.decode_lines(df).first()["reason"] == "blank"

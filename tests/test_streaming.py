@@ -312,3 +312,16 @@ def test_late_row_still_counts_in_windows_that_are_open(spark, tmp_dir):
             sq.current(spark, f"{run}/sink", schema, ["product_id", "window_start", "window_end"],
                        append_only=True).collect()}
     assert wins == {6: 1, 7: 1, 8: 2, 9: 2, 10: 2}
+
+
+def test_landed_events_give_equal_windows_in_any_number_of_batches(spark, tmp_dir):
+    src = jsonl.landed_events(spark, "/root/testdata/sf0.001")
+    schema = sq.click_windows_stream(sq.decoded_stream(spark, src)).schema
+    keys = ["product_id", "window_start", "window_end"]
+    seen = []
+    for per_trigger in (1, 3, 10):
+        run = f"{tmp_dir}/run{per_trigger}"
+        q = _run(sq.start_click_windows, spark, src, run, max_files_per_trigger=per_trigger)
+        assert sq.rows_dropped_by_watermark(q) == 0
+        seen.append(_rows(sq.current(spark, f"{run}/sink", schema, keys, append_only=True), schema.names))
+    assert seen[0] and seen[0] == seen[1] == seen[2]
