@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,20 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("binary"), F.lit(b""))
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """Note that this worker keeps a cache for ``owner`` and release those of other operators.
+
+    Spark reuses Python workers from stage to stage; without this the caches of
+    all operators of a pipeline would add up in each worker.
+    """
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    _HELD[owner] = release
+
+
 def open_store(uri: str):
     """(file system, path) of ``uri`` for writes and reads from tasks.
 

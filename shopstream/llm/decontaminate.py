@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import cut, text_of, whole
+from shopstream.llm.common import cut, hold, text_of, whole
 
 # seven selected tokens each; zeros are ignored positions
 MASKS = ("1111111", "111011011", "1101100111", "11001101011")
@@ -148,6 +148,7 @@ def _cluster_rows(marks, bits: int):
         return pa.RecordBatch.from_pylist(rows, schema=_CLUSTER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("decontamination", _HASHES.clear)
         held = np.frombuffer(marks.value, np.uint8)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

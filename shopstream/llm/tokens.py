@@ -15,6 +15,8 @@ import re
 from array import array
 from collections.abc import Iterator
 
+from shopstream.llm.common import hold
+
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
 _CLOSING = b".,;:!?"
 
@@ -112,6 +114,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a vocabulary file."""
+    hold("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

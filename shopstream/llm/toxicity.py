@@ -17,6 +17,7 @@ columns are ignored, or carried unchanged by ``keep_clean``.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import text_of
+from shopstream.llm.common import hold, text_of
 
 BUCKETS = 1 << 18
 FACTORS = 8
@@ -140,6 +141,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fo
 
     @F.pandas_udf("binary")
     def buckets(texts: pd.Series) -> pd.Series:
+        hold("toxicity", _release)
         return pd.Series([term_buckets(t).tobytes() for t in texts])
 
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("label_id"), text_of(text_col).alias("text"))
@@ -162,11 +164,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fold: Colu
 def scores(spark: SparkSession, model: Machine, text: Column) -> Column:
     """Score (0 to 1) of a column of text bytes."""
     useful = np.flatnonzero((model.weights != 0) | (np.abs(model.factors).max(axis=1) > 0))
-    shared = spark.sparkContext.broadcast((model.bias, useful, model.weights[useful], model.factors[useful]))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model.bias, useful, model.weights[useful], model.factors[useful]))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        own = _machine(shared)
+        hold("toxicity", _release)
+        own = _machine(shared.value)
         out = np.full(len(texts), own.bias)
         for k, text in enumerate(texts):
             ids = term_buckets(text)
@@ -177,18 +180,23 @@ def scores(spark: SparkSession, model: Machine, text: Column) -> Column:
     return score(text)
 
 
-_MACHINES: dict[int, Machine] = {}
+_MACHINES: dict[str, Machine] = {}
 
 
-def _machine(shared) -> Machine:
-    """The broadcast machine, unpacked once per worker (only the latest is held)."""
-    if id(shared.value) not in _MACHINES:
-        bias, useful, weights, factors = shared.value
+def _release() -> None:
+    _TERMS.clear()
+    _MACHINES.clear()
+
+
+def _machine(packed) -> Machine:
+    """The broadcast machine, unpacked once per worker under its own name (only the latest is held)."""
+    name, bias, useful, weights, factors = packed
+    if name not in _MACHINES:
         model = Machine(bias, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32))
         model.weights[useful], model.factors[useful] = weights, factors
         _MACHINES.clear()
-        _MACHINES[id(shared.value)] = model
-    return _MACHINES[id(shared.value)]
+        _MACHINES[name] = model
+    return _MACHINES[name]
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, model: Machine, *, text_col: str = "text",

@@ -30,6 +30,20 @@ def test_encoder_equals_the_library(name):
         assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == want, text
 
 
+def test_a_worker_holds_the_caches_of_one_operator():
+    from shopstream.llm import common, decontaminate, toxicity
+
+    common.hold("toxicity", toxicity._release)
+    toxicity.term_buckets(b"some words")
+    common.hold("toxicity", toxicity._release)
+    assert toxicity._TERMS
+    common.hold("decontamination", decontaminate._HASHES.clear)
+    assert not toxicity._TERMS
+    decontaminate.token_hashes("some words")
+    common.hold("toxicity", toxicity._release)
+    assert not decontaminate._HASHES
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_token_file_round_trip(bits):
     rng = np.random.default_rng(1)
