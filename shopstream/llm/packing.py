@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shopstream.llm.common import cut, text_of
 from shopstream.llm.tokens import encoder
 
+ROWS = 512  # documents whose ids a task holds at a time
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 
 
@@ -34,7 +35,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(vocabulary)
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             ids = [tokens.encode(text) + end for text in batch.column(1).to_pylist()]
             sizes = [len(x) // 4 for x in ids]
             starts = list(accumulate(sizes, initial=at))
