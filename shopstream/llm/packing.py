@@ -24,6 +24,7 @@ from shopstream.llm.common import cut, text_of
 from shopstream.llm.tokens import encoder
 
 ROWS = 512  # documents whose ids a task holds at a time
+CACHE = 250_000  # chunks in each generation of a worker's cache: the pipeline's other stages use its memory too
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 
 
@@ -33,7 +34,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary)
+        tokens = encoder(vocabulary, CACHE)
         part, at = TaskContext.get().partitionId(), 0
         for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             ids = [tokens.encode(text) + end for text in batch.column(1).to_pylist()]

@@ -34,7 +34,7 @@ _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u2
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -45,6 +45,7 @@ class Encoder:
         split = json.dumps(spec.get("pre_tokenizer"))
         self.drops_blanks = "</w>" == spec["model"].get("end_of_word_suffix") and '"Removed"' in split
         self.byte_level = not self.drops_blanks and '"use_regex": true' in split
+        self.cache = cache
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -78,7 +79,7 @@ class Encoder:
         for text in texts:
             known = self.drops_blanks or self.byte_level and not _OTHER_BLANKS.search(text.decode())
             chunked.append(split(text) if known else None)
-        if len(self.new) > CACHE:
+        if len(self.new) > self.cache:
             self.old, self.new = self.new, {}
         wanted = set().union(*[c for c in chunked if c is not None])
         new = self.new
@@ -112,9 +113,9 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache: int = CACHE) -> Encoder:
     """This worker's encoder of a vocabulary file."""
     hold("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, cache)
     return _ENCODERS[path]
