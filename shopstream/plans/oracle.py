@@ -293,6 +293,13 @@ ORACLE: dict[str, str] = {
     "clicks_by_product": EV + _CLICKS_BY_PRODUCT,
     "top_clicked": EV + _CLICKS_BY_PRODUCT
                    + " ORDER BY total_clicks DESC, product_id ASC NULLS LAST LIMIT 20",
+    "top_clicked_saved": EV + _CLICKS_BY_PRODUCT
+                         + " ORDER BY total_clicks DESC, product_id ASC NULLS LAST LIMIT 20",
+    "insights_cliques": EV + _CLICKS_BY_PRODUCT,
+    "insights_vendas": EV + _SALES,
+    "product_totals_table": EV + _PRODUCT_METRICS_BATCH,
+    "landed_sales": EV + _SALES,
+    "pipeline_product_metrics": EV + _PRODUCT_METRICS,
     "sales": EV + _SALES,
     "product_metrics_batch": EV + _PRODUCT_METRICS_BATCH,
     "product_metrics": EV + _PRODUCT_METRICS,

@@ -15,6 +15,7 @@ from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
 from shopstream.session import default_parallelism, new_run_dir
 from shopstream.sources import jsonl
+from shopstream.sources.publish import publish_stable_files
 from shopstream.streaming import queries as sq
 
 AVAILABLE_NOW = sq.Trigger(available_now=True)
@@ -23,7 +24,12 @@ AVAILABLE_NOW = sq.Trigger(available_now=True)
 def _run(spark: SparkSession, sf_dir: str, label: str, build, output_mode: str,
          keys: list[str], fields: tuple[str, ...] | None = None) -> DataFrame:
     """Land the events, run ``build(decoded_stream)`` to completion, read the sink."""
-    source = jsonl.landed_events(spark, sf_dir)
+    return _run_over(spark, jsonl.landed_events(spark, sf_dir), label, build, output_mode, keys, fields)
+
+
+def _run_over(spark: SparkSession, source: str, label: str, build, output_mode: str,
+              keys: list[str], fields: tuple[str, ...] | None = None) -> DataFrame:
+    """Run ``build(decoded_stream)`` over a folder of published files to completion, read the sink."""
     run = new_run_dir(spark, label)
     result = build(sq.decoded_stream(spark, source, fields,
                                      max_files_per_trigger=jsonl.files_per_trigger(spark)))
@@ -92,9 +98,8 @@ def q_stream_decode_once_metrics(spark, sf_dir):
     return sjob.current_metrics(spark, out, source).select(*metrics.OUTPUT_COLUMNS)
 
 
-@register("stream_landing")
-def q_stream_landing(spark, sf_dir):
-    """Fan-out of the landed log into raw archive + staging; rows per sink."""
+def _land(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Fan-out of the landed log into its two sinks: (raw archive, staging)."""
     log_dir = jsonl.landed_events(spark, sf_dir)
     run = new_run_dir(spark, "stream-landing")
     raw, staging = f"{run}/raw", f"{run}/staging"
@@ -103,6 +108,31 @@ def q_stream_landing(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"landing failed: {q.exception()}")
+    return raw, staging
+
+
+@register("pipeline_product_metrics")
+def q_pipeline_product_metrics(spark, sf_dir):
+    """Land, gate, stream: staged files are published and the metrics flow reads them."""
+    _, staging = _land(spark, sf_dir)
+    ready = f"{new_run_dir(spark, 'pipeline')}/ready"
+    # landing has ended, so every staged file is finished
+    publish_stable_files(spark, staging, ready, stable_seconds=0)
+    return _run_over(spark, ready, "pipeline-metrics", sq.product_metrics_stream, "update",
+                     ["product_id"], metrics.INPUT_FIELDS).select(*metrics.OUTPUT_COLUMNS)
+
+
+@register("landed_sales")
+def q_landed_sales(spark, sf_dir):
+    """Land, ETL: sales insight over the raw archive that landing writes."""
+    raw, _ = _land(spark, sf_dir)
+    return batch.sales(batch.clean(jsonl.read_events_json(spark, raw)))
+
+
+@register("stream_landing")
+def q_stream_landing(spark, sf_dir):
+    """Rows in each sink of the landing fan-out."""
+    raw, staging = _land(spark, sf_dir)
     parts = [spark.read.text(p).agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(name).alias("sink"), "n")
              for name, p in (("raw", raw), ("staging", staging))]

@@ -33,6 +33,30 @@ def q_insights_tables(spark, sf_dir):
     return catalog.table_counts(spark, tables)
 
 
+@register("insights_cliques")
+def q_insights_cliques(spark, sf_dir):
+    """Rows of the saved click table, read back."""
+    return spark.table(_insights(spark, sf_dir)[1]["insights_cliques"])
+
+
+@register("insights_vendas")
+def q_insights_vendas(spark, sf_dir):
+    """Rows of the saved sales table, read back."""
+    return spark.table(_insights(spark, sf_dir)[1]["insights_vendas"])
+
+
+@register("product_totals_table")
+def q_product_totals_table(spark, sf_dir):
+    """Rows of the CTAS product totals, read back."""
+    return spark.table(_insights(spark, sf_dir)[1]["product_metrics_batch"])
+
+
+@register("top_clicked_saved")
+def q_top_clicked_saved(spark, sf_dir):
+    """Most clicked products of the saved click table."""
+    return batch.top_clicked(spark.table(_insights(spark, sf_dir)[1]["insights_cliques"]), 20)
+
+
 @register("validation_summary")
 def q_validation_summary(spark, sf_dir):
     """Rows per relation: raw log, product metrics, alerts, insight tables."""

@@ -26,6 +26,7 @@ from shopstream.session import app_id, default_parallelism, new_run_dir
 # File names that are still being written and must not be read.
 TEMP_SUFFIXES = (".tmp", ".part", ".partial", ".inprogress")
 PUBLISHED_GLOB = "*.json"
+LINES_GLOB = "*.{json,txt}"  # published files, and those that landing archives
 STABLE_SECONDS = 15
 # damage rules of the quarantine fixture, by event_seq % 50
 DAMAGE_MOD = 50
@@ -120,12 +121,16 @@ def landed_damaged_lines(spark: SparkSession, sf_dir: str) -> str:
     return _LANDED_DAMAGED[key]
 
 
-def read_events_json(spark: SparkSession, path: str, glob: str | None = PUBLISHED_GLOB) -> DataFrame:
-    """Batch scan of JSON-lines files with the fixed 16-field schema (no inference)."""
+def read_events_json(spark: SparkSession, path: str, glob: str | None = LINES_GLOB) -> DataFrame:
+    """Batch scan of JSON-lines files with the fixed 16-field schema (no inference).
+
+    Reads exported files and the raw archive that landing writes (its folders'
+    date and batch are not event fields).
+    """
     r = spark.read.schema(EVENT)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.json(path)
+    return r.json(path).select(*EVENT_COLUMNS)
 
 
 def create_raw_logs_table(spark: SparkSession, table: str, location: str) -> DataFrame:

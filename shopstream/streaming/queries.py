@@ -215,8 +215,9 @@ def current(spark: SparkSession, sink_path: str, result_schema, keys,
 def landing_writer(raw_path: str | None, staging_path: str | None):
     """One micro-batch -> raw archive (by event date) and staging; both replay-safe.
 
-    Lines are kept byte for byte (text sink, ``part-*.txt`` files); read them
-    back with ``spark.read.text`` or a stream source with ``glob="*.txt"``.
+    Lines are kept byte for byte (text sink, ``part-*.txt`` files). The batch
+    scan reads the archive as it is; the stable-file gate publishes staged
+    files under the ``.json`` names that streams read.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long"))

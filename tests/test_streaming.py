@@ -216,6 +216,37 @@ def test_publish_stable_files_moves_once(spark, tmp_dir):
     assert publish_stable_files(spark, staging, ready, now_ms=int(later)) == ["ecommerce-2.json"]
 
 
+def test_gate_publishes_what_landing_staged(spark, tmp_dir):
+    from shopstream.sources.publish import publish_stable_files
+
+    log, run = f"{tmp_dir}/log", f"{tmp_dir}/run"
+    _stage(log, [[ev(f"e{i}", "click", event_time=_t(i, 0)) for i in range(5)],
+                 [ev(f"f{i}", "click", event_time=_t(i, 0)) for i in range(3)]])
+    sq.start_landing(spark, log, f"{run}/raw", f"{run}/staging", f"{run}/ck", NOW,
+                     max_files_per_trigger=1).awaitTermination()
+    assert jsonl.read_events_json(spark, f"{run}/raw").count() == 8
+    assert publish_stable_files(spark, f"{run}/staging", f"{run}/ready") == []       # fresh
+    names = publish_stable_files(spark, f"{run}/staging", f"{run}/ready", stable_seconds=0)
+    assert len(names) == 2 and all(n.startswith("batch_id=") and n.endswith(".json") for n in names)
+    assert spark.read.option("pathGlobFilter", "*.json").text(f"{run}/ready").count() == 8
+    # a replayed batch is staged again but not published a second time
+    sq.landing_writer(None, f"{run}/staging")(spark.read.text(f"{log}/part-0000.json"), 0)
+    assert publish_stable_files(spark, f"{run}/staging", f"{run}/ready", stable_seconds=0) == []
+
+
+def test_watch_staging_rescans_until_stopped(spark, tmp_dir):
+    import threading
+    from shopstream.sources.publish import watch_staging
+
+    staging, ready, stop = f"{tmp_dir}/staging", f"{tmp_dir}/ready", threading.Event()
+    os.makedirs(f"{staging}/_temporary/0")
+    write_lines(f"{staging}/_temporary/0/a.json", [ev("a", "click")])
+    threading.Timer(1.0, lambda: write_lines(f"{staging}/b.json", [ev("b", "click")])).start()
+    threading.Timer(3.0, stop.set).start()
+    assert watch_staging(spark, staging, ready, stop, stable_seconds=0, rescan_seconds=0.3) == 1
+    assert os.listdir(ready) == ["b.json"]
+
+
 def test_continuous_trigger_picks_up_published_files(spark, tmp_dir):
     src, run = f"{tmp_dir}/ready", f"{tmp_dir}/run"
     os.makedirs(src)
