@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from shopstream.llm.common import cut, hold, text_of, whole
 
-# seven selected tokens each; zeros are ignored positions
-MASKS = ("1111111", "111011011", "1101100111", "11001101011")
+# Seven selected tokens each; zeros are ignored positions. Together they hit every
+# placement of the differences that a stretch of 13 to 25 tokens may have at a share
+# of 0.8 (a longer stretch holds such a one), so no overlap of 13 tokens is unseen.
+MASKS = ("1111111", "111011011", "1101100111", "11001101011", "110101000111", "111010111", "1111100101")
 FILTER_BITS = 26
 CONTEXT = 32  # tokens kept on either side of hits
 
@@ -62,7 +64,7 @@ def token_hashes(text: str | None) -> np.ndarray:
 def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the selected tokens of each window of the mask's length."""
     n = len(tokens) - len(mask) + 1
-    out = np.full(max(n, 0), len(mask) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, np.uint64)
+    out = np.full(max(n, 0), int(mask, 2) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, np.uint64)
     if n > 0:
         for k, on in enumerate(mask):
             if on == "1":
@@ -171,19 +173,26 @@ def _cluster_rows(marks, bits: int):
 def best_stretch(text: np.ndarray, item: np.ndarray, shift: int, least: int, similarity: float) -> tuple[int, int, int] | None:
     """Best overlap of ``item`` laid at ``text[shift:]``: (start in text, length, equal tokens).
 
-    The stretch of the highest score, where an equal token adds the allowed
-    share of differences and another takes away the similarity.
+    Of the stretches of ``least`` tokens (or the whole item, if that is shorter)
+    or more, the one of the highest score, where an equal token adds the allowed
+    share of differences and another takes away the similarity. It is an overlap
+    if its score is not negative; if it is, no stretch of that length has the share.
     """
     lo, hi = max(0, shift), min(len(text), shift + len(item))
-    if hi <= lo:
+    need = min(least, len(item))
+    if hi - lo < max(1, need):
         return None
     equal = text[lo:hi] == item[lo - shift:hi - shift]
-    score = np.r_[0.0, np.cumsum(np.where(equal, 1 - similarity, -similarity))]
-    lowest = np.minimum.accumulate(score)
-    end = int(np.argmax(score - lowest))
-    begin = int(np.flatnonzero(score[:end + 1] == lowest[end])[0]) if end else 0
-    length, n = end - begin, int(equal[begin:end].sum())
-    return (lo + begin, length, n) if length >= min(least, len(item)) and n >= similarity * length else None
+    # rounded, so that equal scores compare as equal
+    score = np.round(np.r_[0, np.cumsum(equal)] - similarity * np.arange(len(equal) + 1), 9)
+    lowest = np.minimum.accumulate(score[:len(score) - need])
+    gain = np.round(score[need:] - lowest, 9)
+    last = int(np.argmax(gain))
+    if gain[last] < 0:
+        return None
+    begin = int(np.flatnonzero(score[:last + 1] == lowest[last])[0])
+    end = last + need
+    return lo + begin, end - begin, int(equal[begin:end].sum())
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",

@@ -1,0 +1,68 @@
+"""Overlaps of benchmark items with substituted tokens, against a direct check of all windows."""
+
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from shopstream.llm import decontaminate
+
+
+def windows_with_the_share(text, item, shift, least=13, percent=80):
+    """(start, length, equal tokens) of every long and similar enough window, in whole numbers."""
+    lo, hi = max(0, shift), min(len(text), shift + len(item))
+    equal = [int(text[p] == item[p - shift]) for p in range(lo, hi)]
+    return {(lo + b, e - b, sum(equal[b:e])) for b in range(len(equal)) for e in range(b + min(least, len(item)), len(equal) + 1)
+            if 100 * sum(equal[b:e]) >= percent * (e - b)}
+
+
+@pytest.mark.parametrize("n, substituted", [(13, 1), (13, 2), (13, 3), (16, 2), (16, 4), (20, 3), (20, 4), (9, 1), (9, 2)])
+def test_a_copy_with_substitutions_is_an_overlap_where_some_window_is(n, substituted):
+    item = np.arange(1, n + 1)
+    for places in itertools.combinations(range(n), substituted):
+        text = np.r_[[-1] * 5, item, [-1] * 5]
+        text[[5 + k for k in places]] = -2
+        want, got = windows_with_the_share(text, item, 5), decontaminate.best_stretch(text, item, 5, 13, 0.8)
+        assert got in want if want else got is None, places
+        assert got is None or 5 * got[2] - 4 * got[1] == max(5 * m - 4 * length for _, length, m in want)
+
+
+def test_best_stretch_of_random_diagonals():
+    rnd = random.Random(5)
+    for _ in range(1500):
+        item = np.array([rnd.randrange(1, 9) for _ in range(rnd.randrange(1, 45))])
+        text = np.array([rnd.randrange(1, 9) for _ in range(rnd.randrange(0, 60))])
+        shift = rnd.randrange(-20, 30)
+        for p in range(max(0, shift), min(len(text), shift + len(item))):
+            if rnd.random() < 0.75:
+                text[p] = item[p - shift]
+        want = windows_with_the_share(text, item, shift)
+        got = decontaminate.best_stretch(text, item, shift, 13, 0.8)
+        assert got in want if want else got is None
+
+
+@pytest.mark.parametrize("n, substituted", [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_masks_meet_every_placement(n, substituted):
+    """The smallest windows at a share of 0.8; a stretch of 26 tokens or more splits into two of 13 or more."""
+    fits = [sum(1 << s + k for k, on in enumerate(mask) if on == "1")
+            for mask in decontaminate.MASKS for s in range(n - len(mask) + 1)]
+    for places in itertools.combinations([1 << k for k in range(n)], substituted):
+        gone = sum(places)
+        assert any(not gone & fit for fit in fits)
+
+
+def test_every_copy_of_thirteen_tokens_with_two_substitutions_is_found(spark):
+    words = [f"item{k}" for k in range(13)]
+    rows = []
+    for k, places in enumerate(itertools.combinations(range(13), 2)):
+        own = [f"other{k}x{p}" if p in places else w for p, w in enumerate(words)]
+        rows.append((k, " ".join([f"before{k}x{p}" for p in range(40)] + own + [f"after{k}x{p}" for p in range(40)])))
+    three = " ".join("other" if p in (3, 6, 9) else w for p, w in enumerate(words))
+    docs = spark.createDataFrame([*rows, (100, three), (101, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    found = decontaminate.contaminated(spark, docs, items).collect()
+    assert sorted(r.doc_id for r in found) == list(range(78))
+    assert {(r.item_id, r.start, r.length, r.matches) for r in found} == {(7, 40, 13, 11)}
