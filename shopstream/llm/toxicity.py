@@ -5,7 +5,9 @@ letters, hashed into buckets. The score adds a weight for each term and, for
 each pair of terms, the product of their factor vectors, so a pair such as
 insult and group mention can weigh more than its parts. The model is fitted on
 at most ``sample`` labelled rows (those of the least hash of their id) and has
-a fixed size; every text is scored whole.
+a fixed size; every text is scored whole. Terms that tell neither alone nor in
+a pair with any other term are left at zero (``telling_buckets``,
+``paired_buckets``): the noise of thousands of idle terms outweighs a pair.
 
 Defined cases: a null or empty text has no terms and gets the score of the
 bias; of repeated labels the larger counts, null labels do not; repeated rows
@@ -85,8 +87,80 @@ def telling_buckets(sets: list[np.ndarray], labels: np.ndarray, least_z: float)
     return np.abs(with_it[0] / n1 - with_it[1] / n0) >= least_z * deviation
 
 
+def paired_buckets(sets: list[np.ndarray], labels: np.ndarray, expected: np.ndarray, least_docs: int,
+                   chance: float, block: int = 512) -> np.ndarray:
+    """Buckets of the pairs whose texts are positive more or less often than the single terms explain.
+
+    Every pair of buckets that ``least_docs`` texts have is examined, whatever
+    the buckets' own association. ``expected`` is each text's probability by
+    single terms. Of the n texts with both buckets k are positive where e were
+    expected; such a difference comes by chance with a probability of
+    exp(-n KL(k/n, e/n)) at most (Chernoff, Hoeffding), and a pair tells if that
+    is under ``chance`` for all pairs together.
+
+    n KL is at most the sum of log(1/p) over the positive texts with both, or of
+    log(1/(1-p)) over the others, so a bucket whose own texts sum to less is in
+    no telling pair and needs no counting.
+    """
+    out = np.zeros(BUCKETS, bool)
+    rows = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    ids = np.concatenate([np.zeros(0, "<i4"), *sets])
+    counts = np.bincount(ids, minlength=BUCKETS)
+    common = np.flatnonzero(counts >= least_docs)
+    if len(common) < 2:
+        return out
+    order = np.argsort(ids, kind="stable")
+    rows, ends = rows[order], np.cumsum(counts)
+    least = np.log(len(common) * (len(common) - 1) / 2 / chance)
+    positive = labels > 0
+    expected = np.clip(expected, 1e-6, 1 - 1e-6).astype(np.float32)
+
+    def dense(part: np.ndarray) -> np.ndarray:
+        found = np.zeros((len(part), len(sets)), np.float32)
+        for k, bucket in enumerate(part):
+            found[k, rows[ends[bucket] - counts[bucket]:ends[bucket]]] = 1
+        return found
+
+    for side, most in ((positive, -np.log(expected)), (~positive, -np.log1p(-expected))):
+        reach = np.bincount(ids[order], weights=np.where(side, most, 0)[rows], minlength=BUCKETS)
+        able = common[reach[common] >= least]
+        for i in range(0, len(able), block):
+            a = dense(able[i:i + block])
+            a_positive, a_expected = a[:, positive], a * expected
+            for j in range(i, len(able), block):
+                b = dense(able[j:j + block])
+                n = np.maximum(a @ b.T, 1)
+                k, e = a_positive @ b[:, positive].T / n, np.clip(a_expected @ b.T / n, 1e-6, 1 - 1e-6)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    apart = np.where(k > 0, k * np.log(k / e), 0) + np.where(k < 1, (1 - k) * np.log((1 - k) / (1 - e)), 0)
+                tells = n * apart >= least
+                if i == j:
+                    np.fill_diagonal(tells, False)
+                out[able[i:i + block][tells.any(axis=1)]] = True
+                out[able[j:j + block][tells.any(axis=0)]] = True
+    return out
+
+
 def fit(sets: list[np.ndarray], labels: np.ndarray, *, steps: int = 1500, batch: int = 256, rate: float = 0.2,
-        least_z: float = 4.0, l1: float = 1e-5, l2: float = 1e-4, seed: int = 7) -> Machine:
+        least_z: float = 4.0, l1: float = 1e-5, l2: float = 1e-4, seed: int = 7, least_docs: int = 10,
+        chance: float = 0.01) -> Machine:
+    """The machine over the terms that tell alone and those that tell in pairs.
+
+    A first fit has the former only; pairs are then held against what it
+    explains, and the machine is fitted again with the terms of telling pairs.
+    """
+    options = dict(steps=steps, batch=batch, rate=rate, l1=l1, l2=l2, seed=seed)
+    if not len(labels) or not 0 < float(labels.mean()) < 1:
+        return _descend(sets, labels, np.zeros(BUCKETS, bool), **options)
+    telling = telling_buckets(sets, labels, least_z)
+    single = _descend(sets, labels, telling, pairs=False, **options)
+    expected = _sigmoid(np.array([single.bias + single.weights[s].sum() for s in sets]))
+    telling |= paired_buckets(sets, labels, expected, least_docs, chance)
+    return _descend(sets, labels, telling, **options)
+
+
+def _descend(sets: list[np.ndarray], labels: np.ndarray, telling: np.ndarray, *, steps: int, batch: int, rate: float,
+             l1: float, l2: float, seed: int, pairs: bool = True) -> Machine:
     """AdaGrad on the logistic loss over the telling terms; the weights' l1 term sets those of idle words to zero."""
     rng = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.0
@@ -94,8 +168,8 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, *, steps: int = 1500, batch:
     model = Machine(prior, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32))
     if not 0 < share < 1:
         return model
-    telling = telling_buckets(sets, labels, least_z)
-    model.factors[telling] = rng.normal(0, 0.01, (int(telling.sum()), FACTORS))
+    if pairs:
+        model.factors[telling] = rng.normal(0, 0.01, (int(telling.sum()), FACTORS))
     # a last id that no text has keeps texts without telling terms in the fit
     idle = BUCKETS
     model.weights, model.factors = np.r_[model.weights, np.float32(0)], np.r_[model.factors, np.zeros((1, FACTORS), np.float32)]
