@@ -36,10 +36,17 @@ from shopstream.llm.common import cut, hold, text_of, whole
 # placement of the differences that a stretch of 13 to 25 tokens may have at a share
 # of 0.8 (a longer stretch holds such a one), so no overlap of 13 tokens is unseen.
 MASKS = ("1111111", "111011011", "1101100111", "11001101011", "110101000111", "111010111", "1111100101")
+# five tokens each, for items of 8 to 12 tokens: they hit every placement of their differences
+SHORT_MASKS = ("111011", "11010011", "11111")
+SHORT = 13  # items of fewer tokens take the short masks
 FILTER_BITS = 26
 CONTEXT = 32  # tokens kept on either side of hits
 
 _WORD = re.compile(r"\w+")
+# scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han
+_NO_SPACES = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_NO_SPACES}]")
+_LETTER = re.compile(rf"(?=\w)[{_NO_SPACES}]|[^\W{_NO_SPACES}]+")
 _CACHE = 500_000
 
 
@@ -57,7 +64,9 @@ _HASHES = _TokenHashes()
 
 
 def token_hashes(text: str | None) -> np.ndarray:
-    words = _WORD.findall(text.lower()) if text else []
+    """Hashes of the words, or of single characters in scripts without spaces."""
+    text = text.lower() if text else ""
+    words = (_WORD if text.isascii() or not _UNSPACED.search(text) else _LETTER).findall(text)
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
@@ -90,7 +99,8 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str, least: int) -> Data
                     continue
                 ids.append(item)
                 tokens.append(own.view(np.int64))
-                found = [(s, pos) for mask in MASKS for pos, s in enumerate(seed_hashes(own, mask).view(np.int64).tolist())]
+                masks = SHORT_MASKS if len(own) < SHORT else MASKS
+                found = [(s, pos) for mask in masks for pos, s in enumerate(seed_hashes(own, mask).view(np.int64).tolist())]
                 seeds.append([{"seed": s, "item_pos": pos} for s, pos in found])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
@@ -130,7 +140,7 @@ _CLUSTER = pa.schema([("doc_id", pa.int64()), ("mark", pa.binary()), ("at", pa.i
                       ("hits", pa.list_(pa.struct([("seed", pa.int64()), ("pos", pa.int32())])))])
 
 
-def _cluster_rows(marks, bits: int):
+def _cluster_rows(marks, bits: int, masks: tuple[str, ...]):
     """Stretches of a text around hashes that pass the filter, with the tokens beside them."""
 
     def clusters(ids, texts, tokens, starts, hit_pos, hit_seed):
@@ -160,7 +170,7 @@ def _cluster_rows(marks, bits: int):
                 tokens = np.concatenate(own)
                 ends = np.repeat(starts[1:], np.diff(starts))
                 pos, seed = [], []
-                for mask in MASKS:
+                for mask in masks:
                     hashes = seed_hashes(tokens, mask)
                     found = _passes(hashes, held, bits)
                     found = found[found + len(mask) <= ends[found]]  # windows within one text
@@ -207,10 +217,12 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, *, id_c
     seeded = cut(spark, item_seeds(items, item_id_col, item_text_col, least), "benchmark-seeds")
     seeds = seeded.select("item_id", F.explode("seeds").alias("s")).select("item_id", "s.*")
     marks = spark.sparkContext.broadcast(seed_filter(seeds, filter_bits).tobytes())
+    short = not seeded.where(F.size("tokens") < SHORT).isEmpty()
+    masks = MASKS + SHORT_MASKS if short else MASKS
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = "doc_id long, mark binary, at int, tokens array<long>, hits array<struct<seed:long,pos:int>>"
-    clusters = cut(spark, texts.mapInArrow(_cluster_rows(marks, filter_bits), schema).withColumn(
+    clusters = cut(spark, texts.mapInArrow(_cluster_rows(marks, filter_bits, masks), schema).withColumn(
         "cluster", F.monotonically_increasing_id()), "seed-clusters")
     hits = clusters.select("cluster", F.explode("hits").alias("h")).select("cluster", "h.*")
     # a plain join between two shuffles: the adaptive planner splits a hot seed

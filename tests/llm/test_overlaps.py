@@ -66,3 +66,21 @@ def test_every_copy_of_thirteen_tokens_with_two_substitutions_is_found(spark):
     found = decontaminate.contaminated(spark, docs, items).collect()
     assert sorted(r.doc_id for r in found) == list(range(78))
     assert {(r.item_id, r.start, r.length, r.matches) for r in found} == {(7, 40, 13, 11)}
+
+
+@pytest.mark.parametrize("n, substituted", [(8, 1), (9, 1), (10, 2), (11, 2), (12, 2)])
+def test_short_masks_meet_every_placement(n, substituted):
+    fits = [sum(1 << s + k for k, on in enumerate(mask) if on == "1")
+            for mask in decontaminate.SHORT_MASKS for s in range(n - len(mask) + 1)]
+    for places in itertools.combinations([1 << k for k in range(n)], substituted):
+        assert any(not sum(places) & fit for fit in fits)
+
+
+def test_short_items_and_unspaced_scripts_are_found(spark):
+    words = [f"item{k}" for k in range(8)]
+    rows = [(k, " ".join(["x", *words[:k], f"other{k}", *words[k + 1:], "y"])) for k in range(8)]
+    rows += [(20, "まえがき。東京の天気は今日も晴れです、明日は雨。おわり"), (21, "東京と大阪。"), (22, "plain words é")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "東京の天気は今日も晴れです")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark, docs, items).collect()}
+    assert found == {(k, 1) for k in range(8)} | {(20, 2)}
