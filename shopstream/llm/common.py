@@ -47,6 +47,24 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("binary"), F.lit(b""))
 
 
+def join_classes(spark: SparkSession, rows: DataFrame, classes: DataFrame, keys: list[str], size: str,
+                 most: int = 1000) -> DataFrame:
+    """``rows`` with the columns of their class (null if they have none), whatever the share of one class.
+
+    ``classes`` has one row per key with the number ``size`` of its rows. Classes
+    of more than 1/``most`` of all rows number fewer than ``most``: these reach
+    the tasks, and only the others meet their rows in a shuffle.
+    """
+    classes = cut(spark, classes, "classes")
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    hot = classes.where(F.col(size) * most > total)
+    values = [c for c in classes.columns if c not in keys]
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    cold = marked.where("_hot is null").drop(*values, "_hot").join(
+        classes.where(F.col(size) * most <= total), keys, "left")
+    return marked.where("_hot").drop("_hot").unionByName(cold)
+
+
 _HELD: dict[str, Callable[[], None]] = {}
 
 

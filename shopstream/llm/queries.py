@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import (decontaminate, exact_dedup, line_dedup, packing, quality, secret_scan, simhash,
-                            token_files, toxicity, warc)
+from shopstream.llm import (decontaminate, exact_dedup, fill_middle, line_dedup, merkle, ngram_join, packing, quality,
+                            secret_scan, simhash, token_files, toxicity, warc)
 from shopstream.llm.common import cut, documents, text_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,20 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     kept = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text_of(), 256).alias("kept_sha256"))
+
+
+@register("op11_ngram_join")
+def op11(spark, sf_dir):
+    return ngram_join.similar_documents(spark, documents(spark, sf_dir))
+
+
+@register("op12_merkle_manifest")
+def op12(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.audit(spark, docs, {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+
+
+@register("op13_fill_middle")
+def op13(spark, sf_dir):
+    return fill_middle.round_trip(spark, documents(spark, sf_dir))
