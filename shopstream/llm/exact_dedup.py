@@ -8,8 +8,9 @@ order of preference among equals: the splitters stay small whatever the length
 of the texts, and a group of copies may span any number of partitions. Texts
 that agree in prefix and hash are still compared byte by byte.
 
-A run is a stretch of equal texts in one partition. Runs that a splitter parted
-meet again by the SHA-256 of their text, one row per run.
+A run is a stretch of equal texts in one partition; its rows find their group by
+the run they are in. Only the first and the last text of a partition can go on
+in another one: these runs, about two a partition, meet on the driver.
 
 Defined cases: a null text counts as empty; of equal texts the row with the
 most code points stays, then the smallest id (nulls last), then any one of
@@ -61,8 +62,10 @@ def runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hea
     """Runs of equal neighbours, one row per document (or per run, with its whole row).
 
     Columns: doc_id, n_chars, text_sha256, row_id (rises in content order),
-    run_id (row_id of the first of the run), open (the run begins its
-    partition's content, so an earlier partition may hold more of it).
+    run_id (row_id of the first of the run), first and last (the run's text
+    may begin or end its partition, so another one may hold more of it).
+    ``last`` is told on an own row without a document, which the end of a
+    partition adds for each such run.
     """
     ordered = sorted_by_content(docs, id_col, text_col, heads_only)
     row_type = f", row {docs.schema.simpleString()}" if heads_only else ""
@@ -75,7 +78,7 @@ def runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hea
             keys = batch.column(0)
             prefixes, hashes = keys.field(0).to_pylist(), keys.field(1).to_pylist()
             texts = batch.column(3).to_pylist()
-            shas, row_ids, run_ids, opens, heads = [], [], [], [], []
+            shas, row_ids, run_ids, firsts, heads = [], [], [], [], []
             for k, (prefix, hashed, text) in enumerate(zip(prefixes, hashes, texts)):
                 if (prefix, hashed) != group:
                     group, seen = (prefix, hashed), {}
@@ -87,52 +90,73 @@ def runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hea
                     heads.append(k)
                 shas.append(known[0])
                 run_ids.append(known[1])
-                opens.append(group == first_group)
+                firsts.append(group == first_group)
                 row_ids.append(at)
                 at += 1
             columns = {"doc_id": batch.column(1), "n_chars": batch.column(2),
                        "text_sha256": pa.array(shas, pa.string()), "row_id": pa.array(row_ids, pa.int64()),
-                       "run_id": pa.array(run_ids, pa.int64()), "open": pa.array(opens, pa.bool_())}
+                       "run_id": pa.array(run_ids, pa.int64()), "first": pa.array(firsts, pa.bool_()),
+                       "last": pa.array([False] * len(shas), pa.bool_())}
             if heads_only:
                 columns["row"] = batch.column(4)
             out = pa.RecordBatch.from_pydict(columns)
+            schema = out.schema
             yield out.take(pa.array(heads, pa.int64())) if heads_only else out
+        if group is not None:
+            marks = [{"text_sha256": sha, "run_id": run_id, "last": True} for sha, run_id in seen.values()]
+            yield pa.RecordBatch.from_pylist(marks, schema=schema)
 
     return ordered.mapInArrow(
-        run, f"doc_id long, n_chars int, text_sha256 string, row_id long, run_id long, open boolean{row_type}")
+        run, "doc_id long, n_chars int, text_sha256 string, row_id long, run_id long, first boolean, last boolean"
+             + row_type)
+
+
+def parted(rows: DataFrame) -> dict[str, list[int]]:
+    """Runs of each text that several partitions hold, in content order.
+
+    The rows that reach the driver are two a partition (more only where two
+    texts share prefix and hash), a number that the tasks bound.
+    """
+    edges = rows.where("last or (first and row_id = run_id)").select("text_sha256", "run_id").distinct().collect()
+    found: dict[str, list[int]] = {}
+    for sha, run_id in sorted(map(tuple, edges), key=lambda e: e[1]):
+        found.setdefault(sha, []).append(run_id)
+    return {sha: ids for sha, ids in found.items() if len(ids) > 1}
 
 
 def decisions(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Group totals are sums over runs. Only rows of groups of two or more meet
-    them again, in a plain join whose hot keys the adaptive planner splits.
+    Group sizes are those of runs. A run lies in one partition, so no run has
+    more rows than a partition, whatever the size of its group.
     """
-    rows = cut(spark, runs(docs, id_col=id_col, text_col=text_col), "content-runs")
-    parts = rows.groupBy("run_id", "text_sha256").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("doc_id", "row_id"), "row_id").alias("head"),
-        F.max("open").alias("open"))
-    # a group that spans partitions keeps the head of its first run: partitions are in content order
-    groups = parts.groupBy("text_sha256").agg(
-        F.sum("n").alias("group_size"), F.min_by("head", "head.row_id").alias("head")).where("group_size > 1")
-    size = F.coalesce("group_size", F.lit(1).cast("long"))
-    return rows.join(groups, "text_sha256", "left").select(
-        "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("keep_id"),
-        size.alias("group_size"), F.coalesce(F.col("head.row_id") == F.col("row_id"), F.lit(True)).alias("kept"),
-        "text_sha256")
+    marked = cut(spark, runs(docs, id_col=id_col, text_col=text_col), "content-runs")
+    rows = marked.where("not last")
+    joined = [(run_id, ids[0]) for ids in parted(marked).values() for run_id in ids]
+    lead = spark.createDataFrame(joined, "run_id long, lead_run long")  # two rows a partition
+    sizes = rows.groupBy("run_id").agg(F.count("*").alias("n"),
+                                       F.min(F.when(F.col("row_id") == F.col("run_id"), F.col("doc_id"))).alias("head"))
+    alone = sizes.where("n > 1").join(F.broadcast(lead), "run_id", "left_anti").select(
+        "run_id", F.col("n").alias("group_size"), F.col("head").alias("keep_id"), F.col("run_id").alias("lead_run"))
+    spread = cut(spark, sizes.join(F.broadcast(lead), "run_id"), "content-spread")
+    totals = spread.groupBy("lead_run").agg(
+        F.sum("n").alias("group_size"), F.min(F.when(F.col("run_id") == F.col("lead_run"), F.col("head"))).alias("keep_id"))
+    groups = alone.unionByName(spread.select("run_id", "lead_run").join(totals, "lead_run"))
+    in_group = F.col("group_size").isNotNull()
+    return rows.join(groups, "run_id", "left").select(
+        "doc_id", F.when(in_group, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.when(in_group, F.col("row_id") == F.col("lead_run")).otherwise(True).alias("kept"), "text_sha256")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, whole and unchanged.
 
-    Only the first of a run goes on, so copies end in the sorting task. The
-    one run that opens a partition may continue an earlier one: at most a row
-    per partition is dropped for that, and these are broadcast.
+    Only the first of a run goes on, so copies end in the sorting task. Of a text
+    that several partitions hold, the first run's head stays: at most a row or two
+    per partition are dropped for that, and these are broadcast.
     """
     heads = cut(spark, runs(docs, id_col=id_col, text_col=text_col, heads_only=True), "content-heads")
-    firsts = heads.groupBy("text_sha256").agg(F.min("row_id").alias("first")).withColumnRenamed(
-        "text_sha256", "first_sha256")
-    opening = heads.where("open").select("text_sha256", "row_id")
-    again = opening.join(firsts, F.col("text_sha256") == F.col("first_sha256")).where("first < row_id").select("row_id")
-    stay = heads.join(F.broadcast(again), "row_id", "left_anti")
+    again = spark.createDataFrame([(run_id,) for ids in parted(heads).values() for run_id in ids[1:]], "run_id long")
+    stay = heads.where("not last").join(F.broadcast(again), "run_id", "left_anti")
     return unpack(stay, docs.columns)
