@@ -35,26 +35,28 @@ def secrets(docs):
     return out
 
 
-def bare_spans(docs, max_owners=1, max_repos=3):
+def bare_spans(docs, max_owners=4, max_repos=12):
     """Added spans per row of (doc_id, text, owner, repo): bare tokens the corpus shows to be live."""
-    found, holders, keyed = [], defaultdict(set), set()
+    found, texts, keyed = [], defaultdict(lambda: defaultdict(set)), set()
     for row, (_, text, owner, repo) in enumerate(docs):
         text = text or ""
         base = base_spans(text)
         for start, rank, kind, end in base:
             value = ASSIGN.match(text, start)[1] if rank == 0 else text[start:end]
-            holders[value].add((owner, repo))
+            texts[value][text].add((owner, repo))
             keyed.add(value)
         for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
             value = m[0]
             if re.search("[0-9]", value) and re.search("[A-Za-z]", value) and not any(
                     b[0] < m.end() and m.start() < b[3] for b in base):
-                holders[value].add((owner, repo))
+                texts[value][text].add((owner, repo))
                 found.append((row, m.start(), m.end(), value))
     out = defaultdict(list)
     for row, start, end, value in found:
-        owners = {o for o, _ in holders[value]}
-        if len(owners) <= max_owners and len(holders[value]) <= max_repos and (
+        # a text that several hold is one witness; these tables hold none near the limits
+        least, most = len({t for t in texts[value]}), len({o for t in texts[value].values() for o, _ in t})
+        assert least <= max_owners or most > max_owners
+        if most <= max_owners and (
                 value in keyed or len(set(value)) >= 10 and re.search("[0-9]", value)):
             out[row].append((start, 3, "bare", end))
     return out
