@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from shopstream.schema import ISO_MS_FORMAT
 
-MONEY = "decimal(18,2)"
-
 _DATE_SHAPE = r"^\s*\d{4}-\d{2}-\d{2}"
 
 
@@ -64,18 +62,9 @@ def iso_ms(ms: Column | str) -> Column:
 
 
 def to_money(c: Column | str) -> Column:
-    """Float with fallback 0: bad, missing or non-finite values add 0.
-
-    Money is summed as an exact decimal so the result does not depend on row
-    order (double sums do).
-    """
-    c = col_of(c)
-    return F.coalesce(c.try_cast("double").try_cast(MONEY), F.lit(0).cast(MONEY))
-
-
-def money_sum(c: Column) -> Column:
-    """Exact decimal sum returned as DOUBLE."""
-    return F.sum(c).cast("double")
+    """Float with fallback 0: bad, missing or non-finite values are 0, all others stay as they are."""
+    value = col_of(c).try_cast("double")
+    return F.when(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")), value).otherwise(F.lit(0.0))
 
 
 def count_when(cond: Column) -> Column:
@@ -85,8 +74,9 @@ def count_when(cond: Column) -> Column:
 
 
 def fmt_money(c: Column | str) -> Column:
-    """Fixed two-decimal text of an exact decimal (no binary rounding)."""
-    return col_of(c).cast(MONEY).cast("string")
+    """Text of a number with two decimals, whatever its size."""
+    c = col_of(c).cast("double")
+    return F.when(c.isNotNull(), F.format_string("%.2f", c))
 
 
 def arrival_key(ingested_ms: Column | str = "ingested_ms",

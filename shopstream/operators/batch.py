@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.columns import MONEY, count_when, money_sum
-
-_AVG_DEC = "decimal(30,10)"
+from shopstream.functions import exact
+from shopstream.functions.columns import count_when
 
 
 def clean(events: DataFrame) -> DataFrame:
@@ -58,24 +57,18 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 
 
-def exact_avg(c) -> F.Column:
-    """Average over an exact decimal sum (independent of row order)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(F.sum(c.try_cast(_AVG_DEC)).cast("double"),
-                        F.count(c).cast("double"))
-
-
 def sales(clean_events: DataFrame) -> DataFrame:
     """Per (product, category): events with a value, their revenue, mean unit price.
 
     Every valued event counts (adds, removes, deliveries, zero-valued clicks),
     not only checkouts; checkout-only revenue is :func:`product_metrics_batch`.
     """
-    return (clean_events.filter(F.col("total_value").isNotNull())
+    valued = clean_events.filter(F.col("total_value").isNotNull())
+    return (exact.with_parts(valued, _revenue="total_value", _price="unit_price")
             .groupBy("product_id", "category")
             .agg(F.count(F.lit(1)).alias("events"),
-                 money_sum(F.col("total_value").try_cast(MONEY)).alias("revenue"),
-                 exact_avg("unit_price").alias("average_price")))
+                 exact.exact_sum("_revenue").alias("revenue"),
+                 exact.exact_avg("_price").alias("average_price")))
 
 
 def insight_partials(raw: DataFrame) -> DataFrame:
@@ -83,18 +76,19 @@ def insight_partials(raw: DataFrame) -> DataFrame:
 
     Carries the raw row count, clean clicks, and the sales sums, so the ETL
     reads the raw data once for the count and both insight tables instead of
-    once per output.  Exact: the partial sums are decimals.
+    once per output.  The sums are exact.
     """
     et, tv = F.col("event_type"), F.col("total_value")
     is_clean = F.col("event_id").isNotNull() & et.isNotNull()
     valued = is_clean & tv.isNotNull()
-    return (raw.groupBy("product_id", "category")
+    only = "CASE WHEN event_id IS NOT NULL AND event_type IS NOT NULL AND total_value IS NOT NULL THEN {} END"
+    return (exact.with_parts(raw, _revenue=only.format("total_value"), _price=only.format("unit_price"))
+            .groupBy("product_id", "category")
             .agg(F.count(F.lit(1)).alias("raw_rows"),
                  count_when(is_clean & (et == "click")).alias("clicks"),
                  count_when(valued).alias("events"),
-                 F.sum(F.when(valued, tv.try_cast(MONEY))).alias("revenue_dec"),
-                 F.sum(F.when(valued, F.col("unit_price").try_cast(_AVG_DEC))).alias("price_sum"),
-                 F.count(F.when(valued, F.col("unit_price"))).alias("price_n")))
+                 exact.exact_sum("_revenue").alias("revenue"),
+                 exact.exact_avg("_price").alias("average_price")))
 
 
 def clicks_by_product_from(partials: DataFrame) -> DataFrame:
@@ -106,10 +100,12 @@ def clicks_by_product_from(partials: DataFrame) -> DataFrame:
 def sales_from(partials: DataFrame) -> DataFrame:
     """:func:`sales` from :func:`insight_partials` (groups with a valued event)."""
     return partials.filter(F.col("events") > 0).select(
-        "product_id", "category", "events",
-        F.col("revenue_dec").cast("double").alias("revenue"),
-        F.try_divide(F.col("price_sum").cast("double"), F.col("price_n").cast("double"))
-        .alias("average_price"))
+        "product_id", "category", "events", "revenue", "average_price")
+
+
+_CHECKOUT = "event_type = 'cart' AND cart_action = 'checkout'"
+# NULL terms are skipped, and a group of only NULL terms sums to NULL
+_REVENUE = f"CASE WHEN {_CHECKOUT} THEN try_cast(total_value AS DOUBLE) ELSE 0D END"
 
 
 def product_metrics_batch(raw_logs: DataFrame) -> DataFrame:
@@ -118,29 +114,27 @@ def product_metrics_batch(raw_logs: DataFrame) -> DataFrame:
     Only a NULL product is dropped; an empty product id is its own group.
     """
     et, ca = F.col("event_type"), F.col("cart_action")
-    checkout = (et == "cart") & (ca == "checkout")
-    return (raw_logs.filter(F.col("product_id").isNotNull())
+    return (exact.with_parts(raw_logs.filter(F.col("product_id").isNotNull()), _revenue=_REVENUE)
             .groupBy("product_id", "category")
             .agg(count_when(et == "click").alias("total_clicks"),
                  count_when((et == "cart") & (ca == "add")).alias("total_cart_adds"),
-                 count_when(checkout).alias("total_checkouts"),
-                 money_sum(F.when(checkout, F.col("total_value").try_cast(MONEY))
-                           .otherwise(F.lit(0).cast(MONEY))).alias("total_revenue"),
+                 count_when((et == "cart") & (ca == "checkout")).alias("total_checkouts"),
+                 exact.exact_sum("_revenue").alias("total_revenue"),
                  count_when((et == "delivery_status")
                             & (F.col("delivery_status") == "delivered")).alias("total_delivered")))
 
 
-PRODUCT_METRICS_BATCH_SQL = """
+PRODUCT_METRICS_BATCH_SQL = f"""
 SELECT
     product_id,
     category,
     count_if(event_type = 'click') AS total_clicks,
     count_if(event_type = 'cart' AND cart_action = 'add') AS total_cart_adds,
-    count_if(event_type = 'cart' AND cart_action = 'checkout') AS total_checkouts,
-    CAST(sum(CASE WHEN event_type = 'cart' AND cart_action = 'checkout'
-                  THEN TRY_CAST(total_value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS total_revenue,
+    count_if({_CHECKOUT}) AS total_checkouts,
+    {exact.sum_sql("_revenue")} AS total_revenue,
     count_if(event_type = 'delivery_status' AND delivery_status = 'delivered') AS total_delivered
-FROM {source}
-WHERE product_id IS NOT NULL
+FROM (SELECT *, {exact.parts_sql("_value", "_bin")} AS _revenue
+      FROM (SELECT *, {exact.bin_sql("_value")} AS _bin
+            FROM (SELECT *, {_REVENUE} AS _value FROM {{source}} WHERE product_id IS NOT NULL)))
 GROUP BY product_id, category
 """

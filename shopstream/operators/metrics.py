@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.columns import (
-    MONEY, arrival_key, count_when, last_by_arrival, to_money)
+from shopstream.functions import exact
+from shopstream.functions.columns import arrival_key, count_when, last_by_arrival
 
 # event fields the running metrics read (the decoder parses only these)
 INPUT_FIELDS = ("event_id", "event_type", "event_time", "ingested_at", "product_id", "category",
@@ -25,7 +25,13 @@ META_COLUMNS = ("category", "last_event_time", "last_event_id")
 OUTPUT_COLUMNS = ("product_id",) + METRIC_COLUMNS + META_COLUMNS
 
 
+# checkout values; a bad or missing one counts the checkout and adds nothing
+CHECKOUT_VALUE = ("CASE WHEN event_type = 'cart' AND cart_action = 'checkout' "
+                  "THEN try_cast(total_value AS DOUBLE) END")
+
+
 def metric_aggregates(order: Column | None = None) -> list[Column]:
+    """Aggregates over events with the parts of their checkout value (``_value``)."""
     et, ca = F.col("event_type"), F.col("cart_action")
     checkout = (et == "cart") & (ca == "checkout")
     order = arrival_key() if order is None else order
@@ -33,8 +39,7 @@ def metric_aggregates(order: Column | None = None) -> list[Column]:
         count_when(et == "click").alias("clicks"),
         count_when((et == "cart") & (ca == "add")).alias("cart_adds"),
         count_when(checkout).alias("checkouts"),
-        F.coalesce(F.sum(F.when(checkout, to_money("total_value"))),
-                   F.lit(0).cast(MONEY)).cast("double").alias("orders_value"),
+        F.coalesce(exact.exact_sum("_value"), F.lit(0.0)).alias("orders_value"),
         count_when((et == "delivery_status")
                    & (F.col("delivery_status") == "delivered")).alias("delivered"),
         last_by_arrival("category", order, "unknown").alias("category"),
@@ -50,5 +55,5 @@ def keyed_events(events: DataFrame) -> DataFrame:
 
 def product_metrics(events: DataFrame) -> DataFrame:
     """Running totals per product over everything seen (no watermark: late rows count)."""
-    return (keyed_events(events).groupBy("product_id")
+    return (exact.with_parts(keyed_events(events), _value=CHECKOUT_VALUE).groupBy("product_id")
             .agg(*metric_aggregates()).select(*OUTPUT_COLUMNS))

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.columns import MONEY, arrival_key, count_when, first_by_arrival, last_by_arrival
+from shopstream.functions import exact
+from shopstream.functions.columns import arrival_key, count_when, first_by_arrival, last_by_arrival
 from shopstream.schema import CART_ACTIONS, DELIVERY_STATUSES, EVENT_TYPES
 
 WATERMARK_MS = 15_000
@@ -100,19 +101,17 @@ def reconcile(running: DataFrame, batch_totals: DataFrame) -> DataFrame:
     Differences are running minus batch; a side that lacks the product
     counts as zero and is flagged.
     """
-    b = (batch_totals.groupBy("product_id")
-         .agg(*[F.sum(F.col(bc).cast(MONEY) if rc == "orders_value" else F.col(bc)).alias(bc)
+    b = (exact.with_parts(batch_totals, _revenue="total_revenue").groupBy("product_id")
+         .agg(*[exact.exact_sum("_revenue").alias(bc) if rc == "orders_value" else F.sum(bc).alias(bc)
                 for rc, bc in RECONCILED]))
     r = running.select("product_id", *[rc for rc, _ in RECONCILED]).withColumn("_r", F.lit(True))
     b = b.withColumn("_b", F.lit(True))
     j = r.join(b, "product_id", "full_outer")
     diffs = []
     for rc, bc in RECONCILED:
-        rv, bv = F.coalesce(F.col(rc), F.lit(0)), F.coalesce(F.col(bc), F.lit(0))
+        d = F.coalesce(F.col(rc), F.lit(0)) - F.coalesce(F.col(bc), F.lit(0))
         if rc == "orders_value":
-            d = (rv.cast(MONEY) - bv.cast(MONEY)).cast("double")
-        else:
-            d = rv - bv
+            d = F.round(d, 2)  # the categories' sums are rounded one by one
         diffs.append(d.alias(f"{rc}_diff"))
     return j.select("product_id", *diffs,
                     F.coalesce(F.col("_r"), F.lit(False)).alias("in_running"),

@@ -5,7 +5,7 @@ the expected result directly.  Column names equal the Spark outputs.
 Conventions that keep both engines bit-identical:
 
 * epoch ms from µs data: ``epoch_us(ts) // 1000`` (``epoch_ms`` rounds);
-* money sums as DECIMAL(18,2) cast to DOUBLE; means over DECIMAL sums;
+* money sums as integers scaled by 2**60 (exact for the given values), rounded once;
 * DuckDB ``sum(int)`` is HUGEINT -> cast to BIGINT;
 * "last by arrival": ``arg_max(x, arrival) FILTER (x <> '')`` with arrival =
   ``lpad(ingested_ms, 20, '0') || event_id``.
@@ -103,13 +103,17 @@ MIN, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 WATERMARK_MS = 15_000
 CLOSED = f"AND window_end <= (SELECT max(event_ms) FROM ev) - {WATERMARK_MS}"
 
+def _exact(value: str) -> str:
+    """Sum of doubles without rounding in between."""
+    return f"CAST(sum(CAST({value} * 1152921504606846976 AS HUGEINT)) AS DOUBLE) / 1152921504606846976"
+
+
 _PRODUCT_METRICS = f"""
     SELECT product_id,
            CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS clicks,
            CAST(count(*) FILTER (WHERE event_type = 'cart' AND cart_action = 'add') AS BIGINT) AS cart_adds,
            CAST(count(*) FILTER (WHERE event_type = 'cart' AND cart_action = 'checkout') AS BIGINT) AS checkouts,
-           CAST(coalesce(sum(coalesce(TRY_CAST(total_value AS DECIMAL(18,2)), 0))
-                FILTER (WHERE event_type = 'cart' AND cart_action = 'checkout'), 0) AS DOUBLE) AS orders_value,
+           coalesce({_exact("CASE WHEN event_type = 'cart' AND cart_action = 'checkout' THEN TRY_CAST(total_value AS DOUBLE) END")}, 0) AS orders_value,
            CAST(count(*) FILTER (WHERE event_type = 'delivery_status' AND delivery_status = 'delivered') AS BIGINT) AS delivered,
            {_last('category', 'unknown')} AS category,
            {_last('event_time', '')} AS last_event_time,
@@ -118,23 +122,21 @@ _PRODUCT_METRICS = f"""
     GROUP BY product_id
 """
 
-_PRODUCT_METRICS_BATCH = """
+_PRODUCT_METRICS_BATCH = f"""
     SELECT product_id, category,
            CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS total_clicks,
            CAST(sum(CASE WHEN event_type = 'cart' AND cart_action = 'add' THEN 1 ELSE 0 END) AS BIGINT) AS total_cart_adds,
            CAST(sum(CASE WHEN event_type = 'cart' AND cart_action = 'checkout' THEN 1 ELSE 0 END) AS BIGINT) AS total_checkouts,
-           CAST(sum(CASE WHEN event_type = 'cart' AND cart_action = 'checkout'
-                         THEN CAST(total_value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS total_revenue,
+           {_exact("CASE WHEN event_type = 'cart' AND cart_action = 'checkout' THEN total_value ELSE 0 END")} AS total_revenue,
            CAST(sum(CASE WHEN event_type = 'delivery_status' AND delivery_status = 'delivered' THEN 1 ELSE 0 END) AS BIGINT) AS total_delivered
     FROM ev WHERE product_id IS NOT NULL
     GROUP BY product_id, category
 """
 
-_SALES = """
+_SALES = f"""
     SELECT product_id, category, count(*) AS events,
-           CAST(sum(CAST(total_value AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-           CAST(sum(CAST(unit_price AS DECIMAL(30,10))) AS DOUBLE)
-               / CAST(count(unit_price) AS DOUBLE) AS average_price
+           {_exact("total_value")} AS revenue,
+           {_exact("unit_price")} / CAST(count(unit_price) AS DOUBLE) AS average_price
     FROM ev WHERE event_id IS NOT NULL AND event_type IS NOT NULL AND total_value IS NOT NULL
     GROUP BY product_id, category
 """

@@ -25,11 +25,51 @@ def test_truthy(spark):
 
 
 def test_money_fallback_and_format(spark):
-    got = _one(spark, C.to_money("v"), [("12.5",), ("abc",), (None,), ("NaN",), ("1e400",)],
+    got = _one(spark, C.to_money("v"), [("12.5",), ("abc",), (None,), ("NaN",), ("1e400",), ("1e17",), ("0.004",)],
                "v string")
-    assert [str(x) for x in got] == ["12.50", "0.00", "0.00", "0.00", "0.00"]
-    fm = _one(spark, C.fmt_money("d"), [(1234567.005,), (0.0,), (2.5,)], "d double")
-    assert fm == ["1234567.01", "0.00", "2.50"]
+    assert got == [12.5, 0.0, 0.0, 0.0, 0.0, 1e17, 0.004]
+    fm = _one(spark, C.fmt_money("d"), [(1234567.005,), (0.0,), (2.5,), (1e21,), (None,)], "d double")
+    assert fm == ["1234567.01", "0.00", "2.50", "1000000000000000000000.00", None]
+
+
+def test_exact_sums_are_correctly_rounded(spark):
+    """Against math.fsum, in shuffled order, with carries, signs, ties and values beyond the bins."""
+    import math
+    import random
+
+    from shopstream.functions import exact
+
+    rnd = random.Random(1)
+    groups = [[1e17, 1e21, 0.004, -1e17], [0.1] * 10, [0.0, -0.0], [-5.5], [1e300, 1.0], [1e16, 1.0, -1e16],
+              [2.0 ** -127, 1.0], [1 + 2 ** -52, 2.0 ** -53], [1.0, 2.0 ** -53], [1.0, 2.0 ** -53, 2.0 ** -100],
+              [-1.0, -2.0 ** -53, -2.0 ** -100], [float("nan"), 3.0], [2.0 ** 53, 1.0, 1.0], [1e-300, 2.0]]
+    for _ in range(200):
+        reach = rnd.choice([3, 30, 120])
+        groups.append([rnd.choice([-1, 1]) * rnd.random() * 2.0 ** rnd.randrange(-reach, reach)
+                       for _ in range(rnd.randrange(1, 40))])
+    rows = [(k, float(v)) for k, g in enumerate(groups) for v in g] + [(9999, None)]
+    rnd.shuffle(rows)
+    df = exact.with_parts(spark.createDataFrame(rows, "g int, v double").repartition(5), p="v")
+    got = {r.g: (r.s, r.m) for r in df.groupBy("g").agg(exact.exact_sum("p").alias("s"),
+                                                        exact.exact_avg("p").alias("m")).collect()}
+    for k, g in enumerate(groups):
+        finite = [v for v in g if v == v]
+        assert got[k] == (math.fsum(finite), math.fsum(finite) / len(finite)), g
+    assert got[9999] == (None, None)
+
+
+def test_money_has_no_cap(spark):
+    from shopstream.operators import batch, metrics
+
+    rows = [(f"e{k}", "cart", "p", "c", "checkout", v, v, None, "t", k)
+            for k, v in enumerate([1e17, 1e21, 0.004, -1e17])]
+    ev = spark.createDataFrame(rows, "event_id string, event_type string, product_id string, category string, "
+                               "cart_action string, total_value double, unit_price double, delivery_status string, "
+                               "event_time string, ingested_ms long")
+    want = 1e21 + 0.004
+    assert batch.sales(ev).first()[2:] == (4, want, want / 4)
+    assert batch.product_metrics_batch(ev).first().total_revenue == want
+    assert metrics.product_metrics(ev).first().orders_value == want
 
 
 def test_iso_parse_and_format(spark):

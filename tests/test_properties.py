@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from hypothesis import HealthCheck, given, settings
@@ -281,16 +282,14 @@ def test_event_time_matches_python_isoformat(spark, times):
 
 def _py_running_metrics(events):
     """Sequential per-product fold in arrival order, written from the spec."""
-    from decimal import ROUND_HALF_UP, Decimal
+    from fractions import Fraction
 
     def money(v):
         try:
             f = float(v or 0.0)
         except (TypeError, ValueError):
-            return Decimal("0")
-        if f != f or f in (float("inf"), float("-inf")):
-            return Decimal("0")
-        return Decimal(repr(f)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            return Fraction(0)
+        return Fraction(f) if math.isfinite(f) else Fraction(0)
 
     def arrival(e):
         return (_py_event_ms(e["ingested_at"]), e["event_id"])
@@ -301,7 +300,7 @@ def _py_running_metrics(events):
         if not pid:
             continue
         m = state.setdefault(pid, {"clicks": 0, "cart_adds": 0, "checkouts": 0,
-                                   "orders_value": Decimal("0"), "delivered": 0,
+                                   "orders_value": Fraction(0), "delivered": 0,
                                    "category": e.get("category") or "unknown",
                                    "last_event_time": "", "last_event_id": ""})
         et = e.get("event_type")
@@ -451,25 +450,25 @@ def test_order_progress_matches_brute_force(spark, events):
 
 
 def _py_sales_and_totals(events):
-    from decimal import ROUND_HALF_UP, Decimal
+    from fractions import Fraction
 
-    def dec(v, places="0.01"):
-        return Decimal(repr(float(v))).quantize(Decimal(places), rounding=ROUND_HALF_UP)
+    def dec(v):
+        return Fraction(float(v))
 
     sales, totals = {}, {}
     for e in events:
         key = (e.get("product_id"), e.get("category"))
         if e.get("event_id") is not None and e.get("event_type") is not None \
                 and e.get("total_value") is not None:
-            s = sales.setdefault(key, [0, Decimal(0), Decimal(0), 0])
+            s = sales.setdefault(key, [0, Fraction(0), Fraction(0), 0])
             s[0] += 1
             s[1] += dec(e["total_value"])
-            s[2] += dec(e["unit_price"], "0.0000000001")
+            s[2] += dec(e["unit_price"])
             s[3] += 1
         if e.get("product_id") is not None:
             # SUM(CASE WHEN checkout THEN total_value ELSE 0 END): NULL terms are
             # skipped, and a group of only NULL terms sums to NULL
-            t = totals.setdefault(key, [0, 0, 0, Decimal(0), 0, False])
+            t = totals.setdefault(key, [0, 0, 0, Fraction(0), 0, False])
             et, ca = e.get("event_type"), e.get("cart_action")
             checkout = et == "cart" and ca == "checkout"
             t[0] += et == "click"
@@ -481,7 +480,7 @@ def _py_sales_and_totals(events):
                 t[3] += dec(e["total_value"])
                 t[5] = True
             t[4] += et == "delivery_status" and e.get("delivery_status") == "delivered"
-    return ({k: (v[0], float(v[1]), float(v[2]) / float(v[3])) for k, v in sales.items()},
+    return ({k: (v[0], float(v[1]), float(v[2]) / v[3]) for k, v in sales.items()},
             {k: (v[0], v[1], v[2], float(v[3]) if v[5] else None, v[4])
              for k, v in totals.items()})
 
