@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopstream.operators import alerts, batch, decode, metrics, quality, serving
-from shopstream.session import ensure_utc
+from shopstream.session import ensure_utc, new_run_dir
+from shopstream.sinks import serving_store
 from shopstream.schema import EVENT_COLUMNS
 from shopstream.sources import adapter, jsonl
 
@@ -160,14 +161,21 @@ def q_serving_rows(spark, sf_dir):
     return _serving_rows(spark, sf_dir)
 
 
+def _stored_serving(spark, sf_dir) -> str:
+    """The serving cells as a stored table, clustered by row key."""
+    path = new_run_dir(spark, "serving")
+    serving_store.store(_serving_rows(spark, sf_dir), path)
+    return path
+
+
 @register("serving_scan")
 def q_serving_scan(spark, sf_dir):
-    return serving.scan(_serving_rows(spark, sf_dir), 10)
+    return serving_store.scan(spark, _stored_serving(spark, sf_dir), 10)
 
 
 @register("serving_get")
 def q_serving_get(spark, sf_dir):
-    return serving.get(_serving_rows(spark, sf_dir), "prod-001")
+    return serving_store.get(spark, _stored_serving(spark, sf_dir), "prod-001")
 
 
 # ----------------------------------------------------------------- quality (re-aimed)

@@ -334,6 +334,25 @@ ORACLE: dict[str, str] = {
     "reconcile_stream": _RECONCILE,
     "stream_decode_rejects": _REJECTS,
     "stream_decode_once_metrics": EV + _PRODUCT_METRICS,
+    "stream_job_rejects": _REJECTS,
+    "stream_job_alerts": EV + _alerts(DAY, 6 * HOUR, 10, CLOSED),
+    "stream_job_serving": _SERVING_ROWS.replace(_alerts(DAY, 6 * HOUR, 10), _alerts(DAY, 6 * HOUR, 10, CLOSED))
+    + " SELECT * FROM cells",
+    "stream_late_rows": EV + f"""
+        , numbered AS (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % 5 AS part FROM ev),
+        parts AS (SELECT part, max(event_ms) AS greatest_ms FROM numbered GROUP BY part),
+        marks AS (SELECT a.part, max(b.greatest_ms) - {WATERMARK_MS} AS mark
+                  FROM parts a JOIN parts b ON b.part < a.part GROUP BY a.part)
+        SELECT event_id, product_id, event_ms, mark AS watermark_ms,
+               (SELECT count(*) FROM range(1, 6) ends(k)
+                WHERE event_ms - event_ms % {MIN} + k * {MIN} <= mark) AS closed_windows,
+               n.part AS batch_id
+        FROM numbered n JOIN marks m ON n.part = m.part WHERE event_ms < mark""",
+    "stable_gate": EV + "SELECT event_id, product_id, event_type FROM ev WHERE CAST(substr(event_id, 5) AS BIGINT) % 2 = 0",
+    "click_preview": EV + _CLICKS_BY_PRODUCT + " ORDER BY total_clicks DESC, product_id LIMIT 5",
+    "listed_tables": """
+        SELECT unnest(['insights_cliques', 'insights_vendas', 'raw_logs', 'product_metrics_batch',
+                       'ecommerce_metrics']) AS table_name, false AS temporary""",
     "stream_landing": EV + "SELECT 'raw' AS sink, count(*) AS n FROM ev "
                            "UNION ALL SELECT 'staging', count(*) FROM ev",
     "insights_tables": EV + f"""

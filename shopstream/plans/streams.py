@@ -15,7 +15,7 @@ from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
 from shopstream.session import default_parallelism, new_run_dir
 from shopstream.sources import jsonl
-from shopstream.sources.publish import publish_stable_files
+from shopstream.sources.publish import age_files, order_files, publish_stable_files
 from shopstream.streaming import queries as sq
 
 AVAILABLE_NOW = sq.Trigger(available_now=True)
@@ -98,6 +98,87 @@ def q_stream_decode_once_metrics(spark, sf_dir):
     return sjob.current_metrics(spark, out, source).select(*metrics.OUTPUT_COLUMNS)
 
 
+@register("stream_job_rejects")
+def q_stream_job_rejects(spark, sf_dir):
+    """Broken lines that the default two-flow job reports, per reason."""
+    from shopstream.streaming import job as sjob
+
+    out = new_run_dir(spark, "job-rejects")
+    j = sjob.start_job(spark, jsonl.landed_damaged_lines(spark, sf_dir), out, AVAILABLE_NOW, glob="*.txt",
+                       state_partitions=default_parallelism(spark),
+                       max_files_per_trigger=jsonl.files_per_trigger(spark))
+    j.await_all()
+    return sjob.current_rejects(spark, out).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_job_alerts")
+def q_stream_job_alerts(spark, sf_dir):
+    """Alerts of the default two-flow job (no decode stage), read from its sink."""
+    from shopstream.streaming import job as sjob
+
+    source, out = jsonl.landed_events(spark, sf_dir), new_run_dir(spark, "job-alerts")
+    j = sjob.start_job(spark, source, out, AVAILABLE_NOW, DAY_SIZE, DAY_SLIDE, 10,
+                       state_partitions=default_parallelism(spark),
+                       max_files_per_trigger=jsonl.files_per_trigger(spark))
+    j.await_all()
+    return sjob.current_alerts(spark, out, source, DAY_SIZE, DAY_SLIDE, 10).select(*alerts.ALERT_COLUMNS)
+
+
+@register("stream_job_serving")
+def q_stream_job_serving(spark, sf_dir):
+    """All serving cells that the default two-flow job stored."""
+    from shopstream.sinks import serving_store
+    from shopstream.streaming import job as sjob
+
+    out = new_run_dir(spark, "job-serving")
+    j = sjob.start_job(spark, jsonl.landed_events(spark, sf_dir), out, AVAILABLE_NOW, DAY_SIZE, DAY_SLIDE, 10,
+                       state_partitions=default_parallelism(spark), compact_every=2,
+                       max_files_per_trigger=jsonl.files_per_trigger(spark))
+    j.await_all()
+    return serving_store.read(spark, f"{out}/serving/metrics").unionByName(
+        serving_store.read(spark, f"{out}/serving/alerts"))
+
+
+LATE_PARTS = 5
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Rows behind the watermark: the events arrive in five parts, each of which spans the whole time.
+
+    A part is one micro-batch of any number of files; the stream resumes from its
+    checkpoint for each.
+    """
+    run = new_run_dir(spark, "late-rows")
+    ev = events(spark, sf_dir)
+    for part in range(LATE_PARTS):
+        jsonl.write_events_json(ev.where(F.col("event_seq") % LATE_PARTS == part), f"{run}/in/part-{part}")
+        q = sq.start_late_rows(spark, f"{run}/in/*", f"{run}/late", f"{run}/checkpoint", AVAILABLE_NOW)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"late rows failed: {q.exception()}")
+    return sq.late_rows(spark, f"{run}/late").drop("event_type")
+
+
+@register("stable_gate")
+def q_stable_gate(spark, sf_dir):
+    """Events that the gate publishes: files untouched for 15 s, neither younger nor temporary ones."""
+    import time
+
+    run = new_run_dir(spark, "stable-gate")
+    ev = events(spark, sf_dir)
+    staging, ready = f"{run}/staging", f"{run}/ready"
+    jsonl.write_events_json(ev.where("event_seq % 2 = 0"), f"{staging}/settled")
+    order_files(spark, f"{staging}/settled")
+    settled = int(time.time() * 1000)
+    # the young files are written a good while after the others, by the gate's clock
+    time.sleep(0.1)
+    jsonl.write_events_json(ev.where("event_seq % 2 = 1"), f"{staging}/growing")
+    age_files(spark, f"{staging}/settled", settled - 60_000)
+    publish_stable_files(spark, staging, ready, stable_seconds=jsonl.STABLE_SECONDS, now_ms=settled)
+    return jsonl.read_events_json(spark, ready).select("event_id", "product_id", "event_type")
+
+
 def _land(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Fan-out of the landed log into its two sinks: (raw archive, staging)."""
     log_dir = jsonl.landed_events(spark, sf_dir)

@@ -51,6 +51,21 @@ def q_product_totals_table(spark, sf_dir):
     return spark.table(_insights(spark, sf_dir)[1]["product_metrics_batch"])
 
 
+@register("click_preview")
+def q_click_preview(spark, sf_dir):
+    """The first rows of the saved click table, most clicked first."""
+    saved = spark.table(_insights(spark, sf_dir)[1]["insights_cliques"])
+    return batch.preview(saved.orderBy(F.col("total_clicks").desc(), "product_id"), 5)
+
+
+@register("listed_tables")
+def q_listed_tables(spark, sf_dir):
+    """Tables of the database that the batch job fills."""
+    db, _ = _insights(spark, sf_dir)
+    catalog.create_serving_table(spark, db)
+    return catalog.list_tables(spark, db).where("not isTemporary").select(F.col("tableName").alias("table_name"), F.col("isTemporary").alias("temporary"))
+
+
 @register("top_clicked_saved")
 def q_top_clicked_saved(spark, sf_dir):
     """Most clicked products of the saved click table."""

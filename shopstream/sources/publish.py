@@ -9,6 +9,13 @@ the line source reads.  This is file metadata work (list + rename through the
 cluster file system), not data processing, so it runs on the driver through
 the Hadoop ``FileSystem`` API and works on any Hadoop-compatible store.
 
+What was published is kept in a ledger, a folder of small files beside the read
+folder (``<ready>/_ledger``), so a batch that landing replays stays out even
+after the source has archived the first copy.  An entry is written before the
+rename and closed after it; one that a crash left open names the file it meant
+(length and modification time), which tells the unpublished file from a replay.
+A refused duplicate moves to ``<ready>/_refused`` and is not listed again.
+
     python -m shopstream.sources.publish <staging> <ready>
 """
 
@@ -18,14 +25,17 @@ import argparse
 import re
 import threading
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
+from shopstream.sinks import pointer
 from shopstream.sources.jsonl import STABLE_SECONDS, is_temp_name
 
 PUBLISHED_SUFFIX = ".json"
 LANDED_SUFFIX = ".txt"
 RESCAN_SECONDS = 5
+LEDGER, REFUSED = "_ledger", "_refused"  # below the read folder, which readers skip by name
 # a task's file of a landed batch; the unique part of its name changes when the batch is replayed
 _BATCH_FILE = re.compile(r"(.*batch_id=\d+/part-\d+)-[0-9a-f-]{36}(.*)")
 
@@ -54,6 +64,14 @@ def order_files(spark: SparkSession, folder: str) -> None:
         fs.setTimes(found[name].getPath(), first + k, -1)
 
 
+def age_files(spark: SparkSession, folder: str, mtime_ms: int) -> None:
+    """Set the modification time of all files directly in ``folder`` (to try the gate without waiting)."""
+    fs, path, _ = _fs(spark, folder)
+    for st in fs.listStatus(path):
+        if st.isFile():
+            fs.setTimes(st.getPath(), mtime_ms, -1)
+
+
 def published_name(relative: str) -> str | None:
     """Name in the read folder of a file below staging; ``None`` for names that are not to be read.
 
@@ -88,14 +106,34 @@ def publish_stable_files(spark: SparkSession, staging: str, ready: str,
         name = published_name(st.getPath().toUri().getPath().removeprefix(root))
         if name is not None and now_ms - st.getModificationTime() >= stable_seconds * 1000:
             stable.append((st.getModificationTime(), name, st.getPath()))
-    moved = []
-    for _, name, path in sorted(stable, key=lambda s: s[:2]):
-        target = jvm.org.apache.hadoop.fs.Path(dst_dir, name)
-        if not fs.exists(target) and fs.rename(path, target):  # never overwrite
+    moved, ledger, refused = [], f"{ready}/{LEDGER}", f"{ready}/{REFUSED}"
+    for folder in (ledger, refused):
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+    for mtime, name, path in sorted(stable, key=lambda s: s[:2]):
+        target, entry = jvm.org.apache.hadoop.fs.Path(dst_dir, name), f"{ledger}/{name}"
+        file = f"{fs.getFileStatus(path).getLen()} {mtime}"
+        opened = pointer.read_text(spark, f"{entry}.open")
+        known = fs.exists(target) or pointer.exists(spark, f"{entry}.done") or opened not in (None, file)
+        if known:
+            if opened is not None:
+                _close(spark, entry)
+            fs.rename(path, jvm.org.apache.hadoop.fs.Path(refused, f"{uuid.uuid4().hex}-{name}"))
+            continue
+        if opened is None:
+            pointer.write(spark, f"{entry}.open", file)
+        if fs.rename(path, target):  # never overwrites
             moved.append(name)
+            _close(spark, entry)
     return sorted(moved)
 
 
+def _close(spark: SparkSession, entry: str) -> None:
+    """Marks a ledger entry as published: one rename."""
+    fs, path, jvm = _fs(spark, f"{entry}.open")
+    if not fs.rename(path, jvm.org.apache.hadoop.fs.Path(f"{entry}.done")):
+        fs.delete(path, False)  # it is closed already
+
+
 def watch_staging(spark: SparkSession, staging: str, ready: str, stop: threading.Event,
                   stable_seconds: int = STABLE_SECONDS, rescan_seconds: float = RESCAN_SECONDS) -> int:
     """Rescan and publish until ``stop`` is set; return the number of published files."""

@@ -20,18 +20,21 @@ own roll intervals.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shopstream.functions.columns import parse_iso_ts
 from shopstream.operators import alerts, decode, metrics
 from shopstream.schema import (ALERT_THRESHOLD, EVENT_COLUMNS, WATERMARK_DELAY, WINDOW_SIZE,
                                WINDOW_SLIDE)
-from shopstream.sinks import changelog
+from shopstream.session import make_dirs
+from shopstream.sinks import changelog, pointer, serving_store
 from shopstream.sources.jsonl import PUBLISHED_GLOB
 
 POLL_INTERVAL = "2 seconds"
@@ -120,6 +123,85 @@ def quarantine(spark: SparkSession, decoded_path: str) -> DataFrame:
             .filter(F.col(OUTCOME) == "reject").select("reason", "line_head"))
 
 
+REJECT_SCHEMA = "reason string, line_head string"
+
+
+def start_rejects(spark: SparkSession, source_dir: str, rejects_path: str, checkpoint: str,
+                  trigger: Trigger = Trigger(), **source_opts) -> StreamingQuery:
+    """Broken lines of a folder stream: reason and line head, as an exactly-once Parquet table.
+
+    Only the fields that the reasons need are parsed. The lines of each batch and
+    the rejects among them are observed under the name ``decode``, so they show
+    in the query's progress without a pass of their own.
+    """
+    lines = decode.decode_lines(text_source(spark, source_dir, **source_opts), fields=())
+    seen = lines.observe("decode", F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejects"))
+    return (seen.filter(F.col("reason").isNotNull())
+            .select("reason", F.substring("line", 1, decode.LINE_HEAD_CHARS).alias("line_head"))
+            .writeStream.format("parquet").option("path", rejects_path)
+            .option("checkpointLocation", checkpoint).trigger(**trigger.kwargs()).start())
+
+
+def rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """Rejected lines so far (reason, first 200 characters)."""
+    return spark.read.schema(REJECT_SCHEMA).parquet(rejects_path)
+
+
+LATE_FIELDS = ("event_id", "event_type", "event_time", "ingested_at", "product_id")
+LATE_SCHEMA = ("event_id string, event_type string, product_id string, event_ms long, watermark_ms long, "
+               "closed_windows long, batch_id long")
+
+
+def late_writer(path: str, watermark: str = WATERMARK_DELAY, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE):
+    """``foreachBatch`` function: the rows of a batch that lie behind the watermark, and how many of their windows are closed.
+
+    The watermark of a batch is the greatest event time of all batches before it,
+    less the delay. Each batch writes its greatest event time under its own id, so
+    a replayed batch finds the same watermark and replaces its own rows.
+    """
+    size_ms, slide_ms, delay_ms = (alerts.duration_ms(x) for x in (size, slide, watermark))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        maxima = f"{path}/maxima"
+        batch = batch.persist()
+        try:
+            (batch.agg(F.max("event_ms").alias("greatest")).withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(changelog.BATCH_COL).parquet(maxima))
+            before = spark.read.schema("greatest long, batch_id long").parquet(maxima).where(
+                F.col(changelog.BATCH_COL) < batch_id).agg(F.max("greatest")).first()[0]
+            mark = None if before is None else before - delay_ms
+            late = batch.where(F.col("event_ms") < F.lit(mark).cast("long"))
+            # the windows of a row end a size after each slide, the last one after the slide it lies in
+            last_end = F.col("event_ms") - F.pmod("event_ms", F.lit(slide_ms)) + size_ms
+            first_end = last_end - F.expr(f"(({size_ms} - pmod(event_ms, {slide_ms}) - 1) div {slide_ms}) * {slide_ms}")
+            closed = F.floor((F.least(F.lit(mark).cast("long"), last_end) - first_end) / slide_ms) + 1
+            (late.select("event_id", "event_type", "product_id", "event_ms", F.lit(mark).cast("long").alias("watermark_ms"),
+                         F.greatest(closed, F.lit(0)).cast("long").alias("closed_windows"),
+                         F.lit(batch_id).cast("long").alias(changelog.BATCH_COL))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(changelog.BATCH_COL).parquet(f"{path}/rows"))
+        finally:
+            batch.unpersist()
+    return write
+
+
+def start_late_rows(spark: SparkSession, source_dir: str, path: str, checkpoint: str, trigger: Trigger = Trigger(),
+                    watermark: str = WATERMARK_DELAY, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
+                    **source_opts) -> StreamingQuery:
+    """Side output of the window flow: every decoded event that arrives behind the watermark."""
+    make_dirs(spark, f"{path}/rows")
+    events = decoded_stream(spark, source_dir, LATE_FIELDS, **source_opts)
+    return (events.writeStream.foreachBatch(late_writer(path, watermark, size, slide))
+            .option("checkpointLocation", checkpoint).trigger(**trigger.kwargs()).start())
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Late rows so far, with the watermark that they met and the batch."""
+    return spark.read.schema(LATE_SCHEMA).parquet(f"{path}/rows")
+
+
 def product_metrics_stream(events: DataFrame) -> DataFrame:
     return metrics.product_metrics(events)
 
@@ -157,18 +239,37 @@ def _session_conf(spark: SparkSession, key: str, value: str | None):
 
 def start_upsert(result: DataFrame, sink_path: str, checkpoint: str, output_mode: str,
                  trigger: Trigger = Trigger(), name: str | None = None,
-                 state_partitions: int | None = None) -> StreamingQuery:
+                 state_partitions: int | None = None, keys: Sequence[str] | None = None,
+                 compact_every: int | None = changelog.COMPACT_EVERY, cells=None,
+                 cells_path: str | None = None) -> StreamingQuery:
     """Run ``result`` into a replay-safe change log at ``sink_path``.
 
     ``state_partitions`` fixes the number of state-store partitions for a new
     checkpoint (Spark takes it from ``spark.sql.shuffle.partitions`` when the
     query starts and keeps it for the checkpoint's life); ``None`` keeps the
-    session's setting.
+    session's setting.  With ``keys`` (or in append mode) the log is compacted
+    every ``compact_every`` batches.  ``cells`` maps the batch's rows to serving
+    cells, which the same micro-batch writes to the store at ``cells_path``.
     """
     spark = result.sparkSession
+    append_only = output_mode == "append"
     changelog.init_log(spark, sink_path, result.schema)
+    rows = changelog.batch_writer(sink_path, keys, result.schema,
+                                  compact_every if keys or append_only else None, append_only)
+    write = rows
+    if cells is not None:
+        stored = serving_store.batch_writer(cells_path, compact_every)
+        serving_store.init(spark, cells_path)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                rows(batch, batch_id)
+                stored(cells(batch), batch_id)
+            finally:
+                batch.unpersist()
     w = (result.writeStream.outputMode(output_mode)
-         .foreachBatch(changelog.batch_writer(sink_path))
+         .foreachBatch(write)
          .option("checkpointLocation", checkpoint)
          .trigger(**trigger.kwargs()))
     if name:
@@ -183,7 +284,7 @@ def start_product_metrics(spark: SparkSession, source_dir: str, sink_path: str,
                           **source_opts) -> StreamingQuery:
     res = product_metrics_stream(decoded_stream(spark, source_dir, metrics.INPUT_FIELDS,
                                                 **source_opts))
-    return start_upsert(res, sink_path, checkpoint, "update", trigger)
+    return start_upsert(res, sink_path, checkpoint, "update", trigger, keys=["product_id"])
 
 
 def start_click_windows(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
@@ -287,8 +388,42 @@ def start_console(result: DataFrame, output_mode: str = "append",
     return w.start()
 
 
+class DropCounter(StreamingQueryListener):
+    """Keeps the rows that stateful operators dropped as late, one small file per query and batch.
+
+    A query's own progress list is short; these counts stay, and a batch that is
+    run again replaces its own. Attach with ``spark.streams.addListener``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the listener's names
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if dropped:
+            file = f"{self.path}/{p.id}-{p.batchId}.json"
+            pointer.delete(self.spark, file)
+            pointer.write(self.spark, file, json.dumps(
+                {"query_id": str(p.id), "batch_id": p.batchId, "dropped": dropped}) + "\n")
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def counts(self) -> DataFrame:
+        """(query_id, batch_id, dropped) of every batch that dropped rows."""
+        make_dirs(self.spark, self.path)
+        return self.spark.read.schema("query_id string, batch_id long, dropped long").json(self.path)
+
+
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """Late rows the stateful operators dropped, over the query's recent progress."""
+    """Late rows the stateful operators dropped, over the query's recent progress (see :class:`DropCounter`)."""
     total = 0
     for p in q.recentProgress:
         for op in p.get("stateOperators", []) or []:
