@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import cut, text_of
+from shopstream.llm.tokens import batches as grouped
 from shopstream.llm.tokens import encoder
 
 ROWS = 512  # documents whose ids a task holds at a time
@@ -37,7 +38,8 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *
         tokens = encoder(vocabulary, CACHE)
         part, at = TaskContext.get().partitionId(), 0
         for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
-            ids = [tokens.encode(text) + end for text in batch.column(1).to_pylist()]
+            ids = [x + end for rows in grouped(zip(batch.column(1).to_pylist()))
+                   for x in tokens.encode_batch([text for text, in rows])]
             sizes = [len(x) // 4 for x in ids]
             starts = list(accumulate(sizes, initial=at))
             at = starts.pop()

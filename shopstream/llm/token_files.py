@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import cut, open_store, text_of
+from shopstream.llm.tokens import batches as grouped
 from shopstream.llm.tokens import encoder
 from shopstream.session import new_run_dir
 
@@ -165,8 +166,9 @@ def write_files(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: i
                 store.create_dir(folder, recursive=True)
                 sink = store.open_output_stream(path, compression=None)
                 writer = FileWriter(sink, bits, level)
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                writer.add(doc_id, tokens.encode(text) + end)
+            for rows in grouped(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                for (doc_id, _), ids in zip(rows, tokens.encode_batch([text for _, text in rows])):
+                    writer.add(doc_id, ids + end)
         if writer is not None:
             size = writer.close()
             sink.close()

@@ -15,36 +15,53 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 from shopstream.llm.common import hold
+from shopstream.llm.text_runs import BLANK, run_hashes
 
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
+BATCH_BYTES = 1 << 20  # texts that are encoded together
+BATCH_TEXTS = 512
 _CLOSING = b".,;:!?"
 
 # U+00DF-U+00FF without the division sign, as UTF-8
 _ACCENTED = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
-_LATIN = {False: re.compile(_ACCENTED), True: re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")}
+# a plain word and its closing marks; with one space before it and capitals, if they count
+_PLAIN = {False: re.compile(rb"(" + _ACCENTED + rb")([.,;:!?]*)"),
+          True: re.compile(rb"( ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")}
 # byte-level vocabularies write a byte as a visible character: itself, or the next one from U+0100 on
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _VISIBLE = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
-_CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # the other characters that some engine counts as white space
 _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    They are those of the library's call with ``add_special_tokens=False`` and
+    nothing else set: the string of a special token in a text becomes that token.
+    With ``special_as_text`` such strings are ordinary text.
+    """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as fh:
             spec = json.load(fh)
         split = json.dumps(spec.get("pre_tokenizer"))
         self.drops_blanks = "</w>" == spec["model"].get("end_of_word_suffix") and '"Removed"' in split
         self.byte_level = not self.drops_blanks and '"use_regex": true' in split
+        self.added = [t["content"].lower().encode() for t in spec.get("added_tokens", ())]
+        vocab = self.tokenizer.get_vocab()
+        # bytes of the text that a token stands for: these vocabularies write one character per byte
+        self.lengths = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        for token, k in vocab.items():
+            self.lengths[k] = len(token.removesuffix("</w>"))
         self.cache = cache
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -53,52 +70,130 @@ class Encoder:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
-        """Ids of chunks. A plain Latin word is one piece to the library, so its model takes it directly."""
-        tokenize = self.tokenizer.model.tokenize
-        others = [c for c in chunks if not self._word(c)]
-        encoded = iter(self._library([c.decode() for c in others]))
-        for c in chunks:
-            if self._word(c):
-                yield array("I", [t.id for t in tokenize(c.decode("latin-1").translate(_VISIBLE))]).tobytes()
-            else:
-                yield next(encoded)
-
-    def _word(self, chunk: bytes) -> bool:
-        """Lower-case ASCII letters and accented Latin ones (with one space before them, if blanks count)."""
-        return _LATIN[not self.drops_blanks].fullmatch(chunk) is not None
+    def _words(self, words: list[bytes]) -> list[bytes] | None:
+        """Ids of each word from one call: the bytes that tokens stand for tell where a word ends."""
+        ids = np.array(self.tokenizer.encode_batch_fast([(b" " if self.drops_blanks else b"").join(words).decode()],
+                                                        add_special_tokens=False)[0].ids, "<u4")
+        if not len(ids):
+            return None
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in words])
+        at = np.minimum(np.searchsorted(ends, wanted), len(ids) - 1)
+        if ends[-1] != wanted[-1] or not np.array_equal(ends[at], wanted):
+            return None
+        raw, stops = ids.tobytes(), ((at + 1) * 4).tolist()
+        return [raw[lo:hi] for lo, hi in zip([0, *stops], stops)]
 
     def encode(self, text: bytes) -> bytes:
         """Ids of one text."""
         return self.encode_batch([text])[0]
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text; what the cache lacks goes to the library in one call."""
-        split = bytes.split if self.drops_blanks else _CHUNK.findall
-        chunked: list[list[bytes] | None] = []
-        for text in texts:
-            known = self.drops_blanks or self.byte_level and not _OTHER_BLANKS.search(text.decode())
-            chunked.append(split(text) if known else None)
+        """Ids of each text.
+
+        The chunks of all texts are told apart by their hashes, so each
+        different one is looked up once; what the cache lacks goes to the
+        library in one call.
+        """
+        mine = [k for k, text in enumerate(texts) if text and self._by_chunks(text)]
+        out = [b""] * len(texts)
+        for k in set(range(len(texts))).difference(mine):
+            if texts[k]:
+                out[k] = self._library([texts[k].decode()])[0]
         if len(self.new) > self.cache:
             self.old, self.new = self.new, {}
-        wanted = set().union(*[c for c in chunked if c is not None])
+        # a blank between texts, where blanks part chunks; nothing where they belong to them
+        gap = b" " if self.drops_blanks else b""
+        buffer = gap.join([*(texts[k] for k in mine), b""])
+        data = np.frombuffer(buffer, np.uint8)
+        stops = np.cumsum([len(texts[k]) + len(gap) for k in mine], dtype=np.int64)
+        blank = BLANK[data]
+        if self.drops_blanks:
+            edges = np.diff(np.r_[True, blank, True].astype(np.int8))
+            starts, ends = np.flatnonzero(edges < 0), np.flatnonzero(edges > 0)
+        else:
+            last = ~blank & np.r_[blank[1:], True]
+            last[stops - 1] = True
+            ends = np.flatnonzero(last) + 1
+            starts = np.r_[0, ends[:-1]] if len(ends) else ends
+        if not len(starts):
+            return out
+        sizes = ends - starts
+        _, first, which = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        # the bytes decide: a chunk must equal the first one of its hash
+        away = np.repeat(starts[first][which] - starts, sizes)
+        inside = np.flatnonzero(~blank) if self.drops_blanks else np.arange(len(data))
+        if not (np.array_equal(sizes[first][which], sizes) and np.array_equal(data[inside], data[inside + away])):
+            first, which = np.arange(len(starts)), np.arange(len(starts))
+        chunks = [buffer[lo:hi] for lo, hi in zip(starts[first].tolist(), ends[first].tolist())]
         new = self.new
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        missing: dict[bytes, None] = {}
-        for chunk in wanted:
-            if chunk not in new:
-                parts[chunk] = own = self._parts(chunk)
-                for part in own:
-                    if part and part not in new:
-                        if part in self.old:
-                            new[part] = self.old[part]
-                        else:
-                            missing[part] = None
-        new.update(zip(missing, self._chunks(list(missing))))
-        for chunk, (body, tail) in parts.items():
+        ids = list(map(new.get, chunks))
+        if None in ids:
+            gaps = [k for k, known in enumerate(ids) if known is None]
+            self._learn({chunks[k] for k in gaps})
+            for k in gaps:
+                ids[k] = new[chunks[k]]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        offsets = np.cumsum(counts) - counts
+        counts = counts[which]
+        ends_at = np.cumsum(counts)
+        all_ids = flat[np.repeat(offsets[which] - ends_at + counts, counts) + np.arange(ends_at[-1])].tobytes()
+        bounds = np.r_[0, ends_at][np.searchsorted(starts, np.r_[0, stops])] * 4
+        for k, lo, hi in zip(mine, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[k] = all_ids[lo:hi]
+        return out
+
+    def _by_chunks(self, text: bytes) -> bool:
+        if self.added and b"<" in text:
+            lowered = text.lower()
+            if any(token in lowered for token in self.added):
+                return False
+        return self.drops_blanks or self.byte_level and (text.isascii() or not _OTHER_BLANKS.search(text.decode()))
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Adds chunks to the cache, from the older generation, their parts or the library."""
+        new, old, plain = self.new, self.old, _PLAIN[not self.drops_blanks].fullmatch
+        parts: list[tuple[bytes, bytes, bytes]] = []
+        words: dict[bytes, None] = {}
+        others: dict[bytes, None] = {}
+        for chunk in chunks:
+            known = old.get(chunk)
+            if known is not None:
+                new[chunk] = known
+                continue
+            match = plain(chunk)
+            if match is not None:
+                body, tail = match.groups()
+                if not tail:
+                    words[chunk] = None
+                    continue
+                missing = words
+            else:
+                body, tail = self._parts(chunk)
+                missing = words if plain(body) else others
+            parts.append((chunk, body, tail))
+            for part, kind in ((body, missing), (tail, others)):
+                if part and part not in new:
+                    known = old.get(part)
+                    if known is None:
+                        kind[part] = None
+                    else:
+                        new[part] = known
+        new.update(zip(others, self._library([c.decode() for c in others])))
+        self._learn_words(list(words))
+        for chunk, body, tail in parts:
             new[chunk] = new[body] + new[tail] if tail else new[body]
-        return [b"".join([new[c] for c in chunks]) if chunks is not None else self._library([text.decode()])[0]
-                for text, chunks in zip(texts, chunked)]
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """A plain Latin word is one piece to the library, so words go there side by side."""
+        new, tokenize = self.new, self.tokenizer.model.tokenize
+        joined = [c for c in words if self.drops_blanks or c[:1] == b" "]
+        for at in range(0, len(joined), 2000):
+            some = joined[at:at + 2000]
+            new.update(zip(some, self._words(some) or ()))
+        for c in words:
+            if c not in new:
+                new[c] = array("I", [t.id for t in tokenize(c.decode("latin-1").translate(_VISIBLE))]).tobytes()
 
     def _parts(self, chunk: bytes) -> tuple[bytes, bytes]:
         """A chunk as body and closing marks, which never share a token with a letter or digit before them."""
@@ -119,3 +214,16 @@ def encoder(path: str, cache: int = CACHE) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path, cache)
     return _ENCODERS[path]
+
+
+def batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Lists of rows whose last field is a text: ``BATCH_TEXTS`` texts or about ``BATCH_BYTES`` bytes each."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1])
+        if len(held) >= BATCH_TEXTS or size >= BATCH_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

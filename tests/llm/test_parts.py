@@ -21,15 +21,32 @@ from shopstream.llm.tokens import Encoder  # noqa: E402
 def test_encoder_equals_the_library(name):
     import public_tokenizers
 
-    encoder = Encoder(str(public_tokenizers.path(name)))
+    from tokenizers import Tokenizer
+
+    encoder, fresh = Encoder(str(public_tokenizers.path(name))), Tokenizer.from_file(str(public_tokenizers.path(name)))
     rnd = random.Random(3)
     letters = "abÉé÷ 'é́가\xa0　\t\n\x0b\x1c\x85.1,!?'sΣ<|endoftext|>"
     for _ in range(1500):
         text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(14)))
-        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        want = fresh.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == want, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_in_a_text_are_what_the_library_makes_of_them(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path(name))
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|>", "x<|startoftext|>y", "<|endoftext", "a < b |> c", "many words, " * 50]
+    for special in (False, True):
+        encoder, fresh = Encoder(path, special_as_text=special), Tokenizer.from_file(path)
+        fresh.encode_special_tokens = special
+        want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+        got = encoder.encode_batch([t.encode() for t in texts])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
 def test_a_worker_holds_the_caches_of_one_operator():
     from shopstream.llm import common, decontaminate, toxicity
 
