@@ -41,57 +41,41 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import cut, hold, join_classes, text_of
+from shopstream.llm.common import cut, join_classes, text_of
 from shopstream.llm.components import components
 from shopstream.llm.decontaminate import FILTER_BITS, _passes, seed_filter
+from shopstream.llm.text_runs import ODD, mix, words
+from shopstream.llm.tokens import batches as grouped
 
 COUNTED = 4            # one token in so many has its documents counted
-TABLE = 1_000_000      # frequent tokens that reach the tasks, at most
+TABLE = 250_000        # frequent tokens that reach the tasks, at most
 PAIRS_FROM = 7         # tokens of 2**7 documents or more are indexed in pairs
 TRIPLES_FROM = 14      # and those of 2**14 or more in triples
 SHORT = 64             # smaller sets index single tokens only
 PER_CLASS = {2: 4, 3: 6}  # tokens of a full prefix in a class of pairs, of triples
 BITMAP_BITS = 4096     # of a bitmap, at most; it has one bit per token up to that
 CELL = 4096            # nodes of a signature that one task compares with each other
-_ROWS = 256
-_CACHE = 500_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    """64-bit hash of each word, remembered in a bounded number."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 11)
-        return found
-
-
-_WORDS = _WordHashes()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def token_set(text: bytes, size: int = 3) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; the whole sequence if it has fewer words."""
-    words = text.lower().split()  # ASCII letters and ASCII blanks only
-    own = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(size, len(own))
-    if not size:
-        return own
-    out = np.full(len(own) - size + 1, size, np.uint64)
+def token_sets(texts: list[bytes], size: int = 3) -> list[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text; the whole sequence if it has fewer words."""
+    own, bounds = words(texts)
+    grams = np.full(max(0, len(own) - size + 1), size, np.uint64)
     for k in range(size):
-        out = _mix(out * _ODD + own[k:len(own) - size + 1 + k])
-    return np.unique(out)
+        grams = mix(grams * ODD + own[k:len(own) - size + 1 + k])
+    out = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if hi - lo >= size:
+            out.append(np.unique(grams[lo:hi - size + 1]))
+            continue
+        whole = np.full(min(1, hi - lo), hi - lo, np.uint64)
+        for k in range(lo, hi):
+            whole = mix(whole * ODD + own[k])
+        out.append(whole)
+    return out
 
 
 def digest(tokens: np.ndarray) -> tuple[int, int]:
@@ -147,12 +131,12 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarr
                 held = classes.setdefault((k, int(tokens[at] >> np.uint64(20)) % count), [])
                 held.append(at)
                 needed += len(held) >= k
-        salt = np.uint64(band * int(_ODD) & (1 << 64) - 1)
-        out.append(_mix(tokens[singles] + salt))
+        salt = np.uint64(band * int(ODD) & (1 << 64) - 1)
+        out.append(mix(tokens[singles] + salt))
         for (k, _), held in classes.items():
             if len(held) >= k:
                 picked = tokens[np.array(list(combinations(held, k)))]
-                out.append(_mix(_mix(picked).sum(axis=1, dtype=np.uint64) + salt + np.uint64(k)))
+                out.append(mix(mix(picked).sum(axis=1, dtype=np.uint64) + salt + np.uint64(k)))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
@@ -175,12 +159,10 @@ def _sets(size: int, emit):
     """A task over (doc_id, text) rows; ``emit`` turns (doc ids, sets) into a record batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("ngram-join", _WORDS.clear)
         state: dict = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                ids, texts = (batch.column(k).slice(at, _ROWS) for k in range(2))
-                yield emit(ids, [token_set(t, size) for t in texts.to_pylist()], state)
+            for rows in grouped(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                yield emit([r[0] for r in rows], token_sets([r[1] for r in rows], size), state)
     return run
 
 
@@ -200,7 +182,7 @@ def summaries(texts: DataFrame, size: int) -> DataFrame:
     def emit(ids, sets, _):
         names = [digest(s) for s in sets]
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in names], pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in names], pa.int64()),
              pa.array([d[1] for d in names], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())],
             names=["doc_id", "n", "d1", "d2", "bits"])
 
@@ -233,10 +215,8 @@ def frequent_tokens(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
     return (rows["token"].to_numpy(np.int64).view(np.uint64)[order], rows["power"].to_numpy(np.int8)[order])
 
 
-def signature_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(sig, d1, d2): the signatures of each set, once per task and set."""
-    table, power = frequent_tokens(texts, size)
-    held = texts.sparkSession.sparkContext.broadcast((table, power))
+def signature_rows(texts: DataFrame, size: int, percent: int, held) -> DataFrame:
+    """(sig, d1, d2): the signatures of each set, once per task and set; ``held`` is the broadcast table of frequent tokens."""
 
     def emit(_, sets, state):
         sigs, d1, d2 = [np.zeros(0, np.uint64)], [], []
@@ -275,7 +255,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, d1, d2 = sig[new], d1[new], d2[new]
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         sizes = np.diff(np.r_[starts, len(sig)])
-        names = _mix(np.add.reduceat(_mix(d1.view(np.uint64) ^ _mix(d2.view(np.uint64))), starts))
+        names = mix(np.add.reduceat(mix(d1.view(np.uint64) ^ mix(d2.view(np.uint64))), starts))
         keep = np.repeat(sizes > 1, sizes)
         # named buckets repeat: one of them goes on
         bucket = np.repeat(names, sizes)[keep]
@@ -294,7 +274,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if streaming is not None:
             own = int(np.searchsorted(rows[0], streaming, "right"))
             if own:
-                yield batch(_mix(rows[0][:own].view(np.uint64) + _ODD), rows[1][:own], rows[2][:own])
+                yield batch(mix(rows[0][:own].view(np.uint64) + ODD), rows[1][:own], rows[2][:own])
             rows = [r[own:] for r in rows]
             if not len(rows[0]):
                 held = rows
@@ -309,7 +289,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [r[last:] for r in rows]
         if len(held[0]) > _HELD:
             streaming = held[0][0]
-            yield batch(_mix(held[0].view(np.uint64) + _ODD), held[1], held[2])
+            yield batch(mix(held[0].view(np.uint64) + ODD), held[1], held[2])
             held = [np.zeros(0, np.int64)] * 3
     if len(held[0]):
         yield whole(*held)
@@ -443,6 +423,7 @@ def verified(spark: SparkSession, texts: DataFrame, nodes: DataFrame, edges: Dat
 
     sets = texts.mapInArrow(_sets(size, emit), "d1 long, d2 long, tokens binary")
     sets = cut(spark, sets.join(wanted, ["d1", "d2"]).select("node", "tokens").dropDuplicates(["node"]), "ngram-sets")
+    marks.unpersist()
 
     @F.pandas_udf("boolean")
     def linked(a, b):
@@ -472,7 +453,9 @@ def join(spark: SparkSession, docs: DataFrame, *, size: int = 3, percent: int =
     nodes = cut(spark, rows.where("n > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("n_docs"), F.max("n").alias("n"),
         F.max("bits").alias("bits")).withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
-    dealt = cut(spark, buckets(spark, signature_rows(texts, size, percent), nodes), "ngram-dealt")
+    held = spark.sparkContext.broadcast(frequent_tokens(texts, size))
+    dealt = cut(spark, buckets(spark, signature_rows(texts, size, percent, held), nodes), "ngram-dealt")
+    held.unpersist()
     checked = verified(spark, texts, nodes, cut(spark, candidates(dealt, percent), "ngram-edges"), size, percent)
     links = checked.where("linked").select("a", "b")
     failed = checked.where("not linked")
