@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,16 +78,42 @@ def hold(owner: str, release: Callable[[], None]) -> None:
     _HELD[owner] = release
 
 
+# schemes of Spark's file systems that a task's own reader and writer knows under another name
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "file": "file",
+            "abfs": "abfs", "abfss": "abfss", "s3": "s3"}
+
+
+def shared_folder(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark would give it, checked before any task runs.
+
+    A path without a scheme lies on the default file system of the cluster, not
+    on the disk of each executor.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    scheme = uri.partition(":")[0]
+    if scheme not in _SCHEMES:
+        raise ValueError(f"tasks cannot write to {scheme}: give a folder on {', '.join(sorted(_SCHEMES))}")
+    return uri
+
+
+def task_uri(uri: str) -> str:
+    """A folder of ``shared_folder`` under the scheme that tasks know."""
+    scheme, _, rest = uri.partition(":")
+    if scheme not in _SCHEMES or not rest:
+        raise ValueError(f"not a shared folder: {uri}")
+    return f"{_SCHEMES[scheme]}:{rest}"
+
+
 def open_store(uri: str):
-    """(file system, path) of ``uri`` for writes and reads from tasks.
+    """(file system, path) of a folder of ``shared_folder``, for writes and reads from tasks.
 
     Only the shared work folder is reached this way; tables are read by Spark.
     """
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), os.path.abspath(uri)
+    uri = task_uri(uri)
     if uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri[len("file:"):].replace("//", "/") if not uri.startswith("file://") \
-            else uri[len("file://"):]
+        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
     return fs.FileSystem.from_uri(uri)

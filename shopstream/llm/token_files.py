@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import cut, open_store, text_of
+from shopstream.llm.common import cut, open_store, shared_folder, text_of
 from shopstream.llm.tokens import batches as grouped
 from shopstream.llm.tokens import encoder
 from shopstream.session import new_run_dir
@@ -153,7 +153,7 @@ class FileReader:
 def write_files(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *, out_dir: str | None = None,
                 bits: bool = False, level: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and write all documents in ascending id; returns the manifest."""
-    out_dir = out_dir or new_run_dir(spark, "llm-token-files")
+    out_dir = shared_folder(spark, out_dir or new_run_dir(spark, "llm-token-files"))
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import cut, open_store, text_of
+from shopstream.llm.common import cut, open_store, shared_folder, text_of
 from shopstream.session import new_run_dir
 
 # fixed values: the format's version line, the head of a response block and the name of the revisit profile
@@ -92,7 +92,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, *, out_dir: str | None
 
     Payloads of ``least`` bytes or more are deduplicated by digest.
     """
-    out_dir = out_dir or new_run_dir(spark, "llm-warc")
+    out_dir = shared_folder(spark, out_dir or new_run_dir(spark, "llm-warc"))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{uri_col}`").cast("string").alias("uri"),
                         text_of(payload_col).alias("payload"))
     rows = rows.withColumn("digest", digest_of(F.col("payload")))

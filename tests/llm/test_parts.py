@@ -141,3 +141,17 @@ def test_salvage_of_noise_and_of_nothing():
     noise = bytes(range(256)) * 40
     assert [(at, n, head) for at, n, head, _, _ in warc.salvage(io.BytesIO(noise), len(noise))] == [(0, len(noise), None)]
     assert list(warc.salvage(io.BytesIO(b""), 0)) == []
+
+
+def test_stores_of_tasks(tmp_path):
+    from pyarrow import fs
+
+    from shopstream.llm.common import open_store, task_uri
+
+    for uri in (f"file:{tmp_path}", f"file://{tmp_path}", f"file:///{str(tmp_path).lstrip('/')}"):
+        assert open_store(uri) == (fs.LocalFileSystem(), str(tmp_path))
+    assert task_uri("s3a://bucket/folder/x") == "s3://bucket/folder/x"
+    assert task_uri("hdfs://name:8020/x") == "hdfs://name:8020/x"
+    for uri in (str(tmp_path), "relative/path", "odd://x"):
+        with pytest.raises(ValueError):
+            open_store(uri)
