@@ -8,10 +8,11 @@ Reject reasons, checked in this order:
 * ``not_object``  — valid JSON whose root is not an object (array, string, …)
 * ``malformed``   — not parseable as one JSON value (truncated, trailing text,
   two objects on a line, …)
-* ``no_product``  — object without a non-empty ``product_id``
+* ``no_product``  — object whose ``product_id`` is missing, empty or another
+  falsy value (``0``, ``false``, ``[]``, ``{}``); the text ``"0"`` is a product
 
-Accepted deviations from a per-line Python ``json.loads``: a numeric or
-boolean ``product_id`` is kept as its text; bare ``NaN`` / ``true`` as a money
+Accepted deviations from a per-line Python ``json.loads``: another number,
+``true`` or a filled array as ``product_id`` is kept as its text; bare ``NaN`` / ``true`` as a money
 value counts as 0.
 """
 
@@ -30,6 +31,7 @@ LINE_HEAD_CHARS = 200
 _SCALAR = r"^(-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null)$"
 # non-standard literals a Python JSON reader accepts as (non-object) values
 _PY_LITERAL = r"^(NaN|-?Infinity)$"
+_FALSY = r"^(-?0(\.0+)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$"
 
 
 def once(df: DataFrame, *cols: Column) -> DataFrame:
@@ -84,6 +86,9 @@ CASE
          THEN 'not_object' ELSE 'malformed' END
   WHEN _p IS NULL OR size(_p) <> 2 OR get(_p, 0) IS NULL THEN 'malformed'
   WHEN get(_p, 0).product_id IS NULL OR get(_p, 0).product_id = '' THEN 'no_product'
+  -- text that a falsy value would give: only then is the line looked at again, for the value's own type
+  WHEN get(_p, 0).product_id RLIKE r'{_FALSY}'
+       AND schema_of_variant(try_variant_get(try_parse_json(_t), '$.product_id', 'VARIANT')) <> 'STRING' THEN 'no_product'
 END"""
 
 

@@ -9,6 +9,8 @@ with the scan.  Helper columns ``event_seq``, ``event_ms`` and
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shopstream.session import app_id, default_parallelism, ensure_utc
@@ -51,28 +53,45 @@ def num_splits(df: DataFrame) -> int | None:
         return None
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Guarantee scan parallelism.
+def folder_version(spark: SparkSession, path: str) -> str:
+    """Fingerprint of the files at ``path``: names, sizes and modification times (metadata only).
 
-    Parquet splits at row-group granularity: a small table written as one
-    row group scans as a single task, leaving the per-row mapping and JSON
-    work on one core.  When the scan has fewer partitions than the cluster's
-    default parallelism, spread it round-robin; at scale (thousands of
-    splits) this is a no-op and adds no shuffle.
+    Caches of what was derived from a folder are keyed by it, so a table that
+    is rewritten under the same path is read anew.
     """
-    target = default_parallelism(df.sparkSession)
-    n = num_splits(df)
-    return df.repartition(target) if n is not None and n < target else df
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    if fs.exists(p):
+        listing = fs.listFiles(p, True)
+        while listing.hasNext():
+            st = listing.next()
+            found.append(f"{st.getPath()} {st.getLen()} {st.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    """Cache key of a table: application, path, version of its files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return app_id(spark), path, folder_version(spark, path)
 
 
-_SPLITS: dict[tuple[str, str], bool] = {}
+_SPLITS: dict[tuple[str, str, str], bool] = {}
 
 
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """:func:`read_table` + :func:`spread`, the split check done once per table."""
+    """:func:`read_table` with scan parallelism, the split check done once per table.
+
+    Parquet splits at row-group granularity: a small table written as one
+    row group scans as a single task, leaving the per-row mapping and JSON
+    work on one core.  When the scan has fewer partitions than the cluster's
+    default parallelism, spread it round-robin; at scale (thousands of
+    splits) this is a no-op and adds no shuffle.
+    """
     df = read_table(spark, sf_dir, name)
     target = default_parallelism(spark)
-    key = (app_id(spark), f"{sf_dir}/{name}")
+    key = table_version(spark, sf_dir, name)
     if key not in _SPLITS:
         n = num_splits(df)
         _SPLITS[key] = n is not None and n < target

@@ -66,7 +66,7 @@ def damaged_lines(events: DataFrame, drop_product_key: bool = False) -> DataFram
     return events.select(line.alias("value"))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 LANDED_BATCHES = 5  # micro-batches that even a small table is landed for
 
 
@@ -84,10 +84,10 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
     modification times, so a stream that takes a few files per trigger sees
     the events as they arrived and its watermark drops none of them.
     """
-    from shopstream.sources.adapter import driver_events, num_splits
+    from shopstream.sources.adapter import driver_events, num_splits, table_version
     from shopstream.sources.publish import order_files
 
-    key = (app_id(spark), sf_dir)
+    key = table_version(spark, sf_dir, "events")
     if key in _LANDED:
         return _LANDED[key]
     path = new_run_dir(spark, "landing")
@@ -105,14 +105,14 @@ def files_per_trigger(spark: SparkSession) -> int:
     return max(2, default_parallelism(spark) // 4)
 
 
-_LANDED_DAMAGED: dict[tuple[str, str], str] = {}
+_LANDED_DAMAGED: dict[tuple[str, str, str], str] = {}
 
 
 def landed_damaged_lines(spark: SparkSession, sf_dir: str) -> str:
     """The quarantine fixture landed once per session as text files (``part-*.txt``)."""
-    from shopstream.sources.adapter import driver_events
+    from shopstream.sources.adapter import driver_events, table_version
 
-    key = (app_id(spark), sf_dir)
+    key = table_version(spark, sf_dir, "events")
     if key not in _LANDED_DAMAGED:
         path = new_run_dir(spark, "landing-damaged")
         damaged_lines(driver_events(spark, sf_dir, spread_scan=True)).write.mode(

@@ -318,7 +318,9 @@ def landing_writer(raw_path: str | None, staging_path: str | None):
 
     Lines are kept byte for byte (text sink, ``part-*.txt`` files). The batch
     scan reads the archive as it is; the stable-file gate publishes staged
-    files under the ``.json`` names that streams read.
+    files under the ``.json`` names that streams read.  Rows are rebalanced
+    before a write: a date gets one file a batch, and more only beyond the
+    advisory partition size, instead of one per task that met the date.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn(changelog.BATCH_COL, F.lit(batch_id).cast("long"))
@@ -330,11 +332,11 @@ def landing_writer(raw_path: str | None, staging_path: str | None):
                 ts = parse_iso_ts(F.get_json_object("value", "$.event_time"))
                 date = F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown"))
                 (b.withColumn("event_date", date)
-                 .select("value", "event_date", changelog.BATCH_COL)
+                 .select("value", "event_date", changelog.BATCH_COL).hint("rebalance", "event_date")
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("event_date", changelog.BATCH_COL).text(raw_path))
             if staging_path is not None:
-                (b.select("value", changelog.BATCH_COL)
+                (b.select("value", changelog.BATCH_COL).hint("rebalance")
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(changelog.BATCH_COL).text(staging_path))
         finally:

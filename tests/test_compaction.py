@@ -198,3 +198,14 @@ def test_drop_counts_outlive_the_progress_list(spark, tmp_dir):
     total = sum(r.dropped for r in counter.counts().collect())
     # late clicks of one batch and product meet in one partial window row before they are dropped
     assert total >= n - 2 and total > sq.rows_dropped_by_watermark(q)
+
+
+def test_landing_writes_one_file_a_date(spark, tmp_dir):
+    import glob
+
+    rows = [(f'{{"event_time":"2024-01-{d + 1:02d}T00:00:00Z","n":{k}}}',) for k in range(40) for d in range(30)]
+    lines = spark.createDataFrame(rows, "value string").repartition(8)
+    sq.landing_writer(f"{tmp_dir}/raw", f"{tmp_dir}/staging")(lines, 0)
+    files = glob.glob(f"{tmp_dir}/raw/event_date=*/batch_id=0/part-*")
+    assert len(files) == 30 and len(glob.glob(f"{tmp_dir}/staging/batch_id=0/part-*")) <= 8
+    assert spark.read.text(f"{tmp_dir}/raw").count() == spark.read.text(f"{tmp_dir}/staging").count() == 1200

@@ -117,3 +117,24 @@ def test_no_python_udf_in_decode(spark):
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert d.filter(F.col("event_id") == "e1").count() == 1
+
+
+def test_falsy_product_ids_are_no_product(spark):
+    ids = ["0", "0.0", "-0", "0e5", "false", "[]", "{}", "[ ]", "null", '""', '"0"', '"false"', '"[]"', "7", "true", "[1]"]
+    lines = spark.createDataFrame([(f'{{"event_type":"click","product_id":{i}}}',) for i in ids], "value string")
+    reasons = {r.line: r.reason for r in decode.decode_lines(lines).collect()}
+    got = [i for i in ids if reasons[f'{{"event_type":"click","product_id":{i}}}'] == "no_product"]
+    assert got == ids[:10]
+    assert {r for r in reasons.values()} == {None, "no_product"}
+
+
+def test_a_rewritten_table_is_read_anew(spark, tmp_dir):
+    from conftest import SF001
+    from shopstream.plans import catalogue
+
+    table = spark.read.parquet(f"{SF001}/events.parquet")
+    table.where("event_id < 100").write.parquet(f"{tmp_dir}/events.parquet")
+    first = catalogue.QUERIES["raw_logs"](spark, tmp_dir).count()
+    table.where("event_id >= 100").write.mode("overwrite").parquet(f"{tmp_dir}/events.parquet")
+    assert (first, catalogue.QUERIES["raw_logs"](spark, tmp_dir).count()) == (
+        table.where("event_id < 100").count(), table.where("event_id >= 100").count())
