@@ -7,8 +7,9 @@ manifest, written as a table, names the archives that count, so a lost
 executor or repeated task leaves nothing half done.
 
 The salvage reader checks each member (gzip's checksum, version line, lengths,
-digests). After a failed check it searches for the next valid member or version
-line, goes on from there, and logs the bytes between as a quarantined gap.
+digests of known labels). After a failed check it searches for the next valid member
+or version line, goes on from there, and logs the bytes between as a quarantined gap.
+A member may hold any number of records; the search goes on inside it likewise.
 Compressed and plain records may be mixed in one archive.
 
 Defined cases: a null payload is an empty one; a null id is read back as null,
@@ -180,14 +181,14 @@ def _inflate(window: _Source, at: int) -> tuple[bytes, int]:
     return b"".join(out), pos - len(press.unused_data)
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and length of the record at the start of ``data``; raises Damaged."""
-    if not _VERSION_LINE.match(data):
+def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and end of the record at ``data[at:]``; raises Damaged."""
+    if not _VERSION_LINE.match(data, at):
         raise Damaged("no version line")
-    stop = data.find(b"\r\n\r\n")
+    stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         raise Damaged("the header does not end")
-    lines = data[:stop].decode("utf-8", "replace").split("\r\n")[1:]
+    lines = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
     if not head.get("content-length", "").isdigit():
         raise Damaged("no content length")
@@ -198,15 +199,51 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     end = start + length + 4
     if not all(head.get(k) for k in ("warc-type", "warc-record-id", "warc-date")):
         raise Damaged("a mandatory header is missing", end)
-    digest = head.get("warc-block-digest", "").removeprefix("sha1:")
-    if digest and digest != base32_sha1(block):
+    if not digest_holds(head.get("warc-block-digest", ""), block):
         raise Damaged("the block's digest is wrong", end)
-    stated = head.get("warc-payload-digest", "").removeprefix("sha1:")
-    if stated and head.get("warc-type") != "revisit" and stated != base32_sha1(payload_of(head, block)):
+    if head.get("warc-type") != "revisit" and not digest_holds(
+            head.get("warc-payload-digest", ""), payload_of(head, block)):
         raise Damaged("the payload's digest is wrong", end)
     return head, block, end
 
 
+def digest_holds(stated: str, content: bytes) -> bool:
+    """Whether a labelled digest is that of ``content``; one of an unknown label or form is not checked."""
+    label, _, value = stated.rpartition(":")
+    name = label.lower().replace("-", "") or "sha1"
+    if name not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    found = hashlib.new(name, content, usedforsecurity=False).digest()
+    if len(value) == 2 * len(found):
+        return value.lower() == found.hex()
+    plain = base64.b32encode(found).decode().rstrip("=")
+    return len(value.rstrip("=")) != len(plain) or value.rstrip("=").upper() == plain
+
+
+def member_records(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """(offset, length, headers, block, reason) of the records and gaps of a member's content.
+
+    After a fault the search goes on at the next version line.
+    """
+    at, gap, reason = 0, None, ""
+    while at < len(data):
+        try:
+            head, block, end = parse(data, at)
+        except Damaged as fault:
+            if gap is None:
+                gap, reason = at, str(fault)
+            found = _VERSION_LINE.search(data, at + 1)
+            at = fault.end if fault.end is not None else found.start() if found else len(data)
+            continue
+        if gap is not None:
+            yield gap, at - gap, None, b"", reason
+            gap = None
+        yield at, end - at, head, block, ""
+        at = end
+    if gap is not None:
+        yield gap, len(data) - gap, None, b"", reason
+
+
 def payload_of(head: dict[str, str], block: bytes) -> bytes:
     """A record's payload: of an HTTP message, what follows its head."""
     if head.get("content-type", "").startswith("application/http"):
@@ -215,12 +252,17 @@ def payload_of(head: dict[str, str], block: bytes) -> bytes:
 
 
 def salvage(source, size: int) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
-    """(offset, length, headers, block, reason) of records, and of gaps (headers None) with their reason."""
+    """(offset, length, headers, block, reason) of records, and of gaps (headers None) with their reason.
+
+    The records of one gzip member all have its offset; its length is that of the
+    first, the others have 0. A gap between them has length 0 too, and its reason
+    tells its place in the member's content.
+    """
     window = _Source(source, size)
     at, gap, reason = 0, None, ""
     while at < size:
         try:
-            head, block, end = _record_at(window, at)
+            found, end = _records_at(window, at)
         except Damaged as fault:
             if gap is None:
                 gap, reason = at, str(fault)
@@ -229,22 +271,31 @@ def salvage(source, size: int) -> Iterator[tuple[int, int, dict[str, str] | None
         if gap is not None:
             yield gap, at - gap, None, b"", reason
             gap = None
-        yield at, end - at, head, block, ""
+        length = end - at
+        for head, block, why in found:
+            yield at, length, head, block, why
+            length = 0
         at = end
     if gap is not None:
         yield gap, size - gap, None, b"", reason
 
 
+def _records_at(window: _Source, at: int) -> tuple[list[tuple[dict[str, str] | None, bytes, str]], int]:
+    """(headers, block, reason) of the record at an offset, or of all records of the member there, and the end."""
+    if window.source_bytes(at, 3) != _GZIP:
+        head, block, end = _record_at(window, at)
+        return [(head, block, "")], end
+    data, end = _inflate(window, at)
+    found = [(head, block, f"bytes {pos} to {pos + n} of the member: {why}" if head is None else "")
+             for pos, n, head, block, why in member_records(data)]
+    sound = [r for r in found if r[0] is not None]
+    if not sound:
+        raise Damaged(found[0][2].partition("member: ")[2] if found else "an empty member", end)
+    # records first: the member's length goes to one of them
+    return sound + [r for r in found if r[0] is None], end
+
+
 def _record_at(window: _Source, at: int) -> tuple[dict[str, str], bytes, int]:
-    if window.source_bytes(at, 3) == _GZIP:
-        data, end = _inflate(window, at)
-        try:
-            head, block, used = parse(data)
-        except Damaged as fault:
-            raise Damaged(str(fault), end) from fault
-        if used != len(data):
-            raise Damaged("bytes after the record in its member", end)
-        return head, block, end
     length = 1 << 16
     while True:
         data = window.source_bytes(at, length)

@@ -155,3 +155,33 @@ def test_stores_of_tasks(tmp_path):
     for uri in (str(tmp_path), "relative/path", "odd://x"):
         with pytest.raises(ValueError):
             open_store(uri)
+
+
+def test_salvage_inside_one_member():
+    _, plain = records(5)
+    whole = warc._member(b"".join(plain))
+    found = list(warc.salvage(io.BytesIO(whole), len(whole)))
+    assert [h["warc-record-id"] for _, _, h, _, _ in found] == [warc.record_id(k) for k in range(5)]
+    assert sum(n for _, n, *_ in found) == len(whole)
+    hurt = bytearray(plain[2])
+    hurt[-8] ^= 0xFF  # within the block
+    damaged = warc._member(b"".join([*plain[:2], bytes(hurt), b"noise", *plain[3:]])) + warc._member(plain[0])
+    found = list(warc.salvage(io.BytesIO(damaged), len(damaged)))
+    assert [h["warc-record-id"] for _, _, h, _, _ in found if h] == [warc.record_id(k) for k in (0, 1, 3, 4, 0)]
+    gaps = [reason for _, _, h, _, reason in found if h is None]
+    assert gaps == [f"bytes {len(plain[0] + plain[1])} to {len(b''.join(plain[:3])) + 5} of the member: the block's digest is wrong"]
+
+
+@pytest.mark.parametrize("label,sound", [("sha256:{sha256}", True), ("sha256:{wrong}", False), ("blake3:0123", True),
+                                         ("sha1:{hex}", True), ("sha1:{short}", True), ("md5:{md5}", True)])
+def test_digests_are_checked_by_their_label(label, sound):
+    import hashlib
+
+    body = b"<p>body</p>"
+    values = {"sha256": hashlib.sha256(body).hexdigest(), "wrong": "0" * 64, "hex": hashlib.sha1(body).hexdigest(),
+              "short": "ABC", "md5": hashlib.md5(body).hexdigest()}
+    head = (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n"
+            f"WARC-Block-Digest: {label.format(**values)}\r\nContent-Length: {len(body)}\r\n\r\n").encode()
+    data = head + body + b"\r\n\r\n"
+    found = [h for _, _, h, _, _ in warc.salvage(io.BytesIO(data), len(data))]
+    assert (found[0] is not None) == sound
