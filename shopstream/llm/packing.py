@@ -24,7 +24,7 @@ from shopstream.llm.common import cut, text_of
 from shopstream.llm.tokens import batches as grouped
 from shopstream.llm.tokens import encoder
 
-ROWS = 512  # documents whose ids a task holds at a time
+ROWS = 256  # documents whose ids a task holds at a time
 CACHE = 250_000  # chunks in each generation of a worker's cache: the pipeline's other stages use its memory too
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SEGMENT = 1 << 21  # bytes that are hashed at once; a longer run makes a longer segment
+SEGMENT = 1 << 18  # bytes that are hashed at once; a longer run makes a longer segment
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True  # the ASCII blanks of the contracts

@@ -21,8 +21,8 @@ from shopstream.llm.common import hold
 from shopstream.llm.text_runs import BLANK, run_hashes
 
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
-BATCH_BYTES = 1 << 20  # texts that are encoded together
-BATCH_TEXTS = 512
+BATCH_BYTES = 1 << 18  # texts that are encoded together
+BATCH_TEXTS = 256
 _CLOSING = b".,;:!?"
 
 # U+00DF-U+00FF without the division sign, as UTF-8
