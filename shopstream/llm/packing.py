@@ -25,6 +25,7 @@ from shopstream.llm.tokens import batches as grouped
 from shopstream.llm.tokens import encoder
 
 ROWS = 256  # documents whose ids a task holds at a time
+BYTES = 1 << 18  # of texts that are encoded together: the pipeline leaves little memory to this stage
 CACHE = 250_000  # chunks in each generation of a worker's cache: the pipeline's other stages use its memory too
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 
@@ -38,7 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *
         tokens = encoder(vocabulary, CACHE)
         part, at = TaskContext.get().partitionId(), 0
         for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
-            ids = [x + end for rows in grouped(zip(batch.column(1).to_pylist()))
+            ids = [x + end for rows in grouped(zip(batch.column(1).to_pylist()), ROWS, BYTES)
                    for x in tokens.encode_batch([text for text, in rows])]
             sizes = [len(x) // 4 for x in ids]
             starts = list(accumulate(sizes, initial=at))

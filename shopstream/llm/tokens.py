@@ -21,8 +21,8 @@ from shopstream.llm.common import hold
 from shopstream.llm.text_runs import BLANK, run_hashes
 
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
-BATCH_BYTES = 1 << 18  # texts that are encoded together
-BATCH_TEXTS = 256
+BATCH_BYTES = 1 << 20  # texts that are encoded together
+BATCH_TEXTS = 512
 _CLOSING = b".,;:!?"
 
 # U+00DF-U+00FF without the division sign, as UTF-8
@@ -216,13 +216,13 @@ def encoder(path: str, cache: int = CACHE) -> Encoder:
     return _ENCODERS[path]
 
 
-def batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Lists of rows whose last field is a text: ``BATCH_TEXTS`` texts or about ``BATCH_BYTES`` bytes each."""
+def batches(rows: Iterator[tuple], most_texts: int = BATCH_TEXTS, most_bytes: int = BATCH_BYTES) -> Iterator[list[tuple]]:
+    """Lists of rows whose last field is a text: ``most_texts`` texts or about ``most_bytes`` bytes each."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[-1])
-        if len(held) >= BATCH_TEXTS or size >= BATCH_BYTES:
+        if len(held) >= most_texts or size >= most_bytes:
             yield held
             held, size = [], 0
     if held:
