@@ -10,11 +10,12 @@ cluster file system), not data processing, so it runs on the driver through
 the Hadoop ``FileSystem`` API and works on any Hadoop-compatible store.
 
 What was published is kept in a ledger, a folder of small files beside the read
-folder (``<ready>/_ledger``), so a batch that landing replays stays out even
+folder (``<ready>_ledger``), so a batch that landing replays stays out even
 after the source has archived the first copy.  An entry is written before the
 rename and closed after it; one that a crash left open names the file it meant
 (length and modification time), which tells the unpublished file from a replay.
-A refused duplicate moves to ``<ready>/_refused`` and is not listed again.
+A replayed batch's file moves to ``<ready>_refused`` and is not listed again; any other
+file of a published name stays in staging, for somebody to look at.
 
     python -m shopstream.sources.publish <staging> <ready>
 """
@@ -35,7 +36,7 @@ from shopstream.sources.jsonl import STABLE_SECONDS, is_temp_name
 PUBLISHED_SUFFIX = ".json"
 LANDED_SUFFIX = ".txt"
 RESCAN_SECONDS = 5
-LEDGER, REFUSED = "_ledger", "_refused"  # below the read folder, which readers skip by name
+LEDGER, REFUSED = "_ledger", "_refused"  # beside the read folder: its name with these endings
 # a task's file of a landed batch; the unique part of its name changes when the batch is replayed
 _BATCH_FILE = re.compile(r"(.*batch_id=\d+/part-\d+)-[0-9a-f-]{36}(.*)")
 
@@ -106,7 +107,7 @@ def publish_stable_files(spark: SparkSession, staging: str, ready: str,
         name = published_name(st.getPath().toUri().getPath().removeprefix(root))
         if name is not None and now_ms - st.getModificationTime() >= stable_seconds * 1000:
             stable.append((st.getModificationTime(), name, st.getPath()))
-    moved, ledger, refused = [], f"{ready}/{LEDGER}", f"{ready}/{REFUSED}"
+    moved, ledger, refused = [], ready.rstrip("/") + LEDGER, ready.rstrip("/") + REFUSED
     for folder in (ledger, refused):
         fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
     for mtime, name, path in sorted(stable, key=lambda s: s[:2]):
@@ -117,7 +118,8 @@ def publish_stable_files(spark: SparkSession, staging: str, ready: str,
         if known:
             if opened is not None:
                 _close(spark, entry)
-            fs.rename(path, jvm.org.apache.hadoop.fs.Path(refused, f"{uuid.uuid4().hex}-{name}"))
+            if _BATCH_FILE.fullmatch(path.toUri().getPath()):
+                fs.rename(path, jvm.org.apache.hadoop.fs.Path(refused, f"{uuid.uuid4().hex}-{name}"))
             continue
         if opened is None:
             pointer.write(spark, f"{entry}.open", file)

@@ -262,12 +262,11 @@ def start_upsert(result: DataFrame, sink_path: str, checkpoint: str, output_mode
         serving_store.init(spark, cells_path)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
-            try:
-                rows(batch, batch_id)
-                stored(cells(batch), batch_id)
-            finally:
-                batch.unpersist()
+            rows(batch, batch_id)
+            # the cells come from the rows just written, so the batch is computed once
+            written = f"{sink_path}/{changelog.BATCH_COL}={batch_id}"
+            if pointer.exists(spark, written):
+                stored(cells(spark.read.schema(result.schema).parquet(written)), batch_id)
     w = (result.writeStream.outputMode(output_mode)
          .foreachBatch(write)
          .option("checkpointLocation", checkpoint)

@@ -147,10 +147,10 @@ def test_the_ledger_after_a_crash_around_the_rename(spark, tmp_dir, renamed):
 
     staging, ready = f"{tmp_dir}/staging", f"{tmp_dir}/ready"
     os.makedirs(staging)
-    os.makedirs(f"{ready}/{LEDGER}")
+    os.makedirs(ready + LEDGER)
     write_lines(f"{staging}/f.json", [ev("a", "click")], mtime=1_700_000_000)
     size = os.path.getsize(f"{staging}/f.json")
-    pointer.write(spark, f"{ready}/{LEDGER}/f.json.open", f"{size} 1700000000000")
+    pointer.write(spark, f"{ready}{LEDGER}/f.json.open", f"{size} 1700000000000")
     if renamed:  # published, read and archived before the entry was closed; then landed again
         os.remove(f"{staging}/f.json")
         write_lines(f"{staging}/f.json", [ev("a", "click")], mtime=1_700_000_500)
