@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopstream.operators.serving import scan as scan_rows
 from shopstream.sinks import changelog
 
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("row_key", "family", "qualifier", "value")])
@@ -87,5 +88,4 @@ def scan(spark: SparkSession, path: str, limit: int = 10, start_key: str | None
     rows = _rows(spark, path, files)
     if start_key is not None:
         rows = rows.where(F.col("row_key") >= start_key)
-    first = rows.select("row_key").distinct().orderBy("row_key").limit(limit)
-    return changelog.current_view(rows.join(first, "row_key", "left_semi"), KEYS)
+    return scan_rows(changelog.current_view(rows, KEYS), limit)
