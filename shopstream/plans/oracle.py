@@ -148,6 +148,29 @@ _CLICKS_BY_PRODUCT = """
 """
 
 
+def _digest(label: str, relations: dict[str, tuple[str, str]]) -> str:
+    """Count and content digest of each relation, given as (rows, columns)."""
+    parts = []
+    for name, (rows, columns) in relations.items():
+        texts = [f"CASE WHEN typeof({c}) = 'DOUBLE' THEN printf('%.6f', TRY_CAST({c} AS DOUBLE) + 0.0) "
+                 f"ELSE CAST({c} AS VARCHAR) END" for c in sorted(columns.replace(",", " ").split())]
+        row = " || ".join(f"coalesce(CAST(strlen({t}) AS VARCHAR) || ':' || ({t}), '-')" for t in texts)
+        parts.append(f"SELECT '{name}' AS {label}, count(*) AS n, "
+                     f"coalesce(CAST(sum(CAST('0x' || md5({row})[1:15] AS BIGINT)) AS VARCHAR), '0') AS digest "
+                     f"FROM ({rows})")
+    return " UNION ALL ".join(parts)
+
+
+_CLICK_TABLE = (_CLICKS_BY_PRODUCT, "product_id total_clicks")
+_SALES_TABLE = (_SALES, "product_id category events revenue average_price")
+_TOTALS_TABLE = (_PRODUCT_METRICS_BATCH, "product_id category total_clicks total_cart_adds total_checkouts "
+                                         "total_revenue total_delivered")
+_METRICS_TABLE = (_PRODUCT_METRICS, "product_id clicks cart_adds checkouts orders_value delivered category "
+                                    "last_event_time last_event_id")
+_ALERT_COLUMNS = ("row_key product_id alert_type click_count window_start window_end first_event_time "
+                  "last_event_time")
+
+
 def _damaged(drop_product_key: bool) -> str:
     """The quarantine fixture rebuilt in SQL (classification by DuckDB's JSON reader)."""
     null_pid = "" if drop_product_key else "'product_id', NULL,"
@@ -353,16 +376,12 @@ ORACLE: dict[str, str] = {
     "listed_tables": """
         SELECT unnest(['insights_cliques', 'insights_vendas', 'raw_logs', 'product_metrics_batch',
                        'ecommerce_metrics']) AS table_name, false AS temporary""",
-    "stream_landing": EV + "SELECT 'raw' AS sink, count(*) AS n FROM ev "
-                           "UNION ALL SELECT 'staging', count(*) FROM ev",
-    "insights_tables": EV + f"""
-        SELECT 'insights_cliques' AS table_name, count(*) AS n FROM ({_CLICKS_BY_PRODUCT})
-        UNION ALL SELECT 'insights_vendas', count(*) FROM ({_SALES})
-        UNION ALL SELECT 'product_metrics_batch', count(*) FROM ({_PRODUCT_METRICS_BATCH})""",
-    "validation_summary": EV + f"""
-        SELECT 'raw_events' AS relation, count(*) AS n FROM ev
-        UNION ALL SELECT 'product_metrics', count(*) FROM ({_PRODUCT_METRICS})
-        UNION ALL SELECT 'click_alerts', count(*) FROM ({_alerts(DAY, 6 * HOUR, 10)})
-        UNION ALL SELECT 'insights_cliques', count(*) FROM ({_CLICKS_BY_PRODUCT})
-        UNION ALL SELECT 'insights_vendas', count(*) FROM ({_SALES})""",
+    "stream_landing": EV + _digest("sink", {"raw": ("SELECT * FROM ev", EVENT_COLS),
+                                            "staging": ("SELECT * FROM ev", EVENT_COLS)}),
+    "insights_tables": EV + _digest("table_name", {
+        "insights_cliques": _CLICK_TABLE, "insights_vendas": _SALES_TABLE, "product_metrics_batch": _TOTALS_TABLE}),
+    "validation_summary": EV + _digest("relation", {
+        "raw_events": ("SELECT * FROM ev", EVENT_COLS), "product_metrics": _METRICS_TABLE,
+        "click_alerts": (_alerts(DAY, 6 * HOUR, 10), _ALERT_COLUMNS),
+        "insights_cliques": _CLICK_TABLE, "insights_vendas": _SALES_TABLE}),
 }

@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.functions import digest
 from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
+from shopstream.schema import EVENT
 from shopstream.session import default_parallelism, new_run_dir
 from shopstream.sources import jsonl
 from shopstream.sources.publish import age_files, order_files, publish_stable_files
@@ -212,12 +214,11 @@ def q_landed_sales(spark, sf_dir):
 
 @register("stream_landing")
 def q_stream_landing(spark, sf_dir):
-    """Rows in each sink of the landing fan-out."""
+    """Lines in each sink of the landing fan-out, and the digest of their events."""
     raw, staging = _land(spark, sf_dir)
-    parts = [spark.read.text(p).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(name).alias("sink"), "n")
-             for name, p in (("raw", raw), ("staging", staging))]
-    return parts[0].unionByName(parts[1])
+    events_of = {name: spark.read.text(p).select(F.from_json("value", EVENT).alias("e")).select("e.*")
+                 for name, p in (("raw", raw), ("staging", staging))}
+    return digest.summary(events_of, "sink")
 
 
 @register("reconcile_stream")

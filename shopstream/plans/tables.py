@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shopstream.functions import digest
 from shopstream.operators import alerts, batch, metrics
 from shopstream.plans.catalogue import DAY_SIZE, DAY_SLIDE, events, register
 from shopstream.sinks import catalog
@@ -30,7 +31,7 @@ def _insights(spark, sf_dir) -> tuple[str, dict[str, str]]:
 @register("insights_tables")
 def q_insights_tables(spark, sf_dir):
     _, tables = _insights(spark, sf_dir)
-    return catalog.table_counts(spark, tables)
+    return digest.summary({name: spark.table(table) for name, table in tables.items()}, "table_name")
 
 
 @register("insights_cliques")
@@ -74,7 +75,7 @@ def q_top_clicked_saved(spark, sf_dir):
 
 @register("validation_summary")
 def q_validation_summary(spark, sf_dir):
-    """Rows per relation: raw log, product metrics, alerts, insight tables."""
+    """Rows and content digest per relation: raw log, product metrics, alerts, insight tables."""
     ev = alerts.with_event_ts(events(spark, sf_dir))
     _, tables = _insights(spark, sf_dir)
     rel = {
@@ -84,9 +85,4 @@ def q_validation_summary(spark, sf_dir):
         "insights_cliques": spark.table(tables["insights_cliques"]),
         "insights_vendas": spark.table(tables["insights_vendas"]),
     }
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("relation"), "n")
-             for k, df in rel.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return digest.summary(rel, "relation")
