@@ -84,3 +84,49 @@ def test_short_items_and_unspaced_scripts_are_found(spark):
     items = spark.createDataFrame([(1, " ".join(words)), (2, "東京の天気は今日も晴れです")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark, docs, items).collect()}
     assert found == {(k, 1) for k in range(8)} | {(20, 2)}
+
+
+@pytest.mark.parametrize("n, substituted", [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_heavy_masks_meet_every_placement_and_span_more_than_ten_tokens(n, substituted):
+    masks = decontaminate.HEAVY_MASKS
+    assert all(len(m) > 10 and m.count("1") == 9 and m[0] == m[-1] == "1" for m in masks) and len(set(masks)) == len(masks)
+    fits = [sum(1 << s + k for k, on in enumerate(mask) if on == "1")
+            for mask in masks for s in range(n - len(mask) + 1)]
+    for places in itertools.combinations([1 << k for k in range(n)], substituted):
+        gone = sum(places)
+        assert any(not gone & fit for fit in fits)
+
+
+def test_a_stock_phrase_of_many_items_and_texts_joins_nothing(spark, monkeypatch):
+    """A phrase of ten tokens is no overlap, so neither a stretch of a text nor a pair comes of it."""
+    stem = " ".join(f"stock{k}" for k in range(10))
+    items = spark.createDataFrame([(k, f"{stem} " + " ".join(f"i{k}x{p}" for p in range(8))) for k in range(60)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"a{k} b{k} {stem} " + " ".join(f"d{k}x{p}" for p in range(8))) for k in range(80)],
+                                 "doc_id long, text string")
+    written = {}
+
+    def counted(spark, df, label):
+        out = cut(spark, df, label)
+        written[label] = out.count()
+        return out
+
+    cut = decontaminate.cut
+    monkeypatch.setattr(decontaminate, "cut", counted)
+    assert decontaminate.contaminated(spark, docs, items).count() == 0
+    assert written == {"benchmark-seeds": 60, "seed-clusters": 0}
+
+
+def test_items_under_eight_tokens_are_found_word_for_word_and_remove_no_text(spark):
+    items = spark.createDataFrame([(1, "five short words in order"), (2, "four words are few"), (3, "one"), (4, None), (5, ""),
+                                   (6, "this item has eight words in plain order")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x Five short words, in order y"), (2, "five short words in disorder"),
+                                  (3, "four words are few one"), (4, None), (5, ""),
+                                  (6, "x this item has eight words in other order")], "doc_id long, text string")
+    rows = decontaminate.contaminated(spark, docs, items).collect()
+    assert {(r.doc_id, r.item_id, r.start, r.length, r.matches) for r in rows} == {(1, 1, 1, 5, 5), (6, 6, 1, 8, 7)}
+    every = decontaminate.contaminated(spark, docs, items, verbatim=1).collect()
+    assert {(r.doc_id, r.item_id) for r in every} == {(1, 1), (6, 6), (3, 2), (3, 3)}
+    assert {r.doc_id for r in decontaminate.remove(spark, docs, items).collect()} == {1, 2, 3, 4, 5}
+    with pytest.raises(ValueError):
+        decontaminate.contaminated(spark, docs, items, overlap=9)
