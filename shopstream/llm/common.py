@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def cuts_made() -> Iterator[list[str]]:
+    """The folders that ``cut`` writes inside the block, in order."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE[:] = [m for m in _MADE if m is not made]
+
+
+def remove_cuts(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders that ``cut`` wrote and no frame in use reads any more."""
+    jvm = spark.sparkContext._jvm
+    own = new_run_dir(spark, "llm-").rpartition("llm-")[0] + "llm-"
+    for folder in folders:
+        if not folder.startswith(own):
+            raise ValueError(f"not a folder of cut: {folder}")
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(spark: SparkSession, df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back (ends the lineage).
 
@@ -24,6 +50,8 @@ def cut(spark: SparkSession, df: DataFrame, label: str, compression: str | None
     columns above it are evaluated exactly once per committed task.
     """
     path = new_run_dir(spark, f"llm-{label}")
+    for made in _MADE:
+        made.append(path)
     writer = df.write
     if compression:
         writer = writer.option("compression", compression)
