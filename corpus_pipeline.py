@@ -2,6 +2,11 @@
 
 toxicity (rejected documents go), exact dedup, SimHash near-dedup (one document
 of a component stays), benchmark decontamination, packing.
+
+Defined cases: a null text counts as empty, and rows of null ids, repeated rows and
+extra columns of any name go through every stage as the operators' docstrings say; of
+equal or near texts the row they name stays, ties included; very long texts are never
+cut off; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from shopstream.llm.common import cut, documents
+from shopstream.llm.common import cut, cuts_made, documents, remove_cuts
 from shopstream.llm.queries import PACK_END_ID, TOXIC_THRESHOLD, WINDOW, vocabulary
 
 # the toxicity model and the fingerprints have no SQL form; tests compare with brute force
@@ -45,8 +50,16 @@ STAGES = [("toxicity", clean_toxicity), ("exact dedup", drop_copies), ("simhash
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and reread."""
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``; each stage's rows are written and reread.
+
+    Once a stage's rows are written, what it wrote on the way and the rows before
+    it are read no more and go; a run that fails leaves them. Only the folder of
+    the result stays.
+    """
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = cut(spark, stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with cuts_made() as made:
+            docs = cut(spark, stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        remove_cuts(spark, before + made[:-1])
+        before = made[-1:]
     return docs
