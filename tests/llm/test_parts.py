@@ -185,3 +185,25 @@ def test_digests_are_checked_by_their_label(label, sound):
     data = head + body + b"\r\n\r\n"
     found = [h for _, _, h, _, _ in warc.salvage(io.BytesIO(data), len(data))]
     assert (found[0] is not None) == sound
+
+
+def test_a_pipeline_run_leaves_the_folder_of_its_result_alone(spark, monkeypatch):
+    import corpus_pipeline
+    from shopstream.llm import common
+    from shopstream.session import local_path
+
+    def first(spark, docs, sf_dir):
+        return common.cut(spark, docs.where("doc_id % 2 = 0"), "inner").where("doc_id % 3 = 0")
+
+    def second(spark, docs, sf_dir):
+        assert docs.count() > 0
+        return common.cut(spark, docs.select("doc_id"), "inner")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", first), ("second", second)])
+    with common.cuts_made() as made:
+        got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    want = {r.doc_id for r in common.documents(spark, "/root/testdata/sf0.001").collect() if r.doc_id % 6 == 0}
+    assert want and {r.doc_id for r in got.collect()} == want
+    assert [os.path.exists(local_path(f)) for f in made] == [False, False, False, True]
+    with pytest.raises(ValueError):
+        common.remove_cuts(spark, ["/somewhere/else"])
