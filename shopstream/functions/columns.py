@@ -100,5 +100,18 @@ def first_by_arrival(value: Column | str, order: Column, default: str | None = N
     return picked if default is None else F.coalesce(picked, F.lit(default))
 
 
+def ever(cond: Column) -> Column:
+    """Whether the condition holds in any row of the group.
+
+    Held as a set of at most two booleans, which is an aggregate over objects. A
+    grouping that has one keeps all its buffers in a hash map of objects
+    (ObjectHashAggregate), the text winners of ``max_by`` among them; without one
+    Spark sorts every task's rows by key to hold text (SortAggregate). Beyond
+    ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold`` groups a task
+    goes on by sorting, so its memory stays bounded.
+    """
+    return F.array_contains(F.collect_set(F.coalesce(cond, F.lit(False))), True)
+
+
 def epoch_ms(ts: Column | str) -> Column:
     return F.unix_millis(col_of(ts))

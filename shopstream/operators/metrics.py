@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions import exact
-from shopstream.functions.columns import arrival_key, count_when, last_by_arrival
+from shopstream.functions.columns import arrival_key, count_when, ever, last_by_arrival, truthy
 
 # event fields the running metrics read (the decoder parses only these)
 INPUT_FIELDS = ("event_id", "event_type", "event_time", "ingested_at", "product_id", "category",
@@ -42,7 +42,9 @@ def metric_aggregates(order: Column | None = None) -> list[Column]:
         F.coalesce(exact.exact_sum("_value"), F.lit(0.0)).alias("orders_value"),
         count_when((et == "delivery_status")
                    & (F.col("delivery_status") == "delivered")).alias("delivered"),
-        last_by_arrival("category", order, "unknown").alias("category"),
+        # ``ever`` keeps the groups, their text winners included, in a hash map
+        F.coalesce(F.when(ever(truthy("category").isNotNull()), last_by_arrival("category", order)),
+                   F.lit("unknown")).alias("category"),
         last_by_arrival("event_time", order, "").alias("last_event_time"),
         last_by_arrival("event_id", order, "").alias("last_event_id"),
     ]

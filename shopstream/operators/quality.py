@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions import exact
-from shopstream.functions.columns import arrival_key, count_when, first_by_arrival, last_by_arrival
+from shopstream.functions.columns import arrival_key, count_when, ever, first_by_arrival, last_by_arrival
 from shopstream.schema import CART_ACTIONS, DELIVERY_STATUSES, EVENT_TYPES
 
 WATERMARK_MS = 15_000
@@ -81,11 +81,10 @@ def order_progress(events: DataFrame) -> DataFrame:
         count_when(is_checkout).alias("checkouts"),
         last_by_arrival(status, order).alias("latest_status"),
         count_when(is_delivery).alias("delivery_events"),
-        F.max(is_delivery & (F.col("delivery_status") == "delivered")).alias("_delivered"),
+        ever(is_delivery & (F.col("delivery_status") == "delivered")).alias("delivered"),
     )
     return agg.filter(F.col("checkouts") > 0).select(
-        "order_id", "first_checkout_time", "checkouts", "latest_status", "delivery_events",
-        F.coalesce(F.col("_delivered"), F.lit(False)).alias("delivered"))
+        "order_id", "first_checkout_time", "checkouts", "latest_status", "delivery_events", "delivered")
 
 
 RECONCILED = (("clicks", "total_clicks"), ("cart_adds", "total_cart_adds"),

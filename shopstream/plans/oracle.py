@@ -355,6 +355,7 @@ ORACLE: dict[str, str] = {
     "stream_click_alerts": EV + _alerts(5 * MIN, MIN, 10, CLOSED),
     "stream_click_alerts_1d": EV + _alerts(DAY, 6 * HOUR, 10, CLOSED),
     "reconcile_stream": _RECONCILE,
+    "reconcile_tables": _RECONCILE,
     "stream_decode_rejects": _REJECTS,
     "stream_decode_once_metrics": EV + _PRODUCT_METRICS,
     "stream_job_rejects": _REJECTS,

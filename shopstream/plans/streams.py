@@ -221,6 +221,21 @@ def q_stream_landing(spark, sf_dir):
     return digest.summary(events_of, "sink")
 
 
+@register("reconcile_tables")
+def q_reconcile_tables(spark, sf_dir):
+    """Reconciliation of what is stored: the two-flow job's metrics table against the CTAS totals table."""
+    from shopstream.operators import quality
+    from shopstream.plans.tables import q_product_totals_table
+    from shopstream.streaming import job as sjob
+
+    source, out = jsonl.landed_events(spark, sf_dir), new_run_dir(spark, "job-reconcile")
+    j = sjob.start_job(spark, source, out, AVAILABLE_NOW, compact_every=2,
+                       state_partitions=default_parallelism(spark),
+                       max_files_per_trigger=jsonl.files_per_trigger(spark))
+    j.await_all()
+    return quality.reconcile(sjob.current_metrics(spark, out, source), q_product_totals_table(spark, sf_dir))
+
+
 @register("reconcile_stream")
 def q_reconcile_stream(spark, sf_dir):
     """Stream/batch reconciliation over the real streaming sink vs the batch totals."""

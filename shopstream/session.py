@@ -26,6 +26,8 @@ def build_session(master: str | None = None, app_name: str = "shopstream",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # groups with text winners stay in a hash map up to this many a task (about 1 KB each)
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
         # parquet splits sized so one task's working set fits executor memory
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
         # state kept off-heap in RocksDB; checkpoints upload only the change log

@@ -5,11 +5,15 @@ from __future__ import annotations
 import math
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SF001, ev, lines_df
+from shopstream.functions.columns import ever
 from shopstream.operators import alerts, batch, decode, metrics
+from shopstream.plans.catalogue import QUERIES
 from shopstream.sources import adapter, jsonl
 from shopstream.streaming import queries as sq
 
@@ -160,6 +164,31 @@ def test_count_windows_are_hash_aggregated_over_panes(spark):
     assert alerts.duration_ms("1 hour 30 minutes") is None
 
 
+@pytest.mark.parametrize("query", ["product_metrics", "order_progress"])
+def test_text_winners_are_hash_aggregated(spark, query):
+    """The newest texts by arrival lie in a hash map of groups; no task sorts its rows."""
+    plan = QUERIES[query](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("ObjectHashAggregate") >= 2
+
+
+@pytest.mark.parametrize("threshold", ["1", "65536"])
+def test_text_winners_are_equal_with_and_without_room_for_all_groups(spark, threshold):
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        got = {q: sorted(map(str, QUERIES[q](spark, SF001).collect())) for q in ("product_metrics", "order_progress")}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {q: sorted(map(str, QUERIES[q](spark, SF001).collect())) for q in got}
+
+
+def test_ever_is_false_for_nulls_alone(spark):
+    rows = spark.createDataFrame([("a", None), ("a", False), ("b", None), ("b", True), ("c", None)], "k string, v boolean")
+    got = rows.groupBy("k").agg(ever(F.col("v")).alias("e")).collect()
+    assert {r.k: r.e for r in got} == {"a": False, "b": True, "c": False}
+
+
 _TEXT = st.text(alphabet=st.sampled_from(list('ab"\\/ é€中\t\n{}[]:,')), min_size=0, max_size=12)
 _NONEMPTY = st.text(alphabet=st.sampled_from(list('ab"\\/ é€中{}[]:,')), min_size=1, max_size=12)
 
