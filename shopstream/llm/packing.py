@@ -21,26 +21,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import cut, text_of
+from shopstream.llm.tokens import BATCH_BYTES, CACHE, encoder
 from shopstream.llm.tokens import batches as grouped
-from shopstream.llm.tokens import encoder
 
-ROWS = 256  # documents whose ids a task holds at a time
-BYTES = 1 << 18  # of texts that are encoded together: the pipeline leaves little memory to this stage
-CACHE = 250_000  # chunks in each generation of a worker's cache: the pipeline's other stages use its memory too
+ROWS = 1024  # documents whose ids a task holds at a time
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 
 
 def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pass one: ids of each document (unsigned 32-bit, little-endian) and their place in its partition."""
+           id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, batch_bytes: int = BATCH_BYTES,
+           cache: int = CACHE) -> DataFrame:
+    """Pass one: ids of each document (unsigned 32-bit, little-endian) and their place in its partition.
+
+    ``rows`` and ``batch_bytes`` bound the documents that are held and the texts that are
+    encoded together, ``cache`` the chunks that a worker remembers; they change memory
+    and speed only.
+    """
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary, CACHE)
+        tokens = encoder(vocabulary, cache)
         part, at = TaskContext.get().partitionId(), 0
-        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
-            ids = [x + end for rows in grouped(zip(batch.column(1).to_pylist()), ROWS, BYTES)
-                   for x in tokens.encode_batch([text for text, in rows])]
+        for batch in (whole.slice(k, rows) for whole in batches for k in range(0, whole.num_rows, rows)):
+            ids = [x + end for texts in grouped(zip(batch.column(1).to_pylist()), rows, batch_bytes)
+                   for x in tokens.encode_batch([text for text, in texts])]
             sizes = [len(x) // 4 for x in ids]
             starts = list(accumulate(sizes, initial=at))
             at = starts.pop()
@@ -62,14 +66,15 @@ def offsets(spark: SparkSession, encoded: DataFrame) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, *, window: int = 4096,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", **memory: int) -> DataFrame:
     """Pieces of all documents in fixed windows of ``window`` tokens.
 
     Columns: doc_id, start (tokens of the document before the piece), length,
     ids, doc_tokens, sequence_id, offset (in the sequence), boundary (the piece
-    continues in another sequence or continues one).
+    continues in another sequence or continues one). ``memory``: ``rows``,
+    ``batch_bytes`` and ``cache`` of ``encode``.
     """
-    encoded = encode(spark, docs, vocabulary, end_id, id_col=id_col, text_col=text_col)
+    encoded = encode(spark, docs, vocabulary, end_id, id_col=id_col, text_col=text_col, **memory)
     # one row per partition: a size that the number of tasks bounds
     placed = encoded.join(F.broadcast(offsets(spark, encoded)), "part").withColumn(
         "at", F.col("first") + F.col("part_start"))
