@@ -40,7 +40,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(spark, docs, vocabulary("word_bpe_49k.json"), PACK_END_ID, window=WINDOW)
+    # the stages before leave less of an executor's memory than a job of its own has
+    pieces = packing.pack(spark, docs, vocabulary("word_bpe_49k.json"), PACK_END_ID, window=WINDOW,
+                          rows=256, batch_bytes=1 << 18, cache=250_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "ids", "doc_tokens",
                          "sequence_id", "offset", "boundary")
 
