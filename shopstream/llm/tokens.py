@@ -12,18 +12,32 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
+import pyarrow as pa
 
 from shopstream.llm.common import hold
-from shopstream.llm.text_runs import BLANK, run_hashes
+from shopstream.llm.text_runs import BLANK, ODD, mix, run_hashes
 
 CACHE = 700_000  # chunks in each of the two generations of a worker's cache
 BATCH_BYTES = 1 << 20  # texts that are encoded together
 BATCH_TEXTS = 512
 _CLOSING = b".,;:!?"
+# marks that end a chunk; a byte-level vocabulary parts any ASCII punctuation from the letters and digits before it
+_MARK = {False: np.isin(np.arange(256), list(_CLOSING)),
+         True: np.isin(np.arange(256), list(string.punctuation.encode()))}
+_ALNUM = np.array([bytes([b]).isalnum() for b in range(256)])
+# ASCII letters of plain words, without and with capitals
+_LETTER = {False: np.array([bytes([b]).isalpha() and bytes([b]).islower() for b in range(256)]),
+           True: np.array([bytes([b]).isalpha() for b in range(256)])}
+# second bytes of the accented letters of plain words, after \xc3
+_SECOND = {False: np.isin(np.arange(256), [*range(0x9F, 0xB7), *range(0xB8, 0xC0)]),
+           True: np.isin(np.arange(256), [*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)])}
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 # U+00DF-U+00FF without the division sign, as UTF-8
 _ACCENTED = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
@@ -37,6 +51,54 @@ _VISIBLE = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHO
 _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def marks_apart(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks with the marks at their end as chunks of their own, if a letter or digit is before them.
+
+    Such marks never share a token with what they follow, and without them
+    fewer chunks differ.
+    """
+    marked = np.flatnonzero(mark[data[ends - 1]])
+    if not len(marked):
+        return starts, ends
+    others = np.flatnonzero(~mark[data])
+    at = np.searchsorted(others, ends[marked]) - 1
+    marked, at = marked[at >= 0], at[at >= 0]
+    body = others[at]  # the last place before the marks
+    apart = (body >= starts[marked]) & _ALNUM[data[body]]
+    marked, cuts = marked[apart], body[apart] + 1
+    return np.insert(starts, marked + 1, cuts), np.insert(ends, marked, cuts)
+
+
+def distinct_runs(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a run of each kind, the kind of each run); ``buffer`` ends in 16 bytes that are in no run.
+
+    The bytes decide: a run must equal the chosen one of its hash, or all count
+    as different. Two integers hold all of a run of up to 16 bytes.
+    """
+    data = np.frombuffer(buffer, np.uint8, len(buffer) - 16)
+    sizes = ends - starts
+    eight = np.ndarray(len(data) + 9, "<u8", buffer, strides=(1,))
+    low = eight[starts] & _LOW_BYTES[np.minimum(sizes, 8)]
+    high = eight[starts + 8] & _LOW_BYTES[np.clip(sizes - 8, 0, 8)]
+    hashes = mix(low ^ mix(high + sizes.astype(np.uint64) * ODD))
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        hashes[long] = run_hashes(data, starts[long], ends[long])
+    kinds = pa.array(hashes).dictionary_encode()
+    which = kinds.indices.to_numpy()
+    first = np.empty(len(kinds.dictionary), np.int64)
+    first[which] = np.arange(len(which))
+    same = first[which]
+    equal = (np.array_equal(sizes[same], sizes) and np.array_equal(low[same], low) and np.array_equal(high[same], high))
+    if equal and len(long):
+        before = np.cumsum(sizes[long]) - sizes[long]
+        inside = np.arange(sizes[long].sum()) + np.repeat(starts[long] - before, sizes[long])
+        away = np.repeat(starts[same[long]] - starts[long], sizes[long])
+        equal = np.array_equal(data[inside], data[inside + away])
+    return (first, which) if equal else (np.arange(len(starts)), np.arange(len(starts)))
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -103,8 +165,8 @@ class Encoder:
             self.old, self.new = self.new, {}
         # a blank between texts, where blanks part chunks; nothing where they belong to them
         gap = b" " if self.drops_blanks else b""
-        buffer = gap.join([*(texts[k] for k in mine), b""])
-        data = np.frombuffer(buffer, np.uint8)
+        buffer = gap.join([*(texts[k] for k in mine), bytes(16)])
+        data = np.frombuffer(buffer, np.uint8, len(buffer) - 16)
         stops = np.cumsum([len(texts[k]) + len(gap) for k in mine], dtype=np.int64)
         blank = BLANK[data]
         if self.drops_blanks:
@@ -117,19 +179,14 @@ class Encoder:
             starts = np.r_[0, ends[:-1]] if len(ends) else ends
         if not len(starts):
             return out
-        sizes = ends - starts
-        _, first, which = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        # the bytes decide: a chunk must equal the first one of its hash
-        away = np.repeat(starts[first][which] - starts, sizes)
-        inside = np.flatnonzero(~blank) if self.drops_blanks else np.arange(len(data))
-        if not (np.array_equal(sizes[first][which], sizes) and np.array_equal(data[inside], data[inside + away])):
-            first, which = np.arange(len(starts)), np.arange(len(starts))
+        starts, ends = marks_apart(data, starts, ends, _MARK[not self.drops_blanks])
+        first, which = distinct_runs(buffer, starts, ends)
         chunks = [buffer[lo:hi] for lo, hi in zip(starts[first].tolist(), ends[first].tolist())]
         new = self.new
         ids = list(map(new.get, chunks))
         if None in ids:
             gaps = [k for k, known in enumerate(ids) if known is None]
-            self._learn({chunks[k] for k in gaps})
+            self._learn(list(dict.fromkeys(chunks[k] for k in gaps)))
             for k in gaps:
                 ids[k] = new[chunks[k]]
         flat = np.frombuffer(b"".join(ids), "<u4")
@@ -150,17 +207,34 @@ class Encoder:
                 return False
         return self.drops_blanks or self.byte_level and (text.isascii() or not _OTHER_BLANKS.search(text.decode()))
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Adds chunks to the cache, from the older generation, their parts or the library."""
+    def _plain_words(self, chunks: list[bytes]) -> np.ndarray:
+        """Whether each chunk is a plain word without marks."""
+        data = np.frombuffer(b"".join(chunks), np.uint8)
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        starts = np.cumsum(sizes) - sizes
+        letter = _LETTER[not self.drops_blanks][data]
+        accented = (data[:-1] == 0xC3) & _SECOND[not self.drops_blanks][data[1:]]
+        letter[:-1] |= accented
+        letter[1:] |= accented
+        others = np.add.reduceat(~letter, starts, dtype=np.int64)
+        if not self.drops_blanks:
+            others -= (data[starts] == 0x20) & (sizes > 1)
+        return others == 0
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Adds different chunks to the cache, from the older generation, their parts or the library."""
         new, old, plain = self.new, self.old, _PLAIN[not self.drops_blanks].fullmatch
         parts: list[tuple[bytes, bytes, bytes]] = []
-        words: dict[bytes, None] = {}
         others: dict[bytes, None] = {}
-        for chunk in chunks:
-            known = old.get(chunk)
-            if known is not None:
-                new[chunk] = known
-                continue
+        if old:
+            held = list(map(old.get, chunks))
+            new.update((chunk, known) for chunk, known in zip(chunks, held) if known is not None)
+            chunks = [chunk for chunk, known in zip(chunks, held) if known is None]
+        if not chunks:
+            return
+        whole = self._plain_words(chunks)
+        words = dict.fromkeys(compress(chunks, whole.tolist()))
+        for chunk in compress(chunks, (~whole).tolist()):
             match = plain(chunk)
             if match is not None:
                 body, tail = match.groups()
