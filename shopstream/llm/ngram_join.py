@@ -22,9 +22,12 @@ beyond the table counts as rare, which costs comparisons, never a link.
 Documents of equal sets are one node. Within the nodes of a signature, sizes and
 parity bitmaps (their Hamming distance is a lower bound of the symmetric
 difference) rule pairs out; of the pairs that remain a spanning forest is
-verified on the whole sets. Only where a verified pair turned out not to link do
-the remaining pairs between different components follow. Signatures of many
-nodes are dealt out as pairs of cells; no pair list of a group is written.
+verified on the whole sets. Only where a verified pair turned out not to link
+are the remaining pairs between different components compared: a few for each
+node are listed and verified likewise; where there are more, the whole sets of a
+signature meet, which gives a spanning forest of links, fewer rows than nodes.
+Signatures of many nodes are dealt out as pairs of cells; no pair list of a large
+group is written.
 
 Defined cases: null and empty texts have no tokens, n_shingles 0, and link with
 nothing; null ids sort last within a component (component_id is null when every
@@ -58,6 +61,8 @@ SHORT = 64             # smaller sets index single tokens only
 PER_CLASS = {2: 4, 3: 6}  # tokens of a full prefix in a class of pairs, of triples
 BITMAP_BITS = 4096     # of a bitmap, at most; it has one bit per token up to that
 CELL = 4096            # nodes of a signature that one task compares with each other
+LISTED = 8             # pairs for each node of a signature that are listed, at most
+CELL_BYTES = 32 << 20  # of whole sets in a cell, where they are compared
 
 
 def token_sets(texts: list[bytes], size: int = 3) -> list[np.ndarray]:
@@ -303,13 +308,19 @@ def buckets(spark: SparkSession, rows: DataFrame, nodes: DataFrame) -> DataFrame
         "bucket", "node", "n", "bits"), "ngram-buckets")
     large = cut(spark, members.groupBy("bucket").count().where(F.col("count") > CELL).select(
         "bucket", F.ceil(F.col("count") / CELL).cast("int").alias("cells")), "ngram-large")
+    return _dealt(members, large)
+
+
+def _dealt(members: DataFrame, large: DataFrame) -> DataFrame:
+    """``members`` (bucket, node, ...) with i, j and side; the buckets of ``large`` go to pairs of their cells."""
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("cells")).cast("int")
+    others = [c for c in members.columns if c != "bucket"]
     dealt = members.join(large, "bucket", "left").select(
-        "bucket", "node", "n", "bits", F.coalesce(mine, F.lit(0)).alias("mine"),
+        "bucket", *others, F.coalesce(mine, F.lit(0)).alias("mine"),
         F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1)).alias("other"))
     side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
     return dealt.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                        side.alias("side"), "node", "n", "bits")
+                        side.alias("side"), *others)
 
 
 def _folded(bits: list[bytes]) -> np.ndarray:
@@ -322,13 +333,8 @@ def _folded(bits: list[bytes]) -> np.ndarray:
     return out
 
 
-def candidate_edges(node: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray, label: np.ndarray | None,
-                    percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a bucket that sizes and bitmaps do not rule out.
-
-    Without labels: a spanning forest of them, searched from the least node.
-    With labels: all of them between different labels.
-    """
+def _nearness(n: np.ndarray, bits: np.ndarray, side: np.ndarray, label: np.ndarray | None, percent: int):
+    """Which of the places ``others`` sizes and bitmaps do not rule out for place ``p`` of a bucket."""
 
     def near(p: int, others: np.ndarray) -> np.ndarray:
         if side[p]:
@@ -341,7 +347,17 @@ def candidate_edges(node: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.
         apart = np.bitwise_count(bits[others] ^ bits[p]).sum(axis=1, dtype=np.int64)
         return others[apart <= most]
 
-    left = np.arange(len(node))
+    return near
+
+
+def candidate_edges(node: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray, label: np.ndarray | None,
+                    percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a bucket that sizes and bitmaps do not rule out.
+
+    Without labels: a spanning forest of them, searched from the least node.
+    With labels: all of them between different labels.
+    """
+    near, left = _nearness(n, bits, side, label, percent), np.arange(len(node))
     if label is not None:
         for p in left:
             found = near(p, left[p + 1:])
@@ -359,17 +375,38 @@ def candidate_edges(node: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.
                 left = left[~np.isin(left, found)]
 
 
-def _candidates(percent: int, labelled: bool):
-    """Edges of sorted (bucket, i, j, side, node, n, bits[, label]) rows; a group holds two cells at most."""
-    names = ["a", "b"]
+def linked_edges(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, label: np.ndarray,
+                 percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of a bucket between different labels, by whole sets: a spanning forest, nodes of one label being joined."""
+    n = np.array([len(s) for s in sets], np.int64)
+    near = _nearness(n, _folded([bitmap(s) for s in sets]), side, label, percent)
+    known, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    starts, own = np.cumsum(n) - n, np.zeros(len(known), bool)
+    left = np.arange(len(node))
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            p = queue.pop()
+            joined = label[left] == label[p]
+            queue.extend(left[joined])
+            left = left[~joined]
+            others = near(p, left)
+            if not len(others):
+                continue
+            before = np.cumsum(n[others]) - n[others]
+            inside = np.arange(n[others].sum()) + np.repeat(starts[others] - before, n[others])
+            own[tokens[starts[p]:starts[p] + n[p]]] = True
+            both = np.add.reduceat(own[tokens[inside]], before, dtype=np.int64)
+            own[tokens[starts[p]:starts[p] + n[p]]] = False
+            found = others[100 * both >= percent * (n[p] + n[others] - both)]
+            if len(found):
+                yield np.full(len(found), node[p]), node[found]
+                queue.extend(found[::-1])
+                left = left[~np.isin(left, found)]
+
 
-    def group(rows: list[list]) -> Iterator[pa.RecordBatch]:
-        node, n, side = (np.array(rows[k], np.int64) for k in (4, 5, 3))
-        order = np.argsort(node)
-        label = np.array(rows[7], np.int64)[order] if labelled else None
-        bits = _folded(rows[6])[order]
-        for a, b in candidate_edges(node[order], n[order], bits, side[order], label, percent):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=names)
+def _by_bucket(group):
+    """A task over rows sorted by (bucket, i, j); ``group`` gets the columns of two or more rows, two cells at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] | None = None
@@ -392,23 +429,72 @@ def _candidates(percent: int, labelled: bool):
     return run
 
 
-def candidates(rows: DataFrame, percent: int, labels: DataFrame | None = None) -> DataFrame:
+def _edge_batches(edges) -> Iterator[pa.RecordBatch]:
+    for a, b in edges:
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b) node pairs of the buckets to verify."""
-    if labels is not None:
-        rows = rows.join(labels.select(F.col("node"), "root"), "node", "left").select(
-            "bucket", "i", "j", "side", "node", "n", "bits", F.coalesce("root", "node").alias("label"))
+
+    def group(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        side, node, n = (np.array(rows[k], np.int64) for k in (3, 4, 5))
+        order = np.argsort(node)
+        yield from _edge_batches(candidate_edges(node[order], n[order], _folded(rows[6])[order], side[order], None, percent))
+
     ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(_candidates(percent, labels is not None), "a long, b long").distinct()
+    return ordered.mapInArrow(_by_bucket(group), "a long, b long").distinct()
 
 
-def verified(spark: SparkSession, texts: DataFrame, nodes: DataFrame, edges: DataFrame, size: int,
-             percent: int) -> DataFrame:
-    """``edges`` with whether they link, by their whole sets.
+def contested(rows: DataFrame, percent: int, labels: DataFrame) -> DataFrame:
+    """What remains between different labels: (null, a, b) for a pair, or (bucket, node, null) for the nodes of many pairs."""
+
+    def group(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        side, node, n, label = (np.array(rows[k], np.int64) for k in (3, 4, 5, 7))
+        at, wanted = np.arange(len(node)), np.zeros(len(node), bool)
+        pairs, total = [], 0
+        for a, b in candidate_edges(at, n, _folded(rows[6]), side, label, percent):
+            wanted[a] = wanted[b] = True
+            total += len(a)
+            if total <= LISTED * len(node):
+                pairs.append((node[a], node[b]))
+        if total > LISTED * len(node):
+            columns = np.full(wanted.sum(), rows[0][0]), node[wanted], pa.nulls(wanted.sum(), pa.int64())
+        elif total:
+            a, b = (np.concatenate(x) for x in zip(*pairs))
+            columns = pa.nulls(total, pa.int64()), np.minimum(a, b), np.maximum(a, b)
+        else:
+            return
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "a", "b"])
+
+    rows = rows.join(labels.select("node", "root"), "node", "left").select(
+        "bucket", "i", "j", "side", "node", "n", "bits", F.coalesce("root", "node").alias("label"))
+    ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return ordered.mapInArrow(_by_bucket(group), "bucket long, a long, b long").distinct()
+
+
+def links_between(spark: SparkSession, members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the different labels of the (bucket, node) rows, found where a bucket's sets meet."""
+
+    def group(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        side, node, label = (np.array(rows[k], np.int64) for k in (3, 4, 6))
+        yield from _edge_batches(linked_edges(node, [np.frombuffer(t, np.uint64) for t in rows[5]], side, label, percent))
+
+    sizes = members.join(sets.select("node", F.length("tokens").alias("size")), "node").groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / CELL, F.sum("size") / CELL_BYTES)).cast("int").alias("cells"))
+    large = cut(spark, sizes.where("cells > 1"), "ngram-large")
+    rows = _dealt(members, large).join(labels.select("node", "root"), "node", "left").join(sets, "node").select(
+        "bucket", "i", "j", "side", "node", "tokens", F.coalesce("root", "node").alias("label"))
+    ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return ordered.mapInArrow(_by_bucket(group), "a long, b long").distinct()
+
+
+def whole_sets(spark: SparkSession, texts: DataFrame, nodes: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """(node, tokens): the whole sets of the nodes in ``ends``.
 
     A filter of fixed size tells the tasks which sets are wanted, so only those
     (and a few others) leave them.
     """
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = cut(spark, nodes.join(ends, "node", "left_semi").select("node", "d1", "d2"), "ngram-wanted")
     marks = spark.sparkContext.broadcast(seed_filter(wanted.select(F.col("d1").alias("seed")), FILTER_BITS).tobytes())
 
@@ -424,6 +510,14 @@ def verified(spark: SparkSession, texts: DataFrame, nodes: DataFrame, edges: Dat
     sets = texts.mapInArrow(_sets(size, emit), "d1 long, d2 long, tokens binary")
     sets = cut(spark, sets.join(wanted, ["d1", "d2"]).select("node", "tokens").dropDuplicates(["node"]), "ngram-sets")
     marks.unpersist()
+    return sets
+
+
+def verified(spark: SparkSession, texts: DataFrame, nodes: DataFrame, edges: DataFrame, size: int,
+             percent: int) -> DataFrame:
+    """``edges`` with whether they link, by their whole sets."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = whole_sets(spark, texts, nodes, ends, size)
 
     @F.pandas_udf("boolean")
     def linked(a, b):
@@ -464,10 +558,17 @@ def join(spark: SparkSession, docs: DataFrame, *, size: int = 3, percent: int =
         labels = components(spark, links)
         at_a = failed.join(dealt.select(F.col("node").alias("a"), "bucket"), "a").select("b", "bucket")
         again = at_a.join(dealt.select(F.col("node").alias("b"), "bucket"), ["b", "bucket"], "left_semi").select("bucket").distinct()
-        more = candidates(dealt.join(again, "bucket", "left_semi"), percent, labels)
-        more = cut(spark, more.join(failed.select("a", "b"), ["a", "b"], "left_anti"), "ngram-edges")
+        # bitmaps join the rows of these buckets alone: all others need not be shuffled with theirs
+        rest = dealt.drop("n", "bits").join(again, "bucket", "left_semi").join(nodes.select("node", "n", "bits"), "node")
+        rest = cut(spark, contested(rest, percent, labels), "ngram-contested")
+        more = cut(spark, rest.where("b is not null").select("a", "b").join(
+            failed.select("a", "b"), ["a", "b"], "left_anti"), "ngram-edges")
+        members = rest.where("b is null").select("bucket", F.col("a").alias("node"))
         if not more.isEmpty():
             links = links.union(verified(spark, texts, nodes, more, size, percent).where("linked").select("a", "b"))
+        if not members.isEmpty():
+            sets = whole_sets(spark, texts, nodes, members.select("node").distinct(), size)
+            links = links.union(cut(spark, links_between(spark, members, sets, labels, percent), "ngram-links"))
     return rows, nodes, links
 
 
