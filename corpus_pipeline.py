@@ -15,34 +15,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from shopstream.llm.common import cut, cuts_made, documents, remove_cuts
+from shopstream.llm.common import arrow_rows, cut, cuts_made, documents, remove_cuts
 from shopstream.llm.queries import PACK_END_ID, TOXIC_THRESHOLD, WINDOW, vocabulary
 
+# rows that Spark hands to Python at a time and words that a worker remembers: an executor's
+# memory holds the workers of all stages, where a job of its own has it to itself
+ROWS = 1024
+WORDS = 100_000
+
 # the toxicity model and the fingerprints have no SQL form; tests compare with brute force
 ORACLE_SQL = None
 
 
 def clean_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.keep_clean(spark, docs, model, threshold=TOXIC_THRESHOLD)
+    with arrow_rows(spark, ROWS):
+        model = toxicity.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), cache=WORDS)
+    return toxicity.keep_clean(spark, docs, model, threshold=TOXIC_THRESHOLD, cache=WORDS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(spark, docs)
+    with arrow_rows(spark, ROWS):
+        return exact_dedup.dedup(spark, docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.dedup(spark, docs, shingle=3, radius=3)
+    with arrow_rows(spark, ROWS):
+        return simhash.dedup(spark, docs, shingle=3, radius=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.remove(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with arrow_rows(spark, ROWS):
+        return decontaminate.remove(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), cache=WORDS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # the stages before leave less of an executor's memory than a job of its own has
-    pieces = packing.pack(spark, docs, vocabulary("word_bpe_49k.json"), PACK_END_ID, window=WINDOW,
-                          rows=256, batch_bytes=1 << 18, cache=250_000)
+    with arrow_rows(spark, ROWS):
+        pieces = packing.pack(spark, docs, vocabulary("word_bpe_49k.json"), PACK_END_ID, window=WINDOW,
+                              rows=256, batch_bytes=1 << 18, cache=WORDS)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "ids", "doc_tokens",
                          "sequence_id", "offset", "boundary")
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,18 @@ def cut(spark: SparkSession, df: DataFrame, label: str, compression: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside the block hand at most ``rows`` rows at a time to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def whole(df: DataFrame, name: str = "row") -> Column:
     """All columns of ``df`` in one struct, so that no name can clash with an operator's own."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
@@ -99,10 +114,17 @@ def hold(owner: str, release: Callable[[], None]) -> None:
     """Note that this worker keeps a cache for ``owner`` and release those of other operators.
 
     Spark reuses Python workers from stage to stage; without this the caches of
-    all operators of a pipeline would add up in each worker.
+    all operators of a pipeline would add up in each worker. What they held goes
+    back to the system, which counts the memory of idle workers too.
     """
-    for other in [o for o in _HELD if o != owner]:
+    others = [o for o in _HELD if o != owner]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
     _HELD[owner] = release
 
 

@@ -66,8 +66,10 @@ _CACHE = 500_000
 class _TokenHashes(dict):
     """64-bit hash of each word, remembered in a bounded number."""
 
+    most = _CACHE
+
     def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHE:
+        if len(self) >= self.most:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word.encode())
         return found
@@ -76,6 +78,12 @@ class _TokenHashes(dict):
 _HASHES = _TokenHashes()
 
 
+def _take(cache: int) -> None:
+    # a task's function names this one, not the cache: what it names itself is sent to it as a copy
+    hold("decontamination", _HASHES.clear)
+    _HASHES.most = cache
+
+
 def token_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words, or of single characters in scripts without spaces."""
     text = text.lower() if text else ""
@@ -194,7 +202,7 @@ def _stretches(pos, starts, reach):
     return doc, np.maximum(starts[doc], pos[first] - CONTEXT), np.minimum(starts[doc + 1], pos[last] + CONTEXT + reach)
 
 
-def _cluster_rows(filters, bits: int, light: tuple[str, ...], heavy: tuple[str, ...]):
+def _cluster_rows(filters, bits: int, light: tuple[str, ...], heavy: tuple[str, ...], cache: int):
     """Stretches of a text around light hits that hold heavy hits, with these and the tokens beside them."""
     reach = max(map(len, light))
 
@@ -219,7 +227,7 @@ def _cluster_rows(filters, bits: int, light: tuple[str, ...], heavy: tuple[str,
         return pa.RecordBatch.from_pylist(rows, schema=_CLUSTER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("decontamination", _HASHES.clear)
+        _take(cache)
         marks, heavy_marks = (np.frombuffer(part, np.uint8) for part in filters.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -258,13 +266,14 @@ def best_stretch(text: np.ndarray, item: np.ndarray, shift: int, least: int, sim
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                  text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
                  overlap: int = 13, similarity: float = 0.8, least: int = 8,
-                 verbatim: int = 5, filter_bits: int = FILTER_BITS) -> DataFrame:
+                 verbatim: int = 5, filter_bits: int = FILTER_BITS, cache: int = _CACHE) -> DataFrame:
     """Verified overlaps: doc_id, mark (digest of the text), item_id, start, length, matches (in tokens).
 
     An overlap has ``overlap`` tokens (or the whole item, if that is shorter)
     of which a share of ``similarity`` is equal. The masks meet all such overlaps
     from 13 tokens and a share of 0.8 on, so smaller values are refused. Items of
-    fewer than ``least`` (8 to 13) tokens are found word for word.
+    fewer than ``least`` (8 to 13) tokens are found word for word. ``cache`` is the number
+    of words whose hashes a worker remembers; it changes memory and speed only.
     """
     if overlap < SHORT or similarity < 0.8 or not 8 <= least <= SHORT or not 1 <= verbatim <= least:
         raise ValueError("the masks need overlap >= 13, similarity >= 0.8, 8 <= least <= 13, 1 <= verbatim <= least")
@@ -280,7 +289,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, *, id_c
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = "doc_id long, mark binary, at int, tokens array<long>, hits array<struct<seed:long,pos:int>>"
-    clusters = cut(spark, texts.mapInArrow(_cluster_rows(filters, filter_bits, light, heavy), schema).withColumn(
+    clusters = cut(spark, texts.mapInArrow(_cluster_rows(filters, filter_bits, light, heavy, cache), schema).withColumn(
         "cluster", F.monotonically_increasing_id()), "seed-clusters")
     hits = clusters.select("cluster", F.explode("hits").alias("h")).select("cluster", "h.*")
     # a plain join between two shuffles: the adaptive planner splits a hot seed

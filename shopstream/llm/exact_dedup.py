@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopstream.llm.common import BLANKS, cut, text_of, unpack, whole
+from shopstream.llm.common import BLANKS, cut, hold, text_of, unpack, whole
 
 PREFIX = 64
 
@@ -43,6 +43,7 @@ def normalise(text: bytes) -> bytes:
 
 @F.pandas_udf(T.StructType().add("prefix", T.BinaryType()).add("hash", T.LongType()))
 def _sort_key(texts: pd.Series) -> pd.DataFrame:
+    hold("content", lambda: None)
     plain = [normalise(t) for t in texts]
     return pd.DataFrame({"prefix": [t[:PREFIX] for t in plain],
                          "hash": np.array([xxhash.xxh64_intdigest(t) for t in plain], np.uint64).view(np.int64)})

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm.common import cut, text_of, unpack, whole
+from shopstream.llm.common import cut, hold, text_of, unpack, whole
 from shopstream.llm.components import components
 
 _WORDS = 1 << 12  # words of 64 pairs that are compared at once
@@ -69,6 +69,7 @@ def fingerprints(text: Column, size: int, seed: int) -> Column:
 
     @F.pandas_udf("long")
     def prints(texts: pd.Series) -> pd.Series:
+        hold("simhash", lambda: None)
         found = np.fromiter((fingerprint(t, size, seed) for t in texts), np.uint64, len(texts))
         return pd.Series(found.view(np.int64))
 

@@ -40,8 +40,10 @@ _WORD = re.compile(r"\w+")
 class _Terms(dict):
     """Buckets of a word's terms, remembered in a bounded number."""
 
+    most = _CACHE
+
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= _CACHE:
+        if len(self) >= self.most:
             self.clear()
         terms = {"=" + word} | {word[:k] for k in (4, 5) if len(word) >= k}
         buckets = [zlib.crc32(t.encode()) % BUCKETS for t in terms]
@@ -203,7 +205,8 @@ def _descend(sets: list[np.ndarray], labels: np.ndarray, telling: np.ndarray, *,
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fold: Column | None, id_col: str,
-                  text_col: str, label_id_col: str, label_col: str, sample: int) -> tuple[list[np.ndarray], np.ndarray]:
+                  text_col: str, label_id_col: str, label_col: str, sample: int,
+                  cache: int = _CACHE) -> tuple[list[np.ndarray], np.ndarray]:
     """Term sets and labels of at most ``sample`` labelled rows of the fold."""
     known = labels.select(F.col(f"`{label_id_col}`").cast("long").alias("label_id"),
                           F.col(f"`{label_col}`").cast("int").alias("label")).where(
@@ -215,7 +218,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fo
 
     @F.pandas_udf("binary")
     def buckets(texts: pd.Series) -> pd.Series:
-        hold("toxicity", _release)
+        _take(cache)
         return pd.Series([term_buckets(t).tobytes() for t in texts])
 
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("label_id"), text_of(text_col).alias("text"))
@@ -228,21 +231,24 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fo
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, fold: Column | None = None,
           id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "toxic",
-          sample: int = SAMPLE) -> Machine:
-    """The machine of a bounded sample; ``fold`` is a condition on ``label_id``."""
+          sample: int = SAMPLE, cache: int = _CACHE) -> Machine:
+    """The machine of a bounded sample; ``fold`` is a condition on ``label_id``.
+
+    ``cache`` is the number of words whose terms a worker remembers; it changes memory and speed only.
+    """
     sets, y = training_rows(spark, docs, labels, fold=fold, id_col=id_col, text_col=text_col,
-                            label_id_col=label_id_col, label_col=label_col, sample=sample)
+                            label_id_col=label_id_col, label_col=label_col, sample=sample, cache=cache)
     return fit(sets, y)
 
 
-def scores(spark: SparkSession, model: Machine, text: Column) -> Column:
-    """Score (0 to 1) of a column of text bytes."""
+def scores(spark: SparkSession, model: Machine, text: Column, cache: int = _CACHE) -> Column:
+    """Score (0 to 1) of a column of text bytes; ``cache`` as for ``train``."""
     useful = np.flatnonzero((model.weights != 0) | (np.abs(model.factors).max(axis=1) > 0))
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model.bias, useful, model.weights[useful], model.factors[useful]))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        hold("toxicity", _release)
+        _take(cache)
         own = _machine(shared.value)
         out = np.full(len(texts), own.bias)
         for k, text in enumerate(texts):
@@ -257,6 +263,12 @@ def scores(spark: SparkSession, model: Machine, text: Column) -> Column:
 _MACHINES: dict[str, Machine] = {}
 
 
+def _take(cache: int) -> None:
+    # a task's function names this one, not the caches: those it names itself are sent to it as copies
+    hold("toxicity", _release)
+    _TERMS.most = cache
+
+
 def _release() -> None:
     _TERMS.clear()
     _MACHINES.clear()
@@ -274,6 +286,6 @@ def _machine(packed) -> Machine:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, model: Machine, *, text_col: str = "text",
-               threshold: float = 0.7) -> DataFrame:
+               threshold: float = 0.7, cache: int = _CACHE) -> DataFrame:
     """The rows that score under the threshold, whole and unchanged."""
-    return docs.where(scores(spark, model, text_of(text_col)) < threshold)
+    return docs.where(scores(spark, model, text_of(text_col), cache) < threshold)
